@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from curata.llm import bpe, token_count
+from curata.llm import bpe, minhash, token_count, token_store
 
 RANKS = "byte_bpe_50k.tiktoken"
 VOCABULARY = "byte_bpe_50k.json"
@@ -22,5 +22,13 @@ def op8_token_counts(spark, sf_dir):
     return token_count.token_counts(_documents(spark, sf_dir), public_tokenizers.path(VOCABULARY), limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op8_token_counts)}
+def op9_token_store(spark, sf_dir):
+    return token_store.stored(_documents(spark, sf_dir), public_tokenizers.path(VOCABULARY), end_id=2)
+
+
+def op10_minhash(spark, sf_dir):
+    return minhash.near_duplicates(_documents(spark, sf_dir), percent=75)
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op8_token_counts, op9_token_store, op10_minhash)}
 ORACLE_SQL: dict[str, str] = {}
