@@ -227,6 +227,15 @@ def decode(encoded_docs: DataFrame, path: str) -> DataFrame:
 
 def round_trip_digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: encodes, then decodes the ids, within one pass."""
+    return _round_trip(docs, path, with_ids=False)
+
+
+def encoded_and_decoded(docs: DataFrame, path: str) -> DataFrame:
+    """As round_trip_digests, with the ids themselves: doc_id, n_tokens, ids array<int>, ids_sha256, decoded_sha256."""
+    return _round_trip(docs, path, with_ids=True)
+
+
+def _round_trip(docs: DataFrame, path: str, with_ids: bool) -> DataFrame:
     tune(docs.sparkSession)
 
     def run(batches):
@@ -236,7 +245,11 @@ def round_trip_digests(docs: DataFrame, path: str) -> DataFrame:
             for i, j in slices(offsets):
                 ids, counts = encoded(path, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 parts = np.split(ids, np.cumsum(counts)[:-1])
-                columns = [column(batch, "doc_id")[i:j], pa.array(counts, pa.int64()), pa.array([hashlib.sha256(decimal_line(x)).hexdigest() for x in parts]), pa.array([hashlib.sha256(ranks.decode(x)).hexdigest() for x in parts])]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return docs.select(docs["doc_id"].cast("long"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+                columns = {"doc_id": column(batch, "doc_id")[i:j], "n_tokens": pa.array(counts, pa.int64())}
+                if with_ids:
+                    columns["ids"] = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(ids, pa.int32()))
+                columns["ids_sha256"] = pa.array([hashlib.sha256(decimal_line(x)).hexdigest() for x in parts])
+                columns["decoded_sha256"] = pa.array([hashlib.sha256(ranks.decode(x)).hexdigest() for x in parts])
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    return docs.select(docs["doc_id"].cast("long"), "text").mapInArrow(run, f"doc_id long, n_tokens long,{' ids array<int>,' * with_ids} ids_sha256 string, decoded_sha256 string")

@@ -20,7 +20,8 @@ passed over; all others are confirmed by exact intersection and union sizes.
 Defined results: null, empty and blank texts have no shingle, link with nothing and keep
 their own id; fewer words than five are one shingle of all words; rows with equal doc_id
 are one document whose set is that of the row with the largest set (they share its
-component); further columns are ignored.
+component); rows without doc_id link with nothing, keep a null component and are kept;
+further columns are ignored.
 """
 
 from __future__ import annotations
@@ -201,7 +202,8 @@ def _across(buckets: DataFrame, least: float) -> DataFrame:
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept (doc_id = component_id)."""
     least = percent / 100 - MARGIN
-    rows = written(sketches(docs), "sketches")
+    found = sketches(docs)
+    rows = written(found.withColumn("class", F.when(F.col("doc_id").isNotNull(), F.col("class"))), "sketches")
     # a class is named by its least doc_id
     names = written(rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("id")), "classes")
     heads = rows.join(names, (F.col("doc_id") == F.col("id")) & (rows["class"] == names["class"]), "left_semi").select(F.col("doc_id").alias("id"), "signature", "bands").dropDuplicates(["id", "signature"])
@@ -227,6 +229,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return named.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def deduplicated(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The documents, with all their columns, of which one of each group stays: the one with the least doc_id."""
+    gone = near_duplicates(docs, percent).where(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["doc_id"], "left_anti")
+
+
 def _native_estimate(a: str, b: str):
     """As estimate(), for two binary columns of BITS = 2, by JVM functions."""
     words = HASHES * BITS // 8 // 8

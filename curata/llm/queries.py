@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from curata.llm import bpe, minhash, token_count, token_store
+from curata.llm import bpe, langid, minhash, mixing, quality, token_count, token_store
 
 RANKS = "byte_bpe_50k.tiktoken"
 VOCABULARY = "byte_bpe_50k.json"
@@ -18,6 +19,22 @@ def op1_byte_bpe(spark, sf_dir):
     return bpe.round_trip_digests(_documents(spark, sf_dir), public_tokenizers.path(RANKS))
 
 
+def op3_language_id(spark, sf_dir):
+    docs = _documents(spark, sf_dir)
+    found = langid.identify(docs, langid.fit(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op6_quality(spark, sf_dir):
+    docs = _documents(spark, sf_dir)
+    found = quality.score(docs, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return found.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op7_mixing(spark, sf_dir):
+    return mixing.mix(_documents(spark, sf_dir), max_epochs=3, seed=7)
+
+
 def op8_token_counts(spark, sf_dir):
     return token_count.token_counts(_documents(spark, sf_dir), public_tokenizers.path(VOCABULARY), limit=1024)
 
@@ -30,5 +47,5 @@ def op10_minhash(spark, sf_dir):
     return minhash.near_duplicates(_documents(spark, sf_dir), percent=75)
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op8_token_counts, op9_token_store, op10_minhash)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_language_id, op6_quality, op7_mixing, op8_token_counts, op9_token_store, op10_minhash)}
 ORACLE_SQL: dict[str, str] = {}
