@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from curata.llm import bpe, langid, minhash, mixing, quality, token_count, token_store
+from curata.llm import bpe, cover_tree, digest, langid, minhash, mixing, quality, token_count, token_store
 
 RANKS = "byte_bpe_50k.tiktoken"
 VOCABULARY = "byte_bpe_50k.json"
@@ -19,12 +19,20 @@ def op1_byte_bpe(spark, sf_dir):
     return bpe.round_trip_digests(_documents(spark, sf_dir), public_tokenizers.path(RANKS))
 
 
+def op2_cover_tree(spark, sf_dir):
+    return cover_tree.links(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), cosine=0.9)
+
+
 def op3_language_id(spark, sf_dir):
     docs = _documents(spark, sf_dir)
     found = langid.identify(docs, langid.fit(docs))
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op4_fingerprints(spark, sf_dir):
+    return digest.with_next(_documents(spark, sf_dir))
+
+
 def op6_quality(spark, sf_dir):
     docs = _documents(spark, sf_dir)
     found = quality.score(docs, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
@@ -47,5 +55,5 @@ def op10_minhash(spark, sf_dir):
     return minhash.near_duplicates(_documents(spark, sf_dir), percent=75)
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_language_id, op6_quality, op7_mixing, op8_token_counts, op9_token_store, op10_minhash)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_cover_tree, op3_language_id, op4_fingerprints, op6_quality, op7_mixing, op8_token_counts, op9_token_store, op10_minhash)}
 ORACLE_SQL: dict[str, str] = {}
