@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from curata.llm import bpe, cover_tree, digest, langid, minhash, mixing, quality, token_count, token_store
+from curata.llm import backoff, bpe, cover_tree, digest, langid, minhash, mixing, quality, token_count, token_store
 
 RANKS = "byte_bpe_50k.tiktoken"
 VOCABULARY = "byte_bpe_50k.json"
@@ -33,6 +33,11 @@ def op4_fingerprints(spark, sf_dir):
     return digest.with_next(_documents(spark, sf_dir))
 
 
+def op5_backoff(spark, sf_dir):
+    found = backoff.score(_documents(spark, sf_dir), order=3, alpha=0.4, least=2)
+    return found.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"), F.round("mean_log", 6).alias("mean_log"))
+
+
 def op6_quality(spark, sf_dir):
     docs = _documents(spark, sf_dir)
     found = quality.score(docs, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
@@ -55,5 +60,5 @@ def op10_minhash(spark, sf_dir):
     return minhash.near_duplicates(_documents(spark, sf_dir), percent=75)
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_cover_tree, op3_language_id, op4_fingerprints, op6_quality, op7_mixing, op8_token_counts, op9_token_store, op10_minhash)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_cover_tree, op3_language_id, op4_fingerprints, op5_backoff, op6_quality, op7_mixing, op8_token_counts, op9_token_store, op10_minhash)}
+ORACLE_SQL: dict[str, str] = {"op5_backoff": backoff.ORACLE}
