@@ -5,13 +5,14 @@
    candidates, and by its low ``BITS`` bits, packed into a signature of 32 bytes.
 2. Documents with equal sets form a class at once (by a 128-bit digest of the set). Only
    class representatives go on, so copies never meet each other in a bucket.
-3. Within a band bucket every member is paired with the bucket's least member only, a star:
-   m - 1 pairs of m members. A pair is confirmed on the full sets.
-4. What a star misses (a bucket whose members aren't all in one component yet) is compared
-   in rounds: the members of a bucket that lie in other components than its least one are
-   paired by signature estimate, corrected for chance collisions, and confirmed. A pair is
-   checked once at most, and rounds go on until no bucket holds an unchecked pair across
-   components whose estimate could reach the threshold.
+3. Members of a band bucket are compared by signature: the estimate, corrected for chance
+   collisions, must come within ``MARGIN`` of the threshold. Each bucket gives a spanning
+   forest of such pairs, and what the forests connect is a family: every pair that shares a
+   band and could be a link lies within one family.
+4. The sets of a family's documents meet in blocks, where each pair that isn't connected yet,
+   whose sizes allow a link and whose estimate comes near enough is confirmed on the full
+   sets. Blocks give spanning forests again, so neither step emits pairs: a group of m near
+   copies gives m - 1 rows a block pair, and its later pairs are skipped as connected.
 
 Sharing a band of 4 equal minima in 32 has probability above 1 - 1e-5 at the threshold and
 grows above it. Estimates below the threshold less ``MARGIN`` (over four standard errors) are
@@ -40,7 +41,8 @@ from curata.operators.components import components
 WORDS, PERCENT = 5, 75
 HASHES, ROWS, BITS = 128, 4, 2
 MARGIN = 0.2
-BLOCK = 512
+BLOCK, BLOCK_SHINGLES = 512, 1_000_000
+BROADCAST_ROWS = 1_000_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -107,6 +109,17 @@ def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (equal - chance) / (1 - chance)
 
 
+_EVEN = np.uint64(0x5555555555555555)
+
+
+def _fast_estimate(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """As estimate(), for signatures of BITS = 2 as 64-bit words: one [words] against others [n, words]."""
+    apart = others ^ one
+    apart = np.bitwise_count((apart | (apart >> np.uint64(1))) & _EVEN).sum(axis=1, dtype=np.int64)
+    chance = 0.5**BITS
+    return (1 - apart / HASHES - chance) / (1 - chance)
+
+
 def bands(least: np.ndarray) -> np.ndarray:
     keys = least.reshape(-1, ROWS).astype(np.uint64) * powers(ROWS + 1, 0xC2B2AE3D27D4EB4F)[1:]
     return mix(keys.sum(axis=1) + np.arange(HASHES // ROWS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
@@ -134,69 +147,115 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.select(docs["doc_id"].cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, class binary, signature binary, bands array<long>")
 
 
-def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """id, shingles (sorted, 8 bytes each) of the documents in ids."""
+def _forest(n: int, i: np.ndarray, j: np.ndarray) -> list[int]:
+    """Which of the edges (i, j) over n points join two parts not joined by those before."""
+    root = list(range(n))
 
-    def run(batches):
-        for batch in batches:
-            data, offsets = texts(column(batch, "text"))
-            for i, j in slices(offsets):
-                found = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                yield pa.RecordBatch.from_arrays([column(batch, "id")[i:j], pa.array([x.astype("<u8").tobytes() for x in found], pa.binary())], ["id", "shingles"])
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    kept = []
+    for k, (x, y) in enumerate(zip(i.tolist(), j.tolist(), strict=True)):
+        x, y = find(x), find(y)
+        if x != y:
+            root[y] = x
+            kept.append(k)
+    return kept
 
-    return docs.select(docs["doc_id"].cast("long").alias("id"), "text").join(ids, "id", "left_semi").mapInArrow(run, "id long, shingles binary")
 
+def _estimated(buckets: DataFrame, least: float) -> DataFrame:
+    """(a, b): links that join, within each bucket, all members whose estimates reach ``least`` to one another.
 
-def _confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Of pairs(a, b), those whose full sets are alike enough."""
+    buckets: band, id, signature. A bucket is dealt into blocks of about BLOCK, and pairs of blocks are
+    compared; of each comes a spanning forest, so rows grow with members, not with their pairs.
+    """
 
     def run(batches):
         for batch in batches:
-            a, b = column(batch, "sa").to_pylist(), column(batch, "sb").to_pylist()
-            keep = []
-            for k, (x, y) in enumerate(zip(a, b, strict=True)):
-                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                    continue
-                both = np.intersect1d(x, y, assume_unique=True).size
-                if 100 * both >= percent * (len(x) + len(y) - both):
-                    keep.append(k)
-            yield pa.RecordBatch.from_arrays([column(batch, "a"), column(batch, "b")], ["a", "b"]).take(pa.array(keep, pa.int64()))
-
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    shingles = written(_sets(docs, ids), "candidate-sets")
-    right = shingles.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    left = shingles.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
-
-
-def _across(buckets: DataFrame, least: float) -> DataFrame:
-    """Candidate pairs (a, b) of members of one bucket in different components. buckets: band, id, comp, signature.
-
-    Rows of a bucket are dealt into blocks and blocks into pairs, so that a bucket of any size is compared in
-    tasks of bounded memory; only pairs whose estimate reaches ``least`` leave them.
+            out_a, out_b = [], []
+            for one, two in zip(column(batch, "one").to_pylist(), column(batch, "two").to_pylist(), strict=True):
+                same = two is None
+                rows = one if same else one + two
+                ids = np.array([x["id"] for x in rows])
+                marks = np.frombuffer(b"".join(x["signature"] for x in rows), np.uint64).reshape(len(rows), -1)
+                left, right = [], []
+                for k in range(len(one)):
+                    first = k + 1 if same else len(one)
+                    near = np.flatnonzero(_fast_estimate(marks[k], marks[first:]) >= least) + first
+                    left.append(np.full(len(near), k))
+                    right.append(near)
+                i, j = np.concatenate(left), np.concatenate(right)
+                kept = _forest(len(rows), i, j)
+                out_a += ids[i[kept]].tolist()
+                out_b += ids[j[kept]].tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
+
+    return _paired(buckets, ["band"], "struct(id, signature)").mapInArrow(run, "a long, b long").distinct()
+
+
+def _paired(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """one, two: the values of each block of each group, and (null: itself) of each further block of the group.
+
+    rows: keys, block, n_blocks and what value names. Only groups of several blocks are joined with themselves.
+    """
+    blocks = rows.groupBy(*keys, "block", "n_blocks").agg(F.collect_list(F.expr(value)).alias("one"))
+    kind = blocks.schema["one"].dataType
+    alone = blocks.select("one", F.lit(None).cast(kind).alias("two"))
+    large = rows.where("n_blocks > 1").groupBy(*keys, "block", "n_blocks").agg(F.collect_list(F.expr(value)).alias("one"))
+    left = large.select(*keys, "block", "one", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("other")).where("block < other")
+    right = large.select(*keys, F.col("block").alias("other"), F.col("one").alias("two"))
+    return alone.unionByName(left.join(right, [*keys, "other"]).select("one", "two"))
+
+
+def _linked(families: DataFrame, docs: DataFrame, percent: int, least: float) -> DataFrame:
+    """(a, b): links, confirmed on full sets, that connect what all links within a family connect.
+
+    families: id, family, block, n_blocks, signature. Every document's set goes to its family's blocks.
     """
+    wanted = families.withColumnRenamed("id", "f_id").withColumnRenamed("signature", "f_mark")
+    if families.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+
+    def sets(batches):
+        for batch in batches:
+            data, offsets = texts(column(batch, "text"))
+            for i, j in slices(offsets):
+                found = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                own = batch.slice(i, j - i)
+                yield pa.RecordBatch.from_arrays([*(column(own, x) for x in ("id", "family", "block", "n_blocks", "mark")), pa.array([x.astype("<u8").tobytes() for x in found], pa.binary())], ["id", "family", "block", "n_blocks", "mark", "shingles"])
 
     def run(batches):
         for batch in batches:
             out_a, out_b = [], []
-            for one, two in zip(column(batch, "one").to_pylist(), column(batch, "two").to_pylist(), strict=True):
-                ia, ib = np.array([x["id"] for x in one]), np.array([x["id"] for x in two])
-                ca, cb = np.array([x["comp"] for x in one]), np.array([x["comp"] for x in two])
-                sa, sb = (np.frombuffer(b"".join(x["signature"] for x in y), np.uint8).reshape(len(y), -1) for y in (one, two))
-                for k in range(len(ia)):
-                    near = (ca[k] != cb) & (ia[k] < ib)
-                    near[near] = estimate(sa[k][None, :], sb[near]) >= least
-                    out_a += [ia[k]] * int(near.sum())
-                    out_b += ib[near].tolist()
+            for k in range(len(batch)):
+                one, two = column(batch, "one")[k].as_py(), column(batch, "two")[k].as_py()
+                same = two is None
+                rows = one if same else one + two
+                own = [np.frombuffer(x["shingles"], "<u8") for x in rows]
+                size, ids = np.array([len(x) for x in own]), np.array([x["id"] for x in rows])
+                marks = np.frombuffer(b"".join(x["mark"] for x in rows), np.uint64).reshape(len(rows), -1)
+                label = np.arange(len(rows))
+                for i in range(len(one)):
+                    first = i + 1 if same else len(one)
+                    there = np.arange(first, len(rows))
+                    there = there[(label[there] != label[i]) & (100 * np.minimum(size[there], size[i]) >= percent * np.maximum(size[there], size[i]))]
+                    there = there[_fast_estimate(marks[i], marks[there]) >= least]
+                    for j in there.tolist():
+                        if label[i] == label[j]:
+                            continue
+                        both = np.intersect1d(own[i], own[j], assume_unique=True).size
+                        if 100 * both >= percent * (size[i] + size[j] - both):
+                            out_a.append(ids[i])
+                            out_b.append(ids[j])
+                            label[label == label[j]] = label[i]
             yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
 
-    mixed = buckets.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo <> hi")
-    rows = buckets.join(mixed, "band").withColumn("n_blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int"))
-    block = rows.groupBy("band", "block", "n_blocks").agg(F.collect_list(F.struct("id", "comp", "signature")).alias("rows"))
-    one = block.select("band", "block", F.col("rows").alias("one"), F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("other"))
-    two = block.select("band", F.col("block").alias("other"), F.col("rows").alias("two"))
-    return one.join(two, ["band", "other"]).select("one", "two").mapInArrow(run, "a long, b long").distinct()
+    text = docs.select(docs["doc_id"].cast("long").alias("id"), "text").join(wanted, F.col("id") == F.col("f_id")).select("id", "text", "family", "block", "n_blocks", F.col("f_mark").alias("mark"))
+    rows = text.mapInArrow(sets, "id long, family long, block int, n_blocks int, mark binary, shingles binary")
+    return _paired(rows, ["family"], "struct(id, mark, shingles)").mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -206,24 +265,16 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows = written(found.withColumn("class", F.when(F.col("doc_id").isNotNull(), F.col("class"))), "sketches")
     # a class is named by its least doc_id
     names = written(rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("id")), "classes")
-    heads = rows.join(names, (F.col("doc_id") == F.col("id")) & (rows["class"] == names["class"]), "left_semi").select(F.col("doc_id").alias("id"), "signature", "bands").dropDuplicates(["id", "signature"])
-    buckets = heads.select("id", "signature", F.explode("bands").alias("band"))
-    shared = buckets.groupBy("band").agg(F.min("id").alias("head"), F.count("*").alias("size")).where("size > 1")
-    members = written(buckets.join(shared, "band").select("band", "id", "head", "signature"), "buckets")
-    marks = members.where("id = head").select("band", "head", F.col("signature").alias("mark"))
-    stars = members.where("id <> head").join(marks, ["band", "head"]).where(_native_estimate("signature", "mark") >= least)
-    checked = written(stars.select(F.col("head").alias("a"), F.col("id").alias("b")).distinct(), "candidates")
-    links = written(_confirm(checked, docs, percent), "links")
-    while True:
-        comps = components(links)
-        now = members.join(comps.withColumnRenamed("component", "comp"), "id", "left").select("band", "id", F.coalesce("comp", "id").alias("comp"), "signature")
-        more = written(_across(written(now, "buckets"), least).join(checked, ["a", "b"], "left_anti"), "candidates")
-        if more.isEmpty():
-            break
-        found = written(_confirm(more, docs, percent), "links")
-        if found.isEmpty():
-            break
-        checked, links = checked.unionByName(more), links.unionByName(found)
+    heads = rows.join(names, (F.col("doc_id") == F.col("id")) & (rows["class"] == names["class"]), "left_semi").select(F.col("doc_id").alias("id"), "signature", "n_shingles", "bands").dropDuplicates(["id", "signature"])
+    members = heads.select("id", "signature", F.explode("bands").alias("band"))
+    sizes = members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
+    members = members.join(sizes, "band").withColumn("n_blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+    members = written(members.select("band", "id", "signature", "n_blocks", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int").alias("block")), "buckets")
+    families = components(_estimated(members, least)).withColumnRenamed("component", "family")
+    families = families.join(heads.select("id", "signature", "n_shingles"), "id")
+    parts = families.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("n_blocks"))
+    families = families.join(parts, "family").select("id", "family", "signature", "n_blocks", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int").alias("block"))
+    comps = components(_linked(written(families, "families"), docs, percent, least))
     named = names.join(comps, "id", "left").select("class", F.coalesce("component", "id").alias("component_id"))
     named = rows.select("doc_id", "n_shingles", "class").join(named, "class", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     return named.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -233,16 +284,3 @@ def deduplicated(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents, with all their columns, of which one of each group stays: the one with the least doc_id."""
     gone = near_duplicates(docs, percent).where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(gone, docs["doc_id"].cast("long") == gone["doc_id"], "left_anti")
-
-
-def _native_estimate(a: str, b: str):
-    """As estimate(), for two binary columns of BITS = 2, by JVM functions."""
-    words = HASHES * BITS // 8 // 8
-    equal = F.lit(0)
-    for k in range(words):
-        x, y = (F.conv(F.hex(F.substring(c, 8 * k + 1, 8)), 16, -10).cast("long") for c in (a, b))
-        apart = x.bitwiseXOR(y)
-        any_bit = apart.bitwiseOR(F.shiftrightunsigned(apart, 1)).bitwiseAND(F.lit(0x5555555555555555))
-        equal = equal + F.lit(HASHES // words) - F.bit_count(any_bit)
-    chance = 0.5**BITS
-    return (equal / F.lit(float(HASHES)) - chance) / (1 - chance)

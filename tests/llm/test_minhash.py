@@ -2,7 +2,6 @@ import random
 import re
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from curata.llm import minhash
 
@@ -67,16 +66,19 @@ def test_no_documents(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
-def test_estimates_agree(spark):
+def test_large_groups_over_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    rows = made(200, seed=8)
+    assert result(spark, rows) == brute(rows)
+
+
+def test_estimates():
     rng = np.random.default_rng(5)
     base = rng.integers(0, 2**63, 800).astype(np.uint64)
-    rows = []
     for share in (0.0, 0.5, 0.86, 1.0):
         k = int(800 * share)
         other = np.concatenate([base[:k], rng.integers(0, 2**63, 800 - k).astype(np.uint64)])
         a, b = (minhash.signature(minhash.minima(np.unique(x))) for x in (base, other))
         est = float(minhash.estimate(np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)))
         assert abs(est - k / (1600 - k)) < 0.2
-        rows.append((bytearray(a), bytearray(b), est))
-    frame = spark.createDataFrame(rows, "a binary, b binary, want double")
-    assert frame.where(F.abs(minhash._native_estimate("a", "b") - F.col("want")) > 1e-9).count() == 0
+        assert abs(minhash._fast_estimate(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)[None, :])[0] - est) < 1e-9
