@@ -19,6 +19,7 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v and u is not null and v is not null").distinct()
     edges = written(edges, "links")
+    known = _digest(edges)
     for _ in range(most_rounds):
         # large star: neighbours above a vertex go to the least of its neighbourhood
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -28,9 +29,8 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(least.select("u", F.col("m").alias("v"))).distinct()
         new = written(small, "links")
-        changed = _digest(new) != _digest(edges)
-        edges = new
-        if not changed:
+        edges, before, known = new, known, _digest(new)
+        if known == before:
             break
     else:
         raise RuntimeError(f"components did not settle in {most_rounds} rounds")

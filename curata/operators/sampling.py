@@ -17,7 +17,7 @@ def stratified(rows: DataFrame, stratum: str, key: str, n: int, seed: str) -> Da
     quotas = sizes.join(F.broadcast(total)).withColumn("_quota", F.greatest(F.lit(1), F.bround(n * F.col("_m") / F.col("_total"))).cast("int"))  # total is one row
     w = Window.partitionBy(stratum).orderBy("_h", key)
     own = rows.withColumn("_h", order_of(seed, F.col(key)))
-    ranked = own.join(F.broadcast(quotas.select(stratum, "_quota").limit(100_000)), stratum).withColumn("_r", F.row_number().over(w))
+    ranked = own.join(quotas.select(stratum, "_quota"), stratum).withColumn("_r", F.row_number().over(w))
     return ranked.withColumn("_late", (F.col("_r") > F.col("_quota")).cast("int")).orderBy("_late", "_h", key).limit(n).drop("_h", "_quota", "_r", "_late")
 
 
