@@ -35,6 +35,7 @@ from curata.operators.components import components
 BLOCK, SAMPLE, CELL = 4096, 4096, 8192
 SLACK = 1e-3
 MOST_PIVOTS = 256
+TREE = pa.struct([("id", pa.binary()), ("m", pa.binary()), ("x", pa.binary()), ("levels", pa.list_(pa.struct([("centres", pa.binary()), ("up", pa.binary()), ("cover", pa.binary())])))])
 
 
 def units(lists: pa.Array) -> list[bytes | None]:
@@ -83,7 +84,6 @@ class Tree:
         member = np.zeros(len(x), np.int64)  # the node of each point on the level so far
         centres, radius = np.zeros(1, np.int64), 2.0
         self.levels = [(centres, np.zeros(1, np.int64), self._cover(centres, member))]
-        self.member = [member]
         while radius > finest and len(centres) < len(x):
             radius /= 2
             own, up, node = [], [], np.empty(len(x), np.int64)
@@ -101,12 +101,18 @@ class Tree:
                         centre = rest[0]
             centres, member = np.array(own), node
             self.levels.append((centres, np.array(up), self._cover(centres, member)))
-            self.member.append(member)
         if len(centres) < len(x):  # the points themselves
             self.levels.append((np.arange(len(x)), member, np.zeros(len(x))))
         elif (centres != np.arange(len(x))).any():
             self.levels.append((np.arange(len(x)), member, np.zeros(len(x))))
 
+    @classmethod
+    def of(cls, x: np.ndarray, levels: list) -> Tree:
+        """A tree built before, over the same points."""
+        tree = cls.__new__(cls)
+        tree.x, tree.levels = x, levels
+        return tree
+
     def _cover(self, centres, member):
         apart = np.sqrt(np.maximum(0, 2 - 2 * np.einsum("ij,ij->i", self.x, self.x[centres[member]], dtype=np.float64)))
         out = np.zeros(len(centres))
@@ -114,6 +120,11 @@ class Tree:
         return out
 
 
+def _least_product(bound: np.ndarray) -> np.ndarray:
+    """The inner product of two unit vectors that far apart."""
+    return (1 - bound * bound / 2).astype(np.float32)
+
+
 def near_pairs(a: Tree, b: Tree, eps: float) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of points (of a, of b) that may be within eps: those that no covering-radius bound keeps apart."""
     rows, columns = np.zeros(1, np.int64), np.zeros(1, np.int64)
@@ -133,10 +144,16 @@ def near_pairs(a: Tree, b: Tree, eps: float) -> tuple[np.ndarray, np.ndarray]:
         (rows, up_a, ca, ra), (columns, up_b, cb, rb) = sides
         if not len(rows) or not len(columns):
             break
-        allowed = active[np.ix_(up_a, up_b)]
-        bound = (ra[:, None] + rb[None, :] + (eps + SLACK)).astype(np.float32)
-        close = 2 - 2 * (a.x[ca] @ b.x[cb].T) <= bound * bound
-        active = allowed & close
+        product = a.x[ca] @ b.x[cb].T
+        close = product >= np.float32(1 - (eps + SLACK) ** 2 / 2)  # as if no node covered more than its centre
+        wide_a, wide_b = np.flatnonzero(ra), np.flatnonzero(rb)
+        if len(wide_a):
+            close[wide_a] = product[wide_a] >= _least_product(ra[wide_a, None] + rb[None, :] + (eps + SLACK))
+        if len(wide_b):
+            close[:, wide_b] = product[:, wide_b] >= _least_product(ra[:, None] + rb[None, wide_b] + (eps + SLACK))
+        if not active.all():
+            close &= active[np.ix_(up_a, up_b)]
+        active = close
         keep_a, keep_b = active.any(axis=1), active.any(axis=0)
         rows, columns, active = rows[keep_a], columns[keep_b], active[np.ix_(keep_a, keep_b)]
     i, j = np.nonzero(active) if len(rows) and len(columns) else (np.zeros(0, np.int64),) * 2
@@ -163,20 +180,16 @@ def _local_least(n: int, i: np.ndarray, j: np.ndarray, ids: np.ndarray) -> np.nd
 
 
 def _links(one: dict, two: dict, cosine: float, eps: float, same: bool) -> tuple:
-    x, y = one["x"], two["x"]
-    ta = Tree(x.astype(np.float32), eps / 4)
-    tb = ta if same else Tree(y.astype(np.float32), eps / 4)
-    i, j = near_pairs(ta, tb, eps)
+    """id, links and least id reached, of the points of two blocks that are linked between (or, if same, within) them."""
+    i, j = near_pairs(one["tree"], two["tree"], eps)
     if same:
         i, j = i[i < j], j[i < j]
-    real = confirmed(x, y, i, j, cosine)
+    real = confirmed(one["x"], two["x"], i, j, cosine)
     i, j = i[real], j[real]
     if same:
-        ids, weight = one["id"], one["m"]
-        k = j
+        ids, weight, k = one["id"], one["m"], j
     else:
-        ids, weight = np.concatenate([one["id"], two["id"]]), np.concatenate([one["m"], two["m"]])
-        k = j + len(x)
+        ids, weight, k = np.concatenate([one["id"], two["id"]]), np.concatenate([one["m"], two["m"]]), j + len(one["id"])
     n = np.zeros(len(ids), np.int64)
     np.add.at(n, i, weight[k])
     np.add.at(n, k, weight[i])
@@ -231,7 +244,19 @@ def links(vectors: DataFrame, cosine: float = 0.9, block: int = BLOCK) -> DataFr
     blocks_of = spark.createDataFrame([(r["dim"], r["cell"], -(-r["n"] // block)) for r in cells], "dim int, cell int, blocks int")
     rows_in = placed.join(F.broadcast(blocks_of), ["dim", "cell"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     packed = rows_in.groupBy("dim", "cell", "block").agg(F.collect_list(F.struct("id", "m", "unit")).alias("points"))
-    packed = written(packed, "blocks")
+
+    def built(batches):
+        for batch in batches:
+            for k in range(len(batch)):
+                points = column(batch, "points")[k].values
+                x = np.frombuffer(b"".join(points.field("unit").to_pylist())).reshape(len(points), -1)
+                tree = Tree(x.astype(np.float32), eps / 4)
+                levels = [{"centres": c.astype(np.int64).tobytes(), "up": u.astype(np.int64).tobytes(), "cover": r.tobytes()} for c, u, r in tree.levels]
+                packed = {"id": points.field("id").to_numpy().tobytes(), "m": points.field("m").to_numpy().tobytes(), "x": x.tobytes(), "levels": levels}
+                yield pa.RecordBatch.from_arrays([column(batch, c)[k : k + 1] for c in ("dim", "cell", "block")] + [pa.array([packed], TREE)], ["dim", "cell", "block", "points"])
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")  # rows are blocks from here on
+    packed = written(packed.mapInArrow(built, "dim int, cell int, block int, points struct<id: binary, m: binary, x: binary, levels: array<struct<centres: binary, up: binary, cover: binary>>>"), "blocks")
     one = packed.join(F.broadcast(pairs), ["dim", "cell"]).select("dim", F.col("cell").alias("c1"), F.col("block").alias("b1"), F.col("other").alias("c2"), F.col("points").alias("one"))
     two = packed.select("dim", F.col("cell").alias("c2"), F.col("block").alias("b2"), F.col("points").alias("two"))
     # the ids of the pairs first, then each side's points; both joins are on blocks, spread over all tasks
@@ -239,8 +264,11 @@ def links(vectors: DataFrame, cosine: float = 0.9, block: int = BLOCK) -> DataFr
     work = names.join(one.select("dim", "c1", "b1", "c2", "one"), ["dim", "c1", "b1", "c2"]).join(two, ["dim", "c2", "b2"]).select((F.expr("c1 = c2 and b1 = b2")).alias("same"), "one", "two")
 
     def traversed(batches):
-        def opened(points):
-            return {"id": np.array([p["id"] for p in points], np.int64), "m": np.array([p["m"] for p in points], np.int64), "x": np.frombuffer(b"".join(p["unit"] for p in points)).reshape(len(points), -1)}
+        def opened(p):
+            ids = np.frombuffer(p["id"], np.int64)
+            x = np.frombuffer(p["x"]).reshape(len(ids), -1)
+            levels = [(np.frombuffer(v["centres"], np.int64), np.frombuffer(v["up"], np.int64), np.frombuffer(v["cover"])) for v in p["levels"]]
+            return {"id": ids, "m": np.frombuffer(p["m"], np.int64), "x": x, "tree": Tree.of(x.astype(np.float32), levels)}
 
         for batch in batches:
             for k in range(len(batch)):
@@ -249,7 +277,6 @@ def links(vectors: DataFrame, cosine: float = 0.9, block: int = BLOCK) -> DataFr
                 found = _links(a, a if same else opened(y), cosine, eps, same)
                 yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in found], ["id", "n", "least"])
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
     found = written(work.mapInArrow(traversed, "id long, n long, least long"), "links")
     tune(spark)
     comps = components(found.select(F.col("id").alias("a"), F.col("least").alias("b")))
