@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -28,3 +29,15 @@ def written(frame: DataFrame, name: str, *partition_by: str) -> DataFrame:
     spark, folder = frame.sparkSession, new_folder(frame.sparkSession, name)
     frame.write.partitionBy(*partition_by).parquet(folder)
     return spark.read.schema(frame.schema).parquet(folder)
+
+
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Shuffle files of the queries that end within are removed with them, where this version of Spark can do so."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    try:
+        spark.conf.set(key, "true")
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
