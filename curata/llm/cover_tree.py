@@ -115,6 +115,7 @@ class Tree:
 
     def _cover(self, centres, member):
         apart = np.sqrt(np.maximum(0, 2 - 2 * np.einsum("ij,ij->i", self.x, self.x[centres[member]], dtype=np.float64)))
+        apart[centres[member] == np.arange(len(member))] = 0  # not the rounding error of a centre's distance to itself
         out = np.zeros(len(centres))
         np.maximum.at(out, member, apart)
         return out
