@@ -28,11 +28,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curata.functions.storage import written
+from curata.functions.storage import shuffles_dropped, written
 from curata.llm.buffers import column, mix, span_hashes, texts, tune
 from curata.llm.minhash import _BLANK, _LOWER
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 BUCKET_ENTRIES = 4_000_000
 ORDER, ALPHA, LEAST = 3, 0.4, 2
 
@@ -64,16 +64,16 @@ def _unpack(payload: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(size, -1).T).view(kind).ravel()
 
 
-def ngrams(hashes: np.ndarray, per: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def ngrams(hashes: np.ndarray, per: np.ndarray, order: int):
     """For each order k from 1: (hash of the n-gram that ends at each place, whether it lies within one text)."""
-    rank = np.arange(len(hashes)) - np.repeat(np.cumsum(per) - per, per)
-    out, have = [(hashes, np.ones(len(hashes), bool))], hashes
+    rank = (np.arange(len(hashes)) - np.repeat(np.cumsum(per) - per, per)).astype(np.int32)
+    have = hashes
+    yield have, np.ones(len(hashes), bool)
     for k in range(2, order + 1):
         longer = np.zeros_like(have)
         longer[1:] = mix(have[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:] + np.uint64(k))
-        out.append((longer, rank >= k - 1))
+        yield longer, rank >= k - 1
         have = longer
-    return out
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
@@ -82,10 +82,12 @@ def _blocks(docs: DataFrame) -> DataFrame:
         ids, hashes, per, size = [], [], [], 0
 
         def full():
-            vocabulary, stream = np.unique(np.concatenate(hashes), return_inverse=True)
+            vocabulary, stream, count = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+            rank = np.empty(len(count), np.uint32)
+            rank[_by_count(count)] = np.arange(len(count), dtype=np.uint32)
             own = np.concatenate(per)
-            columns = [pa.array([task + n]), pa.array([sum((x.to_pylist() for x in ids), [])], pa.list_(pa.int64())), pa.array([own.astype(np.int32)], pa.list_(pa.int32())), pa.array([_pack(vocabulary)], pa.binary()), pa.array([_pack(stream.astype(np.uint32))], pa.binary()), pa.array([len(stream)])]
-            return pa.RecordBatch.from_arrays(columns, ["block", "doc_ids", "per", "vocabulary", "stream", "n"])
+            columns = [pa.array([task + n]), pa.array([sum((x.to_pylist() for x in ids), [])], pa.list_(pa.int64())), pa.array([own.astype(np.int32)], pa.list_(pa.int32())), pa.array([_pack(np.diff(vocabulary, prepend=np.uint64(0)))], pa.binary()), pa.array([_pack(count.astype(np.uint32))], pa.binary()), pa.array([_pack(rank[stream])], pa.binary()), pa.array([len(stream)])]
+            return pa.RecordBatch.from_arrays(columns, ["block", "doc_ids", "per", "vocabulary", "vocabulary_n", "stream", "n"])
 
         for batch in batches:
             data, offsets = texts(column(batch, "text"))
@@ -107,11 +109,19 @@ def _blocks(docs: DataFrame) -> DataFrame:
         if ids:
             yield full()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "block long, doc_ids array<long>, per array<int>, vocabulary binary, stream binary, n long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "block long, doc_ids array<long>, per array<int>, vocabulary binary, vocabulary_n binary, stream binary, n long")
+
+
+def _by_count(count: np.ndarray) -> np.ndarray:
+    """Places of the vocabulary by falling count: common words get small numbers, which pack well."""
+    return np.argsort(-count.astype(np.int64), kind="stable")
 
 
-def _opened(vocabulary: bytes, stream: bytes) -> np.ndarray:
-    return _unpack(vocabulary, np.uint64)[_unpack(stream, np.uint32)]
+def _opened(batch: pa.RecordBatch, k: int) -> np.ndarray:
+    """The word hashes of block k of a batch, in order."""
+    vocabulary = np.cumsum(_unpack(column(batch, "vocabulary")[k].as_py(), np.uint64), dtype=np.uint64)
+    order = _by_count(_unpack(column(batch, "vocabulary_n")[k].as_py(), np.uint32))
+    return vocabulary[order][_unpack(column(batch, "stream")[k].as_py(), np.uint32)]
 
 
 def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, least: int = LEAST) -> DataFrame:
@@ -126,7 +136,7 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, least: int
         for batch in batches:
             for k in range(len(batch)):
                 block = column(batch, "block")[k].as_py()
-                hashes = _opened(column(batch, "vocabulary")[k].as_py(), column(batch, "stream")[k].as_py())
+                hashes = _opened(batch, k)
                 per = np.array(column(batch, "per")[k].as_py(), np.int64)
                 for size, (codes, whole) in enumerate(ngrams(hashes, per, order), 1):
                     keys, n = np.unique(codes[whole], return_counts=True)
@@ -151,13 +161,13 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, least: int
     def scored(batches):
         for batch in batches:
             for k in range(len(batch)):
-                hashes = _opened(column(batch, "vocabulary")[k].as_py(), column(batch, "stream")[k].as_py())
+                hashes = _opened(batch, k)
                 per = np.array(column(batch, "per")[k].as_py(), np.int64)
                 parts = column(batch, "parts")[k].as_py() or []
                 counts = []
                 for size, (codes, whole) in enumerate(ngrams(hashes, per, order), 1):
                     own = [_unpack(x["counts"], np.uint64) for x in parts if x["size"] == size]  # in the order of the buckets, so of the keys
-                    n = np.zeros(len(codes), np.int64)
+                    n = np.zeros(len(codes), np.int64 if total > 2**31 else np.int32)
                     if own:
                         _, where = np.unique(codes[whole], return_inverse=True)
                         n[whole] = np.concatenate(own)[where]
@@ -169,11 +179,13 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, least: int
                 yield pa.RecordBatch.from_arrays([column(batch, "doc_ids")[k].values, pa.array(per), pa.array(result, pa.float64())], ["doc_id", "n_words", "log_score"])
 
     small = docs.sparkSession
-    small.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")  # rows are blocks here
-    exploded = blocks.select("block", "per", "vocabulary", "stream").mapInArrow(explode, "bucket int, block long, size int, keys binary, n binary")
+    small.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")  # rows are blocks here
+    exploded = blocks.select("block", "per", "vocabulary", "vocabulary_n", "stream").mapInArrow(explode, "bucket int, block long, size int, keys binary, n binary")
     counts = exploded.groupBy("bucket").applyInArrow(counted, "block long, bucket int, size int, counts binary")
+    with shuffles_dropped(small):  # the exploded n-grams are the largest thing here, and not needed once counted
+        counts = written(counts, "ngram-counts")
     parts = counts.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("size", "bucket", "counts"))).alias("parts"))
-    joined = blocks.join(parts, "block", "left").select("doc_ids", "per", "vocabulary", "stream", "parts")
+    joined = blocks.join(parts, "block", "left").select("doc_ids", "per", "vocabulary", "vocabulary_n", "stream", "parts")
     found = written(joined.mapInArrow(scored, "doc_id long, n_words long, log_score double"), "scores")
     tune(small)
     return found.withColumn("mean_log", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")))
