@@ -32,7 +32,7 @@ from curata.functions.storage import shuffles_dropped, written
 from curata.llm.buffers import column, mix, span_hashes, texts, tune
 from curata.llm.minhash import _BLANK, _LOWER
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 10 << 20
 BUCKET_ENTRIES = 4_000_000
 ORDER, ALPHA, LEAST = 3, 0.4, 2
 
@@ -171,6 +171,7 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, least: int
                     if own:
                         _, where = np.unique(codes[whole], return_inverse=True)
                         n[whole] = np.concatenate(own)[where]
+                        del where
                     counts.append(n)
                 logs = position_scores(counts, total, alpha, least)
                 sums = np.concatenate([[0.0], np.cumsum(logs)])
@@ -179,7 +180,7 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, least: int
                 yield pa.RecordBatch.from_arrays([column(batch, "doc_ids")[k].values, pa.array(per), pa.array(result, pa.float64())], ["doc_id", "n_words", "log_score"])
 
     small = docs.sparkSession
-    small.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")  # rows are blocks here
+    small.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")  # rows are blocks here
     exploded = blocks.select("block", "per", "vocabulary", "vocabulary_n", "stream").mapInArrow(explode, "bucket int, block long, size int, keys binary, n binary")
     counts = exploded.groupBy("bucket").applyInArrow(counted, "block long, bucket int, size int, counts binary")
     with shuffles_dropped(small):  # the exploded n-grams are the largest thing here, and not needed once counted
