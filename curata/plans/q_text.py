@@ -219,6 +219,12 @@ def request_assembly(spark, d):
     return rows.select("doc_id", F.md5(text.assembled(F.col("doc_id").cast("string"), F.lit(""), F.col("text"), F.lit("r"), F.lit("md"), 10_000)).alias("digest"))
 
 
+@query("request_assembly_all")
+def request_assembly_all(spark, d):
+    """As request_assembly, for all documents: long ones are cut; brute force checks it in the tests."""
+    return docs(spark, d).select("doc_id", F.md5(text.assembled(F.col("doc_id").cast("string"), F.lit(""), F.col("text"), F.lit("r"), F.lit("md"), 10_000)).alias("digest"))
+
+
 @query("source_buckets", "SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN 'fred' WHEN 1 THEN 'curate_science' WHEN 2 THEN 'repwiki_ai' WHEN 3 THEN 'darpa_score' WHEN 4 THEN 'manual_other' WHEN 5 THEN 'ai_pipeline' ELSE 'unattributed' END AS bucket FROM documents")
 def source_buckets(spark, d):
     n = (F.col("doc_id") % 7 + 1).cast("int")

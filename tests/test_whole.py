@@ -1,5 +1,6 @@
 """Queries over whole tables against brute force, on tables that a cut by id, length or number would shorten."""
 
+import hashlib
 import itertools
 from difflib import SequenceMatcher
 
@@ -73,3 +74,21 @@ def test_title_fuzzy_rows_covers_all_orders(spark, lines):
     got = {(int(r.paper), r.gt) for r in catalogue.queries()["title_fuzzy_rows"](spark, d).collect()}
     want = {(p, i) for p, order in orders.items() for i, g in enumerate(order, 1) if all(_ratio(_title(g[2]), _title(e[2] + 1)) < 0.8 for e in order)}
     assert got == want == {(39, 1)}
+
+
+def _request(doc_id, text):
+    parts = ["Extract replication data from the paper below.", f"[PAPER DOI]\n{doc_id}"]
+    if text is not None:
+        t = text.strip(" ")
+        if len(t) > 20_000:
+            t = t[:11_000] + f"\n\n[... {len(t) - 20_000:,} characters omitted from the middle of the full text ...]\n\n" + t[-9_000:]
+        parts.append(f"[FULL TEXT]\n{t}")
+    return "\n\n".join([*parts, "[REFERENCE LIST: md]\nr", "Reply with the JSON object only."])
+
+
+def test_request_assembly_all_has_every_document(spark, tmp_path):
+    body = "".join(f"word{i} " for i in range(6000))
+    rows = [(i, body[:n] if n is not None else None) for i, n in enumerate([None, 0, 10, 14_999, 15_000, 19_999, 20_000, 20_001, 20_002, 33_333])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.digest for r in catalogue.queries()["request_assembly_all"](spark, str(tmp_path)).collect()}
+    assert got == {i: hashlib.md5(_request(i, t).encode()).hexdigest() for i, t in rows}
