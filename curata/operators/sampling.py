@@ -42,12 +42,21 @@ def in_bands(rows: DataFrame, size: str, key: str, bands: list[tuple[int, int]],
 
 
 def under_cap(rows: DataFrame, size: str, key: str, cap: int) -> DataFrame:
-    """Rows by rising size while they fit below the cap; one that doesn't is passed over and later ones tried. For short lists, such as a sample of papers."""
-    item = F.struct(F.col(size).cast("long").alias("n"), F.col(key).alias("k"))
+    """Rows by rising size, then key, while they fit below the cap; one that doesn't is passed over and later ones tried.
+
+    size is a count. Those of size 0 all fit; of size s at most cap / s do, so the list that is walked has some
+    cap * ln(cap) rows, however many rows there are.
+    """
+    item = F.struct(F.col("_n").alias("n"), F.col(key).alias("k"))
     step = lambda acc, x: F.when(acc["total"] + x["n"] <= cap, F.struct((acc["total"] + x["n"]).alias("total"), F.concat(acc["kept"], F.array(x["k"])).alias("kept"))).otherwise(acc)
     kind = rows.schema[key].dataType.simpleString()
     start = F.struct(F.lit(0).cast("long").alias("total"), F.array().cast(f"array<{kind}>").alias("kept"))
-    return rows.agg(F.aggregate(F.array_sort(F.collect_list(item)), start, step)["kept"].alias("kept")).select(F.explode("kept").alias(key))
+    own = rows.select(key, F.col(size).cast("long").alias("_n"))
+    free = own.where((F.col("_n") == 0) & (F.col("_n") <= cap)).select(key)
+    first = own.where((F.col("_n") > 0) & (F.col("_n") <= cap)).withColumn("_r", F.row_number().over(Window.partitionBy("_n").orderBy(key)))
+    # the first bound is a constant, so that each task keeps its own first rows of a size before the shuffle
+    able = first.where(F.col("_r") <= cap).where(F.col("_r") * F.col("_n") <= cap)
+    return able.agg(F.aggregate(F.array_sort(F.collect_list(item)), start, step)["kept"].alias("kept")).select(F.explode("kept").alias(key)).unionByName(free)
 
 
 def frame(rows: DataFrame, strata: list[tuple[str, Column, int]], key: str, seed: str) -> DataFrame:

@@ -212,6 +212,13 @@ def row_cap(spark, d):
     return sampling.under_cap(p, "n", "paper", 40)
 
 
+@query("row_cap_all")
+def row_cap_all(spark, d):
+    """As row_cap, over all orders; a walk in order checks it in the tests."""
+    p = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("paper")).agg(F.count("*").alias("n"))
+    return sampling.under_cap(p, "n", "paper", 40)
+
+
 @query("sequential_frame", "WITH a AS (SELECT doc_id FROM documents WHERE lang = 'de' ORDER BY sha256('f:' || doc_id), doc_id LIMIT 10), b AS (SELECT doc_id FROM documents WHERE n_chars > 1000 AND doc_id NOT IN (SELECT doc_id FROM a) ORDER BY sha256('f:' || doc_id), doc_id LIMIT 15) SELECT doc_id, 'german' AS stratum FROM a UNION ALL SELECT doc_id, 'long' FROM b")
 def sequential_frame(spark, d):
     return sampling.frame(docs(spark, d), [("german", F.col("lang") == "de", 10), ("long", F.col("n_chars") > 1000, 15)], "doc_id", "f")

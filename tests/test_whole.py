@@ -6,9 +6,14 @@ from difflib import SequenceMatcher
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import __spark_entry__  # noqa: F401  registers the queries
+from curata.operators import sampling
 from curata.plans import catalogue
 
+SF = "/root/testdata/sf0.001"
+
 
 @pytest.fixture(scope="module")
 def lines(spark, tmp_path_factory):
@@ -92,3 +97,27 @@ def test_request_assembly_all_has_every_document(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r.digest for r in catalogue.queries()["request_assembly_all"](spark, str(tmp_path)).collect()}
     assert got == {i: hashlib.md5(_request(i, t).encode()).hexdigest() for i, t in rows}
+
+
+def _walk(sizes, cap):
+    """Keys of {key: size} taken in order of size and key."""
+    total, kept = 0, set()
+    for n, k in sorted((n, k) for k, n in sizes.items()):
+        if total + n <= cap:
+            total, kept = total + n, kept | {k}
+    return kept
+
+
+def test_row_cap_all_takes_the_smallest_orders(spark):
+    sizes = {r.l_orderkey: r["count"] for r in spark.read.parquet(f"{SF}/lineitem.parquet").groupBy("l_orderkey").count().collect()}
+    got = {r.paper for r in catalogue.queries()["row_cap_all"](spark, SF).collect()}
+    assert got == _walk(sizes, 40) and max(got) > 120
+
+
+@pytest.mark.parametrize("cap", [0, 1, 2, 7, 40])
+def test_under_cap_of_many_rows(spark, cap):
+    sizes = {k: k * 7919 % 23 for k in range(300)}
+    rows = spark.createDataFrame(list(sizes.items()), "k long, n long")
+    assert {r.k for r in sampling.under_cap(rows, "n", "k", cap).collect()} == _walk(sizes, cap)
+    many = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") % 3 + 1).alias("n"))
+    assert {r.k for r in sampling.under_cap(many, "n", "k", cap).collect()} == _walk({k: k % 3 + 1 for k in range(5000)}, cap)
