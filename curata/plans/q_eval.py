@@ -305,6 +305,16 @@ def paper_json_scan(spark, d):
     return readers.papers_json(spark, folder, "entries array<string>").groupBy("state").agg(F.count("*").alias("n"))
 
 
+@query("paper_json_scan_all")
+def paper_json_scan_all(spark, d):
+    """As paper_json_scan, for all conversations: a file a paper, without a folder each."""
+    folder = new_folder(spark, "papers")
+    c = table(spark, d, "conversations").groupBy("conv_id").agg(F.collect_list("text").alias("entries"))
+    body = F.when(F.col("conv_id") % 7 == 0, "{not json").otherwise(F.to_json(F.struct("conv_id", "entries")))
+    c.select(body.alias("value")).write.option("maxRecordsPerFile", 1).text(folder)
+    return readers.papers_json(spark, folder, "entries array<string>").groupBy("state").agg(F.count("*").alias("n"))
+
+
 @query("page_artifacts", "SELECT CASE WHEN page_id % 2 = 0 THEN 'xml' ELSE 'pdf' END AS kind, count(*) AS n FROM pages WHERE page_id < 40 GROUP BY 1")
 def page_artifacts(spark, d):
     """Lists a tree of files; their names stand for kinds, their contents aren't read."""
@@ -315,6 +325,16 @@ def page_artifacts(spark, d):
     return files.select(F.regexp_extract("path", "kind=([a-z]+)/p=", 1).alias("kind"), F.regexp_extract("path", "/p=([0-9]+)/", 1).alias("p")).distinct().groupBy("kind").agg(F.count("*").alias("n"))
 
 
+@query("page_artifacts_all")
+def page_artifacts_all(spark, d):
+    """As page_artifacts, for all pages: a file a page, in a folder a kind."""
+    folder = new_folder(spark, "tree")
+    p = table(spark, d, "pages").select(F.col("page_id").cast("string").alias("value"), F.when(F.col("page_id") % 2 == 0, "xml").otherwise("pdf").alias("kind"))
+    p.write.option("maxRecordsPerFile", 1).partitionBy("kind").text(folder)
+    files = readers.artifacts(spark, folder).where(F.col("name").startswith("part-") & (F.col("length") > 0))
+    return files.select(F.regexp_extract("path", "/kind=([a-z]+)/", 1).alias("kind")).groupBy("kind").agg(F.count("*").alias("n"))
+
+
 @query("doi_column_detect", f"WITH {fx.CANDIDATES}, {fx.NORMED} SELECT nd AS doi, min(seq) + 1 AS row FROM normed WHERE nd IS NOT NULL GROUP BY 1")
 def doi_column_detect(spark, d):
     return readers.doi_list(_cells(spark, d))
@@ -334,8 +354,18 @@ def doi_column_counts(spark, d):
 
 @query("search_pages", "SELECT '' AS pmid, '10.1/x' || doc_id AS doi, substr(text, 1, 20) AS title, '' AS abstract, 'A' || doc_id || '; B' AS authors, 'J' AS journal, '2001' AS year, 'crossref' AS source_api, lang AS source_query FROM documents WHERE doc_id < 100")
 def search_pages(spark, d):
+    return _searched(docs(spark, d).where("doc_id < 100"), F.col("lang").alias("query"))
+
+
+@query("search_pages_all")
+def search_pages_all(spark, d):
+    """As search_pages, for all documents, in pages of some 100 items."""
+    return _searched(docs(spark, d), F.col("lang").alias("query"), F.floor(F.col("doc_id") / 100))
+
+
+def _searched(rows, *page):
     item = F.struct(F.concat(F.lit("10.1/x"), F.col("doc_id").cast("string")).alias("DOI"), F.array(F.substring("text", 1, 20)).alias("title"), F.array(F.concat(F.lit("A"), F.col("doc_id").cast("string")), F.lit("B")).alias("author"), F.array(F.lit("J"), F.lit("K")).alias("container"), F.lit("2001-05-01").alias("issued"))
-    pages = docs(spark, d).where("doc_id < 100").groupBy(F.col("lang").alias("query")).agg(F.to_json(F.struct(F.collect_list(item).alias("items"))).alias("body"))
+    pages = rows.groupBy(*page).agg(F.to_json(F.struct(F.collect_list(item).alias("items"))).alias("body"))
     e = F.col("e")
     fields = {"doi": e["DOI"], "title": F.get(e["title"], F.lit(0)), "authors": F.array_join(e["author"], "; "), "journal": F.get(e["container"], F.lit(0)), "year": F.substring(e["issued"], 1, 4)}
     return readers.mapped(pages, "DOI string, title array<string>, author array<string>, container array<string>, issued string", fields, "crossref")

@@ -121,3 +121,17 @@ def test_under_cap_of_many_rows(spark, cap):
     assert {r.k for r in sampling.under_cap(rows, "n", "k", cap).collect()} == _walk(sizes, cap)
     many = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") % 3 + 1).alias("n"))
     assert {r.k for r in sampling.under_cap(many, "n", "k", cap).collect()} == _walk({k: k % 3 + 1 for k in range(5000)}, cap)
+
+
+def test_search_pages_all_has_every_document(spark):
+    want = {(f"10.1/x{r.doc_id}", r.text[:20], f"A{r.doc_id}; B", r.lang) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = catalogue.queries()["search_pages_all"](spark, SF).collect()
+    assert {(r.doi, r.title, r.authors, r.source_query) for r in rows} == want and len(rows) == len(want) == 200
+
+
+def test_file_scans_read_every_conversation_and_page(spark, tmp_path):
+    d = str(tmp_path)
+    spark.range(150).selectExpr("id as conv_id", "explode(array('a', 'b\\nc')) as text").write.parquet(f"{d}/conversations.parquet")
+    spark.range(101).withColumnRenamed("id", "page_id").write.parquet(f"{d}/pages.parquet")
+    assert {r.state: r.n for r in catalogue.queries()["paper_json_scan_all"](spark, d).collect()} == {"bad_json": 22, "ok": 128}
+    assert {r.kind: r.n for r in catalogue.queries()["page_artifacts_all"](spark, d).collect()} == {"xml": 51, "pdf": 50}
