@@ -91,6 +91,16 @@ def deinvert_abstract(spark, d):
     return docs(spark, d).select("doc_id", text.deinvert(inverted).alias("text"))
 
 
+@query("deinvert_abstract_all")
+def deinvert_abstract_all(spark, d):
+    """As deinvert_abstract, of whole texts: the inverted index is grouped by word, in time linear in the words."""
+    words = F.filter(F.split("text", r"\s+"), lambda w: w != "")
+    placed = docs(spark, d).select("doc_id", F.col("text").isNull().alias("none"), F.posexplode_outer(words).alias("p", "w"))
+    lists = placed.groupBy("doc_id", "none", "w").agg(F.collect_list("p").alias("ps"))
+    index = lists.groupBy("doc_id", "none").agg(F.map_from_entries(F.collect_list(F.when(F.col("w").isNotNull(), F.struct("w", "ps")))).alias("index"))
+    return index.select("doc_id", F.when(~F.col("none"), text.deinvert(F.col("index"))).alias("text"))
+
+
 @query("strip_html", "SELECT page_id, length(regexp_replace(html, '<[^>]+>', '', 'g')) AS n, md5(regexp_replace(html, '<[^>]+>', '', 'g')) AS digest FROM pages")
 def strip_html(spark, d):
     plain = text.strip_tags(F.col("html"))
@@ -155,6 +165,14 @@ def dice_pairs(spark, d):
     return a.join(b, "doc_id").select("doc_id", F.round(text.claim_dice(F.col("a"), F.col("b")), 9).alias("dice"))
 
 
+@query("dice_pairs_all")
+def dice_pairs_all(spark, d):
+    """As dice_pairs, of whole texts."""
+    a = docs(spark, d).select("doc_id", F.col("text").alias("a"))
+    b = docs(spark, d).select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("b"))
+    return a.join(b, "doc_id").select("doc_id", F.round(text.claim_dice(F.col("a"), F.col("b")), 9).alias("dice"))
+
+
 _LINES = "list_filter(list_transform(str_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> '' AND NOT regexp_matches(x, '^[#>|<]'))"
 
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import re
 from difflib import SequenceMatcher
 
 import pytest
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__  # noqa: F401  registers the queries
+from curata.functions.text import CLAIM_FRAME, CLAIM_STOP_WORDS, STUDY_NUMBER
 from curata.operators import sampling
 from curata.plans import catalogue
 
@@ -135,3 +137,34 @@ def test_file_scans_read_every_conversation_and_page(spark, tmp_path):
     spark.range(101).withColumnRenamed("id", "page_id").write.parquet(f"{d}/pages.parquet")
     assert {r.state: r.n for r in catalogue.queries()["paper_json_scan_all"](spark, d).collect()} == {"bad_json": 22, "ok": 128}
     assert {r.kind: r.n for r in catalogue.queries()["page_artifacts_all"](spark, d).collect()} == {"xml": 51, "pdf": 50}
+
+
+def _dice(a, b):
+    """text.claim_dice, in Python."""
+    a, b = ((x or "").strip(" ").lower() for x in (a, b))
+    x, y = (set(re.findall("[a-z0-9]+", re.sub(CLAIM_FRAME, "", t))) - set(CLAIM_STOP_WORDS) for t in (a, b))
+    m, n = (set(re.findall(STUDY_NUMBER, t)) for t in (a, b))
+    return 0 if not x or not y or (m and n and m != n) else 2 * len(x & y) / (len(x) + len(y))
+
+
+@pytest.fixture(scope="module")
+def long_texts(spark, tmp_path_factory):
+    """Documents that differ only beyond 300 and 400 characters; null, empty and blank ones."""
+    start = " ".join(f"same{i}" for i in range(80))
+    rows = [(0, f"{start} one two\n two  end"), (1, f"{start} three one"), (2, f"{start} study 1 here"), (3, f"{start} study 2 here"), (4, None), (5, ""), (6, " \n "), (7, "a b a")]
+    d = str(tmp_path_factory.mktemp("texts"))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{d}/documents.parquet")
+    return d, dict(rows)
+
+
+def test_deinvert_abstract_all_gives_whole_texts(spark, long_texts):
+    d, rows = long_texts
+    got = {r.doc_id: r.text for r in catalogue.queries()["deinvert_abstract_all"](spark, d).collect()}
+    assert got == {i: None if t is None else " ".join(t.split()) for i, t in rows.items()}
+
+
+def test_dice_pairs_all_compares_whole_texts(spark, long_texts):
+    d, rows = long_texts
+    got = {r.doc_id: r.dice for r in catalogue.queries()["dice_pairs_all"](spark, d).collect()}
+    assert got == {i: pytest.approx(_dice(rows[i], rows[i + 1]), abs=1e-8) for i in range(7)}
+    assert 0 < got[0] < 1 and got[2] == 0
