@@ -110,7 +110,7 @@ def set_summary(spark, d):
 @query("bootstrap_ci")
 def bootstrap_ci(spark, d):
     """Interval of the second rater's accuracy, resampling sources; a hash bootstrap has no SQL here."""
-    return metrics.bootstrap(fx.outcomes(spark, d).withColumn("ok", (F.col("gt") == F.col("ext")).cast("int")), "paper", "ok", 500)
+    return metrics.bootstrap(fx.outcomes(spark, d).withColumn("ok", (F.col("gt") == F.col("ext")).cast("int")), "paper", "ok")
 
 
 def _entries(spark, d):

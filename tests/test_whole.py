@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import re
 from difflib import SequenceMatcher
 
@@ -13,6 +14,7 @@ import __spark_entry__  # noqa: F401  registers the queries
 from curata.functions.text import CLAIM_FRAME, CLAIM_STOP_WORDS, STUDY_NUMBER
 from curata.operators import sampling
 from curata.plans import catalogue
+from curata.plans import fixtures as fx
 
 SF = "/root/testdata/sf0.001"
 
@@ -168,3 +170,24 @@ def test_dice_pairs_all_compares_whole_texts(spark, long_texts):
     got = {r.doc_id: r.dice for r in catalogue.queries()["dice_pairs_all"](spark, d).collect()}
     assert got == {i: pytest.approx(_dice(rows[i], rows[i + 1]), abs=1e-8) for i in range(7)}
     assert 0 < got[0] < 1 and got[2] == 0
+
+
+def test_bootstrap_ci_draws_2000_replicates(spark):
+    sums: dict = {}
+    for r in fx.outcomes(spark, SF).collect():
+        s, n = sums.get(r.paper, (0, 0))
+        sums[r.paper] = s + (r.gt == r.ext), n + 1
+
+    def weight(replicate, paper):
+        u = int(hashlib.sha256(f"0:{replicate}:{paper}".encode()).hexdigest()[:12], 16) / (1 << 48)
+        return sum(u >= sum(math.exp(-1) / math.factorial(i) for i in range(k)) for k in range(1, 9))
+
+    means = []
+    for replicate in range(2000):
+        drawn = [(weight(replicate, p), s, n) for p, (s, n) in sums.items()]
+        if total := sum(w * n for w, _, n in drawn):
+            means.append(sum(w * s for w, s, _ in drawn) / total)
+    means.sort()
+    (got,) = catalogue.queries()["bootstrap_ci"](spark, SF).collect()
+    assert got.n_boot == len(means) > 1900
+    assert (got.lo, got.hi) == pytest.approx((means[int(0.025 * len(means))], means[int(0.975 * len(means)) - 1]))
