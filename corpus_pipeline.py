@@ -23,7 +23,7 @@ def by_quality(spark, docs, sf_dir):
 
 
 def by_language(spark, docs, sf_dir):
-    """Documents without a letter, or whose n-grams no language contains or all do alike, go."""
+    """Documents without a letter, or with enough n-grams of which no language contains LEAST_LANGUAGE_SCORE, go."""
     return langid.kept(docs, langid.fit(docs), LEAST_LANGUAGE_SCORE)
 
 

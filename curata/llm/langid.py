@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from curata.llm.buffers import column, mix, slices, texts, tune
 
 GRAM, SAMPLE, MOST, SHARE, HASHES, BITS_PER_GRAM = 4, 1500, 20_000, 0.4, 3, 24
+ENOUGH = 8  # n-grams from which on a text without a known language can be rejected
 UNKNOWN = "und"
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -81,6 +82,7 @@ class Filters:
                 self.cells[slot, k // 64] |= bit
             rate.append(float(((self.cells[:, k // 64] & bit) > 0).mean()) ** HASHES)
         self.rate = np.array(rate)
+        self.learnt = any(map(len, sets))
 
     def _slots(self, codes: np.ndarray) -> list[np.ndarray]:
         one = mix(codes)
@@ -116,6 +118,13 @@ class Filters:
         return [self.languages[k] for k in best.tolist()], np.clip(score, 0, 1)
 
 
+    def plausible(self, data: np.ndarray, offsets: np.ndarray, least: float) -> np.ndarray:
+        """Whether the best language contains the ``least`` share of a text's n-grams, corrected; true of texts of less than
+        ENOUGH n-grams, and if no language is known. Neither the number of languages nor what they share counts."""
+        hits, total = self.hits(data, offsets)
+        return (hits.max(axis=1) >= least * total) | (total < ENOUGH) | (not self.learnt)
+
+
 def fit(docs: DataFrame, sample: int = SAMPLE, learnt_from=lambda doc_id: ~held_out(doc_id)) -> Filters:
     """Learns from at most ``sample`` documents of each language, those with the least hashes of doc_id."""
     spark = docs.sparkSession
@@ -168,7 +177,7 @@ def identify(docs: DataFrame, filters: Filters) -> DataFrame:
 
 
 def kept(docs: DataFrame, filters: Filters, least: float) -> DataFrame:
-    """The documents with a language found with ``least`` score, with all their columns."""
+    """The documents with a letter of whose n-grams some language contains the ``least`` share, or that are too short to judge, with all their columns."""
     spark, schema = docs.sparkSession, docs.schema
     tune(spark)
     shared = spark.sparkContext.broadcast(filters)
@@ -181,7 +190,7 @@ def kept(docs: DataFrame, filters: Filters, least: float) -> DataFrame:
             has = column(batch, letters).to_numpy(zero_copy_only=False)
             rest = batch.drop_columns([letters])
             for i, j in slices(offsets):
-                _, score = own.decide(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                yield rest.slice(i, j - i).filter(pa.array(has[i:j] & (score >= least)))
+                good = own.plausible(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], least)
+                yield rest.slice(i, j - i).filter(pa.array(has[i:j] & good))
 
     return docs.withColumn(letters, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))).mapInArrow(run, schema)
