@@ -71,7 +71,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> l
     n = len(word)
     factor = powers(words, 0xD6E8FEB86659FD93)
     rolled = np.zeros(n, np.uint64)
-    for k in range(words):
+    for k in range(min(words, n)):
         rolled[: n - k] += word[k:] * factor[k]
     rolled = mix(rolled)
     out = []
