@@ -110,7 +110,11 @@ class Ranks:
         return result
 
     def merge_long(self, row: np.ndarray) -> np.ndarray:
-        """One long piece. All places of the least pair merge in one round unless that makes a pair of lower rank."""
+        """One long piece. All places of the least pair merge in one round, unless a pair of lower rank comes up on the way.
+
+        From left to right, each merge makes a pair with the symbol before it (which has its final form by then)
+        and with the one behind it (which has not): both must rank above the pair that is being merged.
+        """
         while len(row) > 1:
             ranks = self.pair(row[:-1], row[1:])
             best = ranks.min()
@@ -122,9 +126,10 @@ class Ranks:
                 at = at[(np.arange(len(at)) - np.flatnonzero(run)[np.cumsum(run) - 1]) % 2 == 0]
             merged = self._merged(row, at, best)
             if len(at) > 1:
-                where = at - np.arange(len(at))
-                near = np.unique(np.concatenate([where[where > 0] - 1, where[where < len(merged) - 1]]))
-                if (self.pair(merged[near], merged[near + 1]) <= best).any():
+                where, behind = at - np.arange(len(at)), at[at + 2 < len(row)] + 2
+                near = where[where > 0] - 1
+                lower = (self.pair(merged[near], merged[near + 1]) <= best).any() or (self.pair(np.full(len(behind), best, row.dtype), row[behind]) <= best).any()
+                if lower:
                     merged = self._merged(row, at[:1], best)
             row = merged
         return row

@@ -17,6 +17,7 @@ from curata.llm.buffers import span_hashes
 
 OTHER, LETTER, DIGIT, SPACE = 0, 1, 2, 3
 _QUOTE, _BLANK = 0x27, 0x20
+LEARN = 100_000  # pieces learnt at once, so that a text of many distinct ones needs no list of all
 
 
 @functools.cache
@@ -81,57 +82,76 @@ def cut(data: np.ndarray, offsets: np.ndarray, special: bytes = b"") -> tuple[np
     return starts, np.diff(np.searchsorted(starts, offsets))
 
 
+def names(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit numbers that name each span: exact up to 8 bytes (hash and size), else two independent hashes."""
+    size = ends - starts
+    check, long = size.astype(np.uint64), np.flatnonzero(size > 8)
+    check[long] = span_hashes(data, starts[long], ends[long], seed=1) | np.uint64(16)
+    return span_hashes(data, starts, ends), check
+
+
 class PieceTable:
-    """What is known of pieces by their 64-bit hash: a list of numbers each. Open addressing; cleared when full."""
+    """What is known of pieces by their names: a list of numbers each. Open addressing, at most half full: it grows by load."""
 
-    def __init__(self, bits: int = 21, most: int = 1_000_000):
-        self.mask, self.most, self.bits = np.uint64((1 << bits) - 1), most, bits
+    def __init__(self, bits: int = 16, most: int = 1_000_000):
+        self.bits, self.most = bits, most
         self.clear()
 
     def clear(self) -> None:
-        size = int(self.mask) + 1
-        self.keys, self.index = np.zeros(size, np.uint64), np.full(size, -1, np.int32)
+        self._empty(self.bits)
         self.n, self.used = 0, 0
         self.first, self.count = np.zeros(1024, np.int64), np.zeros(1024, np.int32)
         self.flat = np.zeros(4096, np.int32)
 
-    def find(self, hashes: np.ndarray) -> np.ndarray:
-        """The index of each hash, or -1."""
+    def _empty(self, bits: int) -> None:
+        size = 1 << bits
+        self.mask = np.uint64(size - 1)
+        self.keys, self.checks, self.index = np.zeros(size, np.uint64), np.zeros(size, np.uint64), np.full(size, -1, np.int32)
+
+    def find(self, hashes: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """The index of each name, or -1."""
         out = np.full(len(hashes), -1, np.int32)
         open_, slot = np.arange(len(hashes)), hashes & self.mask
         while len(open_):
             index = self.index[slot]
-            hit = (index >= 0) & (self.keys[slot] == hashes[open_])
+            hit = (index >= 0) & (self.keys[slot] == hashes[open_]) & (self.checks[slot] == checks[open_])
             out[open_[hit]] = index[hit]
             go = (index >= 0) & ~hit
             open_, slot = open_[go], (slot[go] + np.uint64(1)) & self.mask
         return out
 
-    def add(self, hashes: np.ndarray, counts: np.ndarray, flat: np.ndarray) -> None:
-        """New distinct hashes with their numbers, all one after another in flat."""
+    def add(self, hashes: np.ndarray, checks: np.ndarray, counts: np.ndarray, flat: np.ndarray) -> None:
+        """New distinct names with their numbers, all one after another in flat."""
         k, m = len(hashes), len(flat)
         while self.n + k > len(self.first):
             self.first, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.count))
         while self.used + m > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        new = np.arange(self.n, self.n + k, dtype=np.int32)
         self.count[self.n : self.n + k] = counts
         self.first[self.n : self.n + k] = self.used + np.cumsum(counts) - counts
         self.flat[self.used : self.used + m] = flat
+        if 2 * (self.n + k) > len(self.index):
+            there = np.flatnonzero(self.index >= 0)
+            keys, own, index = self.keys[there], self.checks[there], self.index[there]
+            self._empty(int(2 * (self.n + k)).bit_length() + 1)
+            self._place(keys, own, index)
+        self._place(hashes, checks, np.arange(self.n, self.n + k, dtype=np.int32))
         self.n, self.used = self.n + k, self.used + m
-        open_, slot = np.arange(k), hashes & self.mask
+
+    def _place(self, hashes: np.ndarray, checks: np.ndarray, index: np.ndarray) -> None:
+        open_, slot = np.arange(len(hashes)), hashes & self.mask
         while len(open_):
             free = self.index[slot] < 0
-            self.index[slot[free]] = new[open_[free]]
-            self.keys[slot[free]] = hashes[open_[free]]
-            stay = self.index[slot] != new[open_]
-            open_, slot = open_[stay], (slot[stay] + np.uint64(1)) & self.mask
+            self.index[slot[free]] = index[open_[free]]  # of several for one slot the last stays
+            mine = self.index[slot] == index[open_]
+            self.keys[slot[mine]], self.checks[slot[mine]] = hashes[open_[mine]], checks[open_[mine]]
+            open_, slot = open_[~mine], (slot[~mine] + np.uint64(1)) & self.mask
 
 
 class Encoder:
     """Numbers of every text: pieces are cut, looked up, and only unknown ones given to ``learn``.
 
-    learn(list of bytes) -> (counts, flat numbers). The table is bounded and per worker.
+    learn(list of bytes) -> (counts, flat numbers). The table is per worker and begins anew once it holds more than ``most``.
     """
 
     def __init__(self, learn, special: bytes = b"", special_ids=(), most: int = 1_000_000):
@@ -141,24 +161,25 @@ class Encoder:
     def _preset(self) -> None:
         if self.special and not self.table.n:
             data = np.frombuffer(self.special, np.uint8)
-            key = span_hashes(data, np.array([0]), np.array([len(data)]))
-            self.table.add(key, np.array([len(self.special_ids)]), np.array(self.special_ids, np.int32))
+            self.table.add(*names(data, np.array([0]), np.array([len(data)])), np.array([len(self.special_ids)]), np.array(self.special_ids, np.int32))
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(index of each piece in the table, pieces of each text)."""
         starts, per_text = cut(data, offsets, self.special)
         ends = np.append(starts[1:], len(data)) if len(starts) else starts
-        hashes = span_hashes(data, starts, ends)
+        hashes, checks = names(data, starts, ends)
         self._preset()
         if self.table.n > self.table.most:
             self.table.clear()
             self._preset()
-        index = self.table.find(hashes)
+        index = self.table.find(hashes, checks)
         unknown = np.flatnonzero(index < 0)
         if len(unknown):
-            keys, where = np.unique(hashes[unknown], return_index=True)
-            where = unknown[where]
+            order = unknown[np.lexsort((checks[unknown], hashes[unknown]))]
+            new = np.concatenate([[True], (hashes[order[1:]] != hashes[order[:-1]]) | (checks[order[1:]] != checks[order[:-1]])])
             raw = data.tobytes()
-            self.table.add(keys, *self.learn([raw[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True)]))
-            index[unknown] = self.table.find(hashes[unknown])
+            for where in np.array_split(order[new], -(-int(new.sum()) // LEARN)):
+                pieces = [raw[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True)]
+                self.table.add(hashes[where], checks[where], *self.learn(pieces))
+            index[unknown] = self.table.find(hashes[unknown], checks[unknown])
         return index, per_text

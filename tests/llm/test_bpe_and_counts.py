@@ -13,7 +13,7 @@ from public_tokenizers import PATTERN, path
 
 from curata.llm import bpe, queries, token_count
 from curata.llm.buffers import texts
-from curata.llm.pieces import PieceTable, cut
+from curata.llm.pieces import Encoder, PieceTable, cut
 
 RANKS, VOCABULARY = path("byte_bpe_50k.tiktoken"), path("byte_bpe_50k.json")
 ALPHABET = ["a", "b", "'s", "'re", "'", "'ll", "'t", " ", "  ", "\n", "\t", "1", "²", "é", "ß", "中", "!", "***", "😀", "́", "<|endoftext|>", "<|", "|>", "endoftext", "the", " The", "'S", "\x1c", "\r\n", "०", "\x00"]
@@ -85,13 +85,57 @@ def test_pieces_do_not_cross_texts():
     assert per.tolist() == [1, 1, 0, 1, 1, 1] and starts.tolist() == [0, 2, 4, 6, 7]
 
 
+def thue_morse(bits=10):
+    """A word of 2**bits letters and its complement: texts that polynomial hashes modulo 2**64 take for one."""
+    word = "a"
+    for _ in range(bits):
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_texts_that_weak_hashes_confuse(reference, library):
+    rows = [*thue_morse(), *thue_morse(12)]
+    assert [x.tolist() for x in encode_all(rows)] == [reference.encode_ordinary(x) for x in rows]
+    assert counts_of(rows) == [len(library.encode(x, add_special_tokens=False).ids) for x in rows]
+
+
+def test_long_pieces_whose_merges_meet(reference):
+    rng, rows = random.Random(9), []
+    for _ in range(400):
+        unit = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(1, 7)))
+        other = "".join(rng.choices("etaoinshr", k=rng.randint(1, 5)))
+        rows.append("".join(rng.choice([unit, unit, other]) for _ in range(120)) + "x" * 260)
+    assert [x.tolist() for x in encode_all(rows)] == [reference.encode_ordinary(x) for x in rows]
+
+
+def test_merges_wait_for_a_pair_of_lower_rank_that_comes_up_between_them():
+    """In b a b a the pair b a (rank 300) makes, once merged on the left, 300 b of rank 299, which goes first."""
+    ranks = object.__new__(bpe.Ranks)
+    table = {(98, 97): 300, (300, 98): 299, (299, 97): 310}
+    ranks.pair = lambda a, b: np.array([table.get((int(x), int(y)), bpe.NONE) for x, y in zip(a, b, strict=True)], np.int32)
+    assert ranks.merge_long(np.array([98, 97, 98, 97], np.int32)).tolist() == [310]
+
+
 def test_table_of_pieces():
-    table, rng = PieceTable(bits=12), np.random.default_rng(1)
+    table, rng = PieceTable(bits=4), np.random.default_rng(1)
     keys = np.unique(rng.integers(0, 2**63, 2000).astype(np.uint64))
-    table.add(keys[:1000], np.ones(1000, int), np.arange(1000, dtype=np.int32))
-    table.add(keys[1000:], np.ones(len(keys) - 1000, int), np.arange(1000, len(keys), dtype=np.int32))
-    assert table.flat[table.first[table.find(keys)]].tolist() == list(range(len(keys)))
-    assert (table.find(keys + np.uint64(1)) == -1).mean() > 0.99
+    same = np.full(len(keys), 7, np.uint64)
+    table.add(keys[:1000], same[:1000], np.ones(1000, int), np.arange(1000, dtype=np.int32))
+    table.add(keys[1000:], same[1000:], np.ones(len(keys) - 1000, int), np.arange(1000, len(keys), dtype=np.int32))
+    assert table.flat[table.first[table.find(keys, same)]].tolist() == list(range(len(keys)))
+    assert (table.find(keys + np.uint64(1), same) == -1).mean() > 0.99
+    assert (table.find(keys, same + np.uint64(1)) == -1).all()  # one hash, another piece
+    table.add(keys, same + np.uint64(1), np.ones(len(keys), int), np.arange(5000, 5000 + len(keys), dtype=np.int32))
+    assert table.flat[table.first[table.find(keys, same + np.uint64(1))]].tolist() == list(range(5000, 5000 + len(keys)))
+    assert table.flat[table.first[table.find(keys, same)]].tolist() == list(range(len(keys)))
+
+
+def test_a_text_of_three_million_distinct_pieces():
+    n = 3_000_000
+    data, offsets = texts(pa.array([" ".join(map(str, range(10**6, 10**6 + n)))]))
+    encoder = Encoder(lambda pieces: (np.ones(len(pieces), int), np.array([int(x) for x in pieces], np.int32)))
+    index, per = encoder(data, offsets)
+    assert per.tolist() == [n] and (encoder.table.flat[encoder.table.first[index]] == np.arange(10**6, 10**6 + n)).all()
 
 
 def test_queries_over_the_smallest_tables(spark, reference, library):
