@@ -18,11 +18,14 @@ Sharing a band of 4 equal minima in 32 has probability above 1 - 1e-5 at the thr
 grows above it. Estimates below the threshold less ``MARGIN`` (over four standard errors) are
 passed over; all others are confirmed by exact intersection and union sizes.
 
+Every row is a document of its own, known by a number given once its sketch is written.
+
 Defined results: null, empty and blank texts have no shingle, link with nothing and keep
 their own id; fewer words than five are one shingle of all words; rows with equal doc_id
-are one document whose set is that of the row with the largest set (they share its
-component); rows without doc_id link with nothing, keep a null component and are kept;
-further columns are ignored.
+are documents of their own, each with its own set and component (named by the least doc_id
+in it); rows without doc_id link with nothing, keep a null component and are kept; further
+columns are ignored. ``deduplicated`` leaves one row of each component: of the least doc_id,
+then of the least digest of its text, and of rows equal in both any one.
 """
 
 from __future__ import annotations
@@ -31,7 +34,8 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curata.functions.storage import written
@@ -42,7 +46,7 @@ WORDS, PERCENT = 5, 75
 HASHES, ROWS, BITS = 128, 4, 2
 MARGIN = 0.2
 BLOCK, BLOCK_SHINGLES = 512, 1_000_000
-BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES, ROW_BYTES = 96 << 20, 160  # of a family member: numbers, signature and class
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -125,11 +129,21 @@ def bands(least: np.ndarray) -> np.ndarray:
     return mix(keys.sum(axis=1) + np.arange(HASHES // ROWS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
 
 
+def _text_key(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
+def _class(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, class (digest of the set; null if empty), signature, bands. Sets themselves aren't kept: they are larger than the texts."""
+    """row, doc_id, text_key, n_shingles, class (digest of the set; null if empty), signature, bands. Sets themselves aren't kept: they are larger than the texts."""
     tune(docs.sparkSession)
+    names = ["row", "doc_id", "text_key", "n_shingles", "class", "signature", "bands"]
 
     def run(batches):
+        row = TaskContext.get().partitionId() << 36
         for batch in batches:
             data, offsets = texts(column(batch, "text"))
             for i, j in slices(offsets):
@@ -138,13 +152,16 @@ def sketches(docs: DataFrame) -> DataFrame:
                 for x in found:
                     if len(x):
                         least = minima(x)
-                        rows.append((len(x), hashlib.blake2b(x.tobytes(), digest_size=16).digest(), signature(least), bands(least)))
+                        rows.append((len(x), _class(x), signature(least), bands(least)))
                     else:
                         rows.append((0, None, None, None))
                 types = (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([column(batch, "doc_id")[i:j], *(pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True))], ["doc_id", "n_shingles", "class", "signature", "bands"])
+                own = [pa.array(np.arange(row, row + j - i)), column(batch, "doc_id")[i:j], column(batch, "text_key")[i:j]]
+                row += j - i
+                yield pa.RecordBatch.from_arrays([*own, *(pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True))], names)
 
-    return docs.select(docs["doc_id"].cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, class binary, signature binary, bands array<long>")
+    own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").withColumn("text_key", _text_key(F.col("text")))
+    return own.mapInArrow(run, "row long, doc_id long, text_key binary, n_shingles long, class binary, signature binary, bands array<long>")
 
 
 def _forest(n: int, i: np.ndarray, j: np.ndarray) -> list[int]:
@@ -213,19 +230,27 @@ def _paired(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
 def _linked(families: DataFrame, docs: DataFrame, percent: int, least: float) -> DataFrame:
     """(a, b): links, confirmed on full sets, that connect what all links within a family connect.
 
-    families: id, family, block, n_blocks, signature. Every document's set goes to its family's blocks.
+    families: id, doc_id, class, family, block, n_blocks, signature. Every document's set goes to its family's blocks.
     """
-    wanted = families.withColumnRenamed("id", "f_id").withColumnRenamed("signature", "f_mark")
-    if families.count() <= BROADCAST_ROWS:
+    names = ["id", "family", "block", "n_blocks", "mark"]
+    wanted = families.select(F.col("doc_id").alias("own_id"), "class", *names[:-1], F.col("signature").alias("mark"))
+    if families.count() * ROW_BYTES <= BROADCAST_BYTES:
         wanted = F.broadcast(wanted)
 
     def sets(batches):
+        sent: set[int] = set()  # members of families that this task has sent; rows may repeat
         for batch in batches:
             data, offsets = texts(column(batch, "text"))
+            ids, classes = column(batch, "id").to_pylist(), column(batch, "class").to_pylist()
             for i, j in slices(offsets):
                 found = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                own = batch.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays([*(column(own, x) for x in ("id", "family", "block", "n_blocks", "mark")), pa.array([x.astype("<u8").tobytes() for x in found], pa.binary())], ["id", "family", "block", "n_blocks", "mark", "shingles"])
+                real = []
+                for k, x in enumerate(found, i):
+                    if ids[k] not in sent and _class(x) == classes[k]:  # not another text of the same doc_id
+                        sent.add(ids[k])
+                        real.append(k)
+                own = batch.take(pa.array(real, pa.int64()))
+                yield pa.RecordBatch.from_arrays([*(column(own, x) for x in names), pa.array([found[k - i].astype("<u8").tobytes() for k in real], pa.binary())], [*names, "shingles"])
 
     def run(batches):
         for batch in batches:
@@ -253,34 +278,53 @@ def _linked(families: DataFrame, docs: DataFrame, percent: int, least: float) ->
                             label[label == label[j]] = label[i]
             yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
 
-    text = docs.select(docs["doc_id"].cast("long").alias("id"), "text").join(wanted, F.col("id") == F.col("f_id")).select("id", "text", "family", "block", "n_blocks", F.col("f_mark").alias("mark"))
+    text = docs.select(docs["doc_id"].cast("long").alias("own_id"), "text").join(wanted, "own_id").select("text", "class", *names)
     rows = text.mapInArrow(sets, "id long, family long, block int, n_blocks int, mark binary, shingles binary")
     return _paired(rows, ["family"], "struct(id, mark, shingles)").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept (doc_id = component_id)."""
+def _grouped(docs: DataFrame, percent: int) -> DataFrame:
+    """row, doc_id, text_key, n_shingles, component (the row number of one member; null without a set), component_id."""
     least = percent / 100 - MARGIN
     found = sketches(docs)
     rows = written(found.withColumn("class", F.when(F.col("doc_id").isNotNull(), F.col("class"))), "sketches")
-    # a class is named by its least doc_id
-    names = written(rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("id")), "classes")
-    heads = rows.join(names, (F.col("doc_id") == F.col("id")) & (rows["class"] == names["class"]), "left_semi").select(F.col("doc_id").alias("id"), "signature", "n_shingles", "bands").dropDuplicates(["id", "signature"])
+    # a class is named by one of its rows, of least doc_id
+    classes = rows.where("class is not null").groupBy("class").agg(F.min(F.struct("doc_id", "row")).alias("head"))
+    classes = written(classes.select("class", F.col("head.row").alias("id"), F.col("head.doc_id").alias("doc_id")), "classes")
+    heads = rows.join(classes.select(F.col("id").alias("row")), "row", "left_semi").select(F.col("row").alias("id"), "doc_id", "class", "signature", "n_shingles", "bands")
     members = heads.select("id", "signature", F.explode("bands").alias("band"))
     sizes = members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
     members = members.join(sizes, "band").withColumn("n_blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     members = written(members.select("band", "id", "signature", "n_blocks", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int").alias("block")), "buckets")
     families = components(_estimated(members, least)).withColumnRenamed("component", "family")
-    families = families.join(heads.select("id", "signature", "n_shingles"), "id")
+    families = families.join(heads.drop("bands"), "id")
     parts = families.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("n_blocks"))
-    families = families.join(parts, "family").select("id", "family", "signature", "n_blocks", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int").alias("block"))
+    families = families.join(parts, "family").select("id", "doc_id", "class", "family", "signature", "n_blocks", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int").alias("block"))
     comps = components(_linked(written(families, "families"), docs, percent, least))
-    named = names.join(comps, "id", "left").select("class", F.coalesce("component", "id").alias("component_id"))
-    named = rows.select("doc_id", "n_shingles", "class").join(named, "class", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-    return named.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    linked = classes.join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    ids = linked.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    linked = linked.join(ids, "component").select("class", "component", "component_id")
+    named = rows.select("row", "doc_id", "text_key", "n_shingles", "class").join(linked, "class", "left").drop("class")
+    return named.withColumn("component_id", F.coalesce("component_id", "doc_id"))
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept (doc_id = component_id) of every row."""
+    found = _grouped(docs, percent).select("doc_id", "n_shingles", "component_id")
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def deduplicated(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The documents, with all their columns, of which one of each group stays: the one with the least doc_id."""
-    gone = near_duplicates(docs, percent).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["doc_id"], "left_anti")
+    """The documents, with all their columns, of which one row of each group stays."""
+    rows = written(_grouped(docs, percent).where("component is not null").select("doc_id", "text_key", "component"), "groups")
+    stays = rows.groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("head"))
+    keys = rows.join(stays, "component").groupBy("doc_id", "text_key").agg(F.count("*").alias("n"), F.bool_or(F.struct("doc_id", "text_key") == F.col("head")).alias("stays"))
+    keys = written(keys.where("not stays or n > 1").select(F.col("doc_id").alias("own_id"), "text_key", "stays"), "decisions")
+    # names of two columns that the documents cannot have
+    fresh = "_" * (1 + max(map(len, docs.columns)))
+    own, text_key = f"{fresh}id", f"{fresh}text"
+    marked = docs.withColumns({own: docs["doc_id"].cast("long"), text_key: _text_key(docs["text"])})
+    keys = keys.select(F.col("own_id").alias(own), F.col("text_key").alias(text_key), "stays")
+    alone = marked.join(keys.select(own, text_key), [own, text_key], "left_anti")
+    repeated = marked.join(keys.where("stays").select(own, text_key), [own, text_key], "left_semi").dropDuplicates([own, text_key])
+    return alone.unionByName(repeated).select(*docs.columns)
