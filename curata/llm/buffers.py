@@ -7,6 +7,7 @@ task stay bounded whatever the size of the batch.
 
 from __future__ import annotations
 
+import contextlib
 import functools
 
 import numpy as np
@@ -19,7 +20,10 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def tune(spark) -> None:
-    """Small Arrow batches: memory of a Python worker follows the batch, not the partition."""
+    """Small Arrow batches: memory of a Python worker follows the batch, not the partition.
+
+    The settings stay, as frames run after the function that made them has returned.
+    """
     for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", "1024"), ("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))):
         try:
             spark.conf.set(key, value)
@@ -28,6 +32,19 @@ def tune(spark) -> None:
                 raise
 
 
+@contextlib.contextmanager
+def settings(spark, values: dict[str, str]):
+    """Settings of the session for the queries that run within."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

@@ -2,9 +2,11 @@
 
 Vectors are scaled to length 1, where cosine >= c is Euclidean distance <= sqrt(2 - 2c).
 Equal vectors form a class and are handled once, with their number. Classes are dealt into
-cells by the nearest of a few pivots (fitted on a bounded sample), cells into blocks of
-about ``BLOCK``. Each block is a cover tree: nested levels whose radii halve, every centre
-of a level staying a centre below, each node with the radius that covers what is beneath it.
+cells by the nearest of a few pivots (fitted on a bounded sample; a dimension of up to
+``CELL`` classes is one cell), cells into blocks of about ``BLOCK``. Each block is a cover
+tree: nested levels whose radii halve, every centre of a level staying a centre below, each
+node with the radius that covers what is beneath it. Blocks travel in groups, up to
+``GROUP`` together where there are many, as every group meets every other one of its cell.
 
 Pairs of cells whose covering radii keep them apart are never joined. A remaining pair of
 blocks is traversed level by level with both trees at once: node pairs further apart than
@@ -14,8 +16,9 @@ for each linked vector - its number of links and one link to the local component
 id - so the output grows with vectors, not with pairs.
 
 Defined results: a vector that is null, empty, zero or holds a null or non-finite component
-links with nothing and keeps its id; vectors of different dimension never link; rows with
-equal vec_id count as one each in n_links; a row without vec_id links with nothing and has
+links with nothing and keeps its id; vectors of different dimension never link; every row is
+a vector of its own, also where vec_ids repeat (n_links counts rows, a component is named by
+its least vec_id); a row without vec_id links with nothing and has
 a null component; further columns are ignored.
 """
 
@@ -25,6 +28,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +38,7 @@ from curata.operators.components import components
 
 BLOCK, SAMPLE, CELL = 4096, 4096, 8192
 SLACK = 1e-3
-MOST_PIVOTS = 256
+MOST_PIVOTS, GROUP, GROUP_BYTES = 1024, 8, 24 << 20
 TREE = pa.struct([("id", pa.binary()), ("m", pa.binary()), ("x", pa.binary()), ("levels", pa.list_(pa.struct([("centres", pa.binary()), ("up", pa.binary()), ("cover", pa.binary())])))])
 
 
@@ -204,22 +208,28 @@ def links(vectors: DataFrame, cosine: float = 0.9, block: int = BLOCK) -> DataFr
     tune(spark)
 
     def read(batches):
+        row = TaskContext.get().partitionId() << 36
         for batch in batches:
             unit = units(column(batch, "embedding"))
             unit = [u if i is not None else None for u, i in zip(unit, column(batch, "vec_id").to_pylist(), strict=True)]
             key = [hashlib.blake2b(u, digest_size=16).digest() if u is not None else None for u in unit]
-            yield pa.RecordBatch.from_arrays([column(batch, "vec_id"), pa.array(key, pa.binary()), pa.array(unit, pa.binary())], ["vec_id", "key", "unit"])
+            number = pa.array(np.arange(row, row + len(batch)))
+            row += len(batch)
+            yield pa.RecordBatch.from_arrays([number, column(batch, "vec_id"), pa.array(key, pa.binary()), pa.array(unit, pa.binary())], ["row", "vec_id", "key", "unit"])
 
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(read, "vec_id long, key binary, unit binary")
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(read, "row long, vec_id long, key binary, unit binary")
     rows = written(rows, "units")
-    distinct = rows.where("key is not null").groupBy("key").agg(F.min("vec_id").alias("id"), F.count("*").alias("m"), F.min("unit").alias("unit"))
-    distinct = written(distinct.withColumn("dim", (F.octet_length("unit") / 8).cast("int")), "vectors")
+    # a class is named by one of its rows, of least vec_id
+    distinct = rows.where("key is not null").groupBy("key").agg(F.min(F.struct("vec_id", "row")).alias("head"), F.count("*").alias("m"), F.min("unit").alias("unit"))
+    distinct = distinct.select("key", F.col("head.row").alias("id"), F.col("head.vec_id").alias("vec_id"), "m", "unit", (F.octet_length("unit") / 8).cast("int").alias("dim"))
+    distinct = written(distinct, "vectors")
 
-    sizes = {r["dim"]: r["n"] for r in distinct.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n")).limit(1000).collect()}
+    # a dimension of few vectors is one cell; only larger ones need pivots
+    large = {r["dim"]: r["n"] for r in distinct.groupBy("dim").agg(F.count("*").alias("n")).where(F.col("n") > CELL).collect()}
     centres = {}
-    for dim, n in sizes.items():  # one dimension as a rule
+    for dim, n in large.items():
         some = distinct.where(F.col("dim") == dim).select("unit").orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
-        centres[dim] = pivots(np.stack([np.frombuffer(r["unit"]) for r in some]), min(MOST_PIVOTS, max(1, n // CELL)))
+        centres[dim] = pivots(np.stack([np.frombuffer(r["unit"]) for r in some]), min(MOST_PIVOTS, n // CELL))
     shared = spark.sparkContext.broadcast(centres)
 
     def dealt(batches):
@@ -227,22 +237,27 @@ def links(vectors: DataFrame, cosine: float = 0.9, block: int = BLOCK) -> DataFr
         for batch in batches:
             cell, apart = [], []
             for unit, dim in zip(column(batch, "unit").to_pylist(), column(batch, "dim").to_pylist(), strict=True):
-                near = own[dim] @ np.frombuffer(unit)
+                near = own[dim] @ np.frombuffer(unit) if dim in own else np.full(1, -1.0)  # one cell, which covers the sphere
                 cell.append(int(near.argmax()))
                 apart.append(float(np.sqrt(max(0.0, 2 - 2 * near.max()))))
             yield pa.RecordBatch.from_arrays([*(column(batch, x) for x in ("id", "m", "unit", "dim")), pa.array(cell, pa.int32()), pa.array(apart)], ["id", "m", "unit", "dim", "cell", "apart"])
 
     placed = written(distinct.select("id", "m", "unit", "dim").mapInArrow(dealt, "id long, m long, unit binary, dim int, cell int, apart double"), "placed")
-    cells = placed.groupBy("dim", "cell").agg(F.max("apart").alias("radius"), F.count("*").alias("n")).collect()  # MOST_PIVOTS a dimension at most
+    cells = placed.groupBy("dim", "cell").agg(F.max("apart").alias("radius"), F.count("*").alias("n")).toPandas()  # MOST_PIVOTS a dimension at most
     joined = []
-    for a in cells:
-        for b in cells:
-            if a["dim"] == b["dim"] and a["cell"] <= b["cell"]:
-                p = centres[a["dim"]]
-                if np.sqrt(max(0.0, 2 - 2 * float(p[a["cell"]] @ p[b["cell"]]))) <= a["radius"] + b["radius"] + eps + SLACK:
-                    joined.append((a["dim"], a["cell"], b["cell"]))
+    for dim, own in cells.groupby("dim"):
+        cell, radius = own["cell"].to_numpy(), own["radius"].to_numpy()
+        p = centres[dim][cell] if dim in centres else np.zeros((len(cell), 1))
+        apart = np.sqrt(np.maximum(0, 2 - 2 * p @ p.T)) if dim in centres else np.zeros((len(cell), len(cell)))
+        i, j = np.nonzero(np.triu(np.ones_like(apart, bool)) & (apart <= radius[:, None] + radius[None, :] + eps + SLACK))
+        joined += [(int(dim), int(min(x, y)), int(max(x, y))) for x, y in zip(cell[i], cell[j], strict=True)]
     pairs = spark.createDataFrame(joined, "dim int, cell int, other int")
-    blocks_of = spark.createDataFrame([(r["dim"], r["cell"], -(-r["n"] // block)) for r in cells], "dim int, cell int, blocks int")
+    many = int(cells["n"].sum()) // (16 * block)
+
+    def together(dim: int) -> int:
+        return block * min(GROUP, max(1, many), max(1, GROUP_BYTES // (8 * dim * block)))
+
+    blocks_of = spark.createDataFrame([(int(r.dim), int(r.cell), -(-int(r.n) // together(int(r.dim)))) for r in cells.itertuples()], "dim int, cell int, blocks int")
     rows_in = placed.join(F.broadcast(blocks_of), ["dim", "cell"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     packed = rows_in.groupBy("dim", "cell", "block").agg(F.collect_list(F.struct("id", "m", "unit")).alias("points"))
 
@@ -250,14 +265,17 @@ def links(vectors: DataFrame, cosine: float = 0.9, block: int = BLOCK) -> DataFr
         for batch in batches:
             for k in range(len(batch)):
                 points = column(batch, "points")[k].values
+                ids, m = points.field("id").to_numpy(), points.field("m").to_numpy()
                 x = np.frombuffer(b"".join(points.field("unit").to_pylist())).reshape(len(points), -1)
-                tree = Tree(x.astype(np.float32), eps / 4)
-                levels = [{"centres": c.astype(np.int64).tobytes(), "up": u.astype(np.int64).tobytes(), "cover": r.tobytes()} for c, u, r in tree.levels]
-                packed = {"id": points.field("id").to_numpy().tobytes(), "m": points.field("m").to_numpy().tobytes(), "x": x.tobytes(), "levels": levels}
-                yield pa.RecordBatch.from_arrays([column(batch, c)[k : k + 1] for c in ("dim", "cell", "block")] + [pa.array([packed], TREE)], ["dim", "cell", "block", "points"])
-
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")  # rows are blocks from here on
-    packed = written(packed.mapInArrow(built, "dim int, cell int, block int, points struct<id: binary, m: binary, x: binary, levels: array<struct<centres: binary, up: binary, cover: binary>>>"), "blocks")
+                trees = []
+                for i in range(0, len(x), block):
+                    tree = Tree(x[i : i + block].astype(np.float32), eps / 4)
+                    levels = [{"centres": c.astype(np.int64).tobytes(), "up": u.astype(np.int64).tobytes(), "cover": r.tobytes()} for c, u, r in tree.levels]
+                    trees.append({"id": ids[i : i + block].tobytes(), "m": m[i : i + block].tobytes(), "x": x[i : i + block].tobytes(), "levels": levels})
+                yield pa.RecordBatch.from_arrays([column(batch, c)[k : k + 1] for c in ("dim", "cell", "block")] + [pa.array([trees], pa.list_(TREE))], ["dim", "cell", "block", "points"])
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")  # rows are groups of blocks from here on
+    packed = written(packed.mapInArrow(built, "dim int, cell int, block int, points array<struct<id: binary, m: binary, x: binary, levels: array<struct<centres: binary, up: binary, cover: binary>>>>"), "blocks")
     one = packed.join(F.broadcast(pairs), ["dim", "cell"]).select("dim", F.col("cell").alias("c1"), F.col("block").alias("b1"), F.col("other").alias("c2"), F.col("points").alias("one"))
     two = packed.select("dim", F.col("cell").alias("c2"), F.col("block").alias("b2"), F.col("points").alias("two"))
     # the ids of the pairs first, then each side's points; both joins are on blocks, spread over all tasks
@@ -274,16 +292,20 @@ def links(vectors: DataFrame, cosine: float = 0.9, block: int = BLOCK) -> DataFr
         for batch in batches:
             for k in range(len(batch)):
                 x, y, same = (column(batch, c)[k].as_py() for c in ("one", "two", "same"))
-                a = opened(x)
-                found = _links(a, a if same else opened(y), cosine, eps, same)
-                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in found], ["id", "n", "least"])
+                first = [opened(p) for p in x]
+                second = first if same else [opened(p) for p in y]
+                for i, a in enumerate(first):
+                    for j in range(i if same else 0, len(second)):
+                        found = _links(a, second[j], cosine, eps, same and i == j)
+                        yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in found], ["id", "n", "least"])
 
     found = written(work.mapInArrow(traversed, "id long, n long, least long"), "links")
     tune(spark)
     comps = components(found.select(F.col("id").alias("a"), F.col("least").alias("b")))
     counts = found.groupBy("id").agg(F.sum("n").alias("n"))
-    named = distinct.select("key", "id", "m").join(counts, "id", "left").join(comps, "id", "left")
-    named = named.select("key", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+    named = distinct.select("key", "id", "vec_id", "m").join(counts, "id", "left").join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    least = named.groupBy("component").agg(F.min("vec_id").alias("component_id"))
+    named = named.join(least, "component").select("key", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), "component_id")
     out = rows.select("vec_id", "key").join(named, "key", "left")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curata.llm.buffers import SLICE_BYTES, column, span_hashes, tune
-from curata.operators.ordered import bucket_of, splitters
+from curata.operators.ordered import bucket_of, buckets_for, splitters
 
 WINDOW, POPULAR = 64, 16
 TYPICAL, WEAK = 140, 900  # equal pairs in a window of running text; above WEAK it says little
@@ -156,18 +156,19 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def with_next(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+def with_next(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The next document in descending order of doc_id lies in the same range bucket, or is the
     first of the bucket below (of the lowest: of the highest). Those first ones, one a
-    bucket, are sent to both buckets; a task then streams its sorted rows.
+    bucket, are sent to both buckets; a task then streams its sorted rows. There are BUCKETS
+    buckets, or more where they would grow large.
     """
     spark = docs.sparkSession
     tune(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("key", F.coalesce("doc_id", F.lit(-(1 << 63))))
-    bounds = splitters(rows, "key", buckets)
+    bounds = splitters(rows, "key", buckets or buckets_for(docs, BUCKETS))
     rows = rows.withColumn("bucket", bucket_of(F.col("key"), bounds))
     tops = rows.groupBy("bucket").agg(F.max("key").alias("key")).orderBy("bucket").collect()  # one row a bucket
     guards = [(r["bucket"], r["key"], tops[(i + 1) % len(tops)]["bucket"]) for i, r in enumerate(tops)]

@@ -2,8 +2,9 @@
 
 Byte n-grams (n = ``GRAM``) of case-folded text with all that isn't a letter taken as one
 blank. A bounded sample of labelled documents of each language (``SAMPLE``) gives the
-n-grams a language contains: those among its ``MOST`` commonest that are no less than
-``SHARE`` times as common in it as in the language where they are commonest. All languages
+n-grams a language contains: those that make up ``FLOOR`` of its n-grams at least (so 1 / FLOOR
+at most) and are no less than ``SHARE`` times as common in it as in the language where they
+are commonest. All languages
 share one bit-sliced Bloom filter: each of its cells is a mask of one bit a language, and the
 AND of an n-gram's ``HASHES`` cells names all languages that contain it. A document's hits
 of each language (popcounts of its bit) are corrected for that language's false positive
@@ -23,8 +24,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curata.llm.buffers import column, mix, slices, texts, tune
+from curata.llm.columns import fresh
 
-GRAM, SAMPLE, MOST, SHARE, HASHES, BITS_PER_GRAM = 4, 1500, 20_000, 0.4, 3, 24
+GRAM, SAMPLE, FLOOR, SHARE, HASHES, BITS_PER_GRAM = 4, 1500, 4e-6, 0.4, 3, 24
 ENOUGH = 8  # n-grams from which on a text without a known language can be rejected
 UNKNOWN = "und"
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -150,8 +152,9 @@ def fit(docs: DataFrame, sample: int = SAMPLE, learnt_from=lambda doc_id: ~held_
                     yield pa.RecordBatch.from_arrays([pa.array([label] * len(code), pa.string()), pa.array(code.astype(np.int64)), pa.array(n, pa.int64())], ["label", "code", "n"])
 
     found = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(chosen), "id").select("text", "label").mapInArrow(run, "label string, code long, n long")
-    found = found.groupBy("label", "code").agg(F.sum("n").alias("n")).withColumn("i", F.row_number().over(Window.partitionBy("label").orderBy(F.desc("n"), "code"))).where(F.col("i") <= MOST)
-    rows = found.select("label", "code", "n").toPandas()
+    found = found.groupBy("label", "code").agg(F.sum("n").alias("n"))
+    totals = found.groupBy("label").agg(F.sum("n").alias("total"))  # one row a language
+    rows = found.join(F.broadcast(totals), "label").where(F.col("n") >= FLOOR * F.col("total")).select("label", "code", "n").toPandas()
     return Filters({r["lang"]: (own["code"].to_numpy().astype(np.uint64), own["n"].to_numpy()) for r in counts for own in [rows[rows["label"] == r["lang"]].sort_values("code")]})
 
 
@@ -181,7 +184,7 @@ def kept(docs: DataFrame, filters: Filters, least: float) -> DataFrame:
     spark, schema = docs.sparkSession, docs.schema
     tune(spark)
     shared = spark.sparkContext.broadcast(filters)
-    letters = "_letters"
+    (letters,) = fresh(docs, "letters")
 
     def run(batches):
         own = shared.value

@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from curata.functions.storage import written
 from curata.llm.buffers import column, mix, powers, slices, span_hashes, texts, tune
+from curata.llm.columns import fresh
 from curata.operators.components import components
 
 WORDS, PERCENT = 5, 75
@@ -320,9 +321,7 @@ def deduplicated(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     stays = rows.groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("head"))
     keys = rows.join(stays, "component").groupBy("doc_id", "text_key").agg(F.count("*").alias("n"), F.bool_or(F.struct("doc_id", "text_key") == F.col("head")).alias("stays"))
     keys = written(keys.where("not stays or n > 1").select(F.col("doc_id").alias("own_id"), "text_key", "stays"), "decisions")
-    # names of two columns that the documents cannot have
-    fresh = "_" * (1 + max(map(len, docs.columns)))
-    own, text_key = f"{fresh}id", f"{fresh}text"
+    own, text_key = fresh(docs, "id", "text_key")
     marked = docs.withColumns({own: docs["doc_id"].cast("long"), text_key: _text_key(docs["text"])})
     keys = keys.select(F.col("own_id").alias(own), F.col("text_key").alias(text_key), "stays")
     alone = marked.join(keys.select(own, text_key), [own, text_key], "left_anti")

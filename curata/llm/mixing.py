@@ -21,10 +21,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curata.functions.storage import written
+from curata.llm.columns import fresh
 
 WORD = r"[^\x20\x09-\x0D]+"
-RANGE_BITS = 12
-BROADCAST_ROWS = 20_000
+RANGE_BITS = 12  # of the hash, at least: half as many as number the rows, so that neither ranges nor rows of one are many
+BROADCAST_BYTES, ROW_BYTES = 16 << 20, 256  # of a source: its numbers, and a name of usual length
 
 
 def size_of(text: Column) -> Column:
@@ -61,7 +62,8 @@ def plan(docs: DataFrame, max_epochs: int = 3, seed: int = 7) -> tuple[DataFrame
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", size_of(F.col("text")).alias("size"))
     rows = written(rows.withColumn("k", _key(F.col("source"))).withColumn("h", _hash(F.col("doc_id"), seed)), "mix-sizes")
-    ranges = written(rows.withColumn("range", F.shiftright("h", 64 - RANGE_BITS)).groupBy("k", "source", "range").agg(F.sum("size").alias("size")), "mix-ranges")
+    bits = max(RANGE_BITS, rows.count().bit_length() // 2)
+    ranges = written(rows.withColumn("range", F.shiftright("h", 64 - bits)).groupBy("k", "source", "range").agg(F.sum("size").alias("size")), "mix-ranges")
     sources = targets(ranges.groupBy("k", "source").agg(F.sum("size").alias("source_size")), max_epochs)
     sources = sources.withColumn("epochs", F.coalesce(F.try_divide("target", F.col("source_size").cast("double")), F.lit(0.0)))
     sources = written(sources.withColumn("whole", F.floor("epochs").cast("long")).withColumn("rest", (F.col("epochs") - F.floor("epochs")) * F.col("source_size")), "mix-sources")
@@ -69,18 +71,19 @@ def plan(docs: DataFrame, max_epochs: int = 3, seed: int = 7) -> tuple[DataFrame
     w = Window.partitionBy("k").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     at = ranges.drop("source").withColumn("before", F.coalesce(F.sum("size").over(w), F.lit(0))).join(sources.select("k", "rest"), "k").where("before < rest")
     at = at.groupBy("k").agg(F.max(F.struct("before", "range", "rest")).alias("x")).select("k", "x.*")
-    near = rows.withColumn("range", F.shiftright("h", 64 - RANGE_BITS)).join(_small(at, sources), ["k", "range"]).groupBy("k", "range", "h").agg(F.sum("size").alias("size"), F.first("before").alias("before"), F.first("rest").alias("rest"))
+    near = rows.withColumn("range", F.shiftright("h", 64 - bits)).join(_small(at, sources), ["k", "range"]).groupBy("k", "range", "h").agg(F.sum("size").alias("size"), F.first("before").alias("before"), F.first("rest").alias("rest"))
     w = Window.partitionBy("k", "range").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
     inside = near.withColumn("before", F.col("before") + F.coalesce(F.sum("size").over(w), F.lit(0))).where("before + size / 2 < rest").groupBy("k").agg(F.max("h").alias("inside"))
     # none of the range's documents: the cut is just below the range
-    below = F.shiftleft(F.col("range").cast("long"), 64 - RANGE_BITS) - 1
-    cut = at.join(inside, "k", "left").select("k", F.when(F.col("inside").isNotNull(), F.col("inside")).when(F.col("range") > -(1 << (RANGE_BITS - 1)), below).alias("cut"))
+    below = F.shiftleft(F.col("range").cast("long"), 64 - bits) - 1
+    cut = at.join(inside, "k", "left").select("k", F.when(F.col("inside").isNotNull(), F.col("inside")).when(F.col("range") > -(1 << (bits - 1)), below).alias("cut"))
     return rows, written(sources.join(cut, "k", "left"), "mix-cuts")
 
 
 def _small(side: DataFrame, sources: DataFrame) -> DataFrame:
-    """Broadcast where the source table was counted and is small; else Spark chooses."""
-    return F.broadcast(side) if sources.count() <= BROADCAST_ROWS else side
+    """Broadcast where the bytes of the source table were summed up and are few; else Spark chooses."""
+    size = sources.agg(F.sum(ROW_BYTES + F.octet_length("k")).alias("n")).first()["n"] or 0
+    return F.broadcast(side) if size <= BROADCAST_BYTES else side
 
 
 def _repetitions() -> Column:
@@ -97,9 +100,9 @@ def mix(docs: DataFrame, max_epochs: int = 3, seed: int = 7) -> DataFrame:
 def apply(docs: DataFrame, max_epochs: int = 3, seed: int = 7) -> DataFrame:
     """The mix itself: every document as often as it is repeated, with all columns of docs."""
     _, sources = plan(docs, max_epochs, seed)
-    own = {c: f"_mix_{c}" for c in ("k", "whole", "cut")}
-    small = sources.select(*[F.col(c).alias(x) for c, x in own.items()])
-    rows = docs.withColumn("_mix_k", _key(F.col("source"))).join(_small(small, sources), "_mix_k")
-    times = F.col("_mix_whole") + F.when(_hash(F.col("doc_id").cast("long"), seed) <= F.col("_mix_cut"), 1).otherwise(0)
-    rows = rows.withColumn("_mix_n", times.cast("int")).where("_mix_n > 0")
-    return rows.withColumn("_mix_i", F.explode(F.sequence(F.lit(1), F.col("_mix_n")))).select(*docs.columns)
+    key, whole, cut, times, copy = fresh(docs, "key", "whole", "cut", "times", "copy")
+    small = sources.select(F.col("k").alias(key), F.col("whole").alias(whole), F.col("cut").alias(cut))
+    rows = docs.withColumn(key, _key(docs["source"])).join(_small(small, sources), key)
+    once_more = F.when(_hash(F.col("doc_id").cast("long"), seed) <= F.col(cut), 1).otherwise(0)
+    rows = rows.withColumn(times, (F.col(whole) + once_more).cast("int")).where(F.col(times) > 0)
+    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)

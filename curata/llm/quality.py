@@ -9,7 +9,8 @@ computed in blocks; its ``NEIGHBOURS`` nearest vote with weights that fall with
 
 Defined results: null and empty texts have the terms of an empty text and a score like any
 other; several labels of a document count by their mean, ties as 0; null labels and null
-doc_ids teach nothing; without any label the score is 0.5; further columns are ignored.
+doc_ids teach nothing; of rows with one labelled doc_id that of the least text hash teaches;
+without any label the score is 0.5; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -135,10 +136,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, learnt_from=la
             for i, j in slices(offsets):
                 found = terms(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]).astype(np.int32)
                 where = [np.flatnonzero(x) for x in found]
-                columns = [column(batch, "id")[i:j], pa.array(where, pa.list_(pa.int32())), pa.array([x[w] for x, w in zip(found, where, strict=True)], pa.list_(pa.int32())), column(batch, "quality")[i:j]]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "term", "n", "quality"])
+                columns = [column(batch, "id")[i:j], column(batch, "tie")[i:j], pa.array(where, pa.list_(pa.int32())), pa.array([x[w] for x, w in zip(found, where, strict=True)], pa.list_(pa.int32())), column(batch, "quality")[i:j]]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "tie", "term", "n", "quality"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(known), "id").select("id", "text", "quality").mapInArrow(run, "id long, term array<int>, n array<int>, quality double").dropDuplicates(["id"]).orderBy("id").toArrow()
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(known), "id").select("id", F.xxhash64("text").alias("tie"), "text", "quality")
+    rows = rows.mapInArrow(run, "id long, tie long, term array<int>, n array<int>, quality double")
+    # of rows with one doc_id, that of the least hash; combined before the shuffle
+    rows = rows.groupBy("id").agg(F.min(F.struct("tie", "term", "n", "quality")).alias("x")).select("id", "x.term", "x.n", "x.quality").orderBy("id").toArrow()
     counts = np.zeros((len(rows), TERMS), np.float32)
     for k, (term, n) in enumerate(zip(rows["term"].to_pylist(), rows["n"].to_pylist(), strict=True)):
         counts[k, term] = n

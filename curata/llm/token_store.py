@@ -140,24 +140,24 @@ def write_store(docs: DataFrame, path: str, folder: str, end_id: int = 2, vocabu
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], ["route", "digest", "payload", "doc_id", "row", "seq", "n"])
 
     def once(batches):
-        seen: set[bytes] = set()
+        """Rows come sorted by the digest of their payload (null: none), so equal chunks are neighbours."""
+        last = None
         for batch in batches:
-            digests = column(batch, "digest").to_pylist()
-            there = column(batch, "payload").is_valid().to_pylist()
-            first = []
-            for k, (digest, has) in enumerate(zip(digests, there, strict=True)):
-                if has and digest not in seen:
-                    seen.add(digest)
-                    first.append(k)
             names = ["digest", "payload", "doc_id", "row", "seq", "n"]
             refs = [column(batch, x) for x in names]
             refs[1] = pa.nulls(len(batch), pa.binary())
             yield pa.RecordBatch.from_arrays([*refs, pa.array(["ref"] * len(batch))], [*names, "kind"])
+            first = []
+            for k, digest in enumerate(column(batch, "own").to_pylist()):
+                if digest is not None and digest != last:
+                    first.append(k)
+                    last = digest
             own = batch.take(pa.array(first, pa.int64()))
             yield pa.RecordBatch.from_arrays([column(own, "digest"), column(own, "payload"), *(pa.nulls(len(own), t) for t in (pa.int64(), pa.int64(), pa.int32())), column(own, "n"), pa.array(["chunk"] * len(own), pa.string())], [*names, "kind"])
 
     fields = FIELDS
-    rows = docs.select(docs["doc_id"].cast("long"), "text").mapInArrow(chunked, f"route long, {fields}").repartition("route").mapInArrow(once, f"{fields}, kind string")
+    rows = docs.select(docs["doc_id"].cast("long"), "text").mapInArrow(chunked, f"route long, {fields}").repartition("route")
+    rows = rows.withColumn("own", F.when(F.col("payload").isNotNull(), F.col("digest"))).sortWithinPartitions("own").mapInArrow(once, f"{fields}, kind string")
     rows.write.partitionBy("kind").option("compression", "zstd").parquet(f"{folder}/objects")
 
     refs = _objects(spark, folder, "ref").drop("payload", "kind")

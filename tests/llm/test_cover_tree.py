@@ -45,6 +45,28 @@ def test_as_brute_force(spark, seed, monkeypatch):
     assert found(spark, rows, block=40) == brute(rows, 0.9)
 
 
+def test_many_dimensions(spark):
+    """1,200 of them, each with a pair that links and one vector that doesn't."""
+    rows = [(3 * d + k, [1.0, *[0.01 * k * (k < 2)] * (d - 1)] if k < 2 else [0.0, *[1.0] * (d - 1)]) for d in range(2, 1202) for k in range(3)]
+    got = found(spark, rows)
+    assert all(got[3 * d + k] == ((1, 3 * d) if k < 2 else (0, 3 * d + 2)) for d in range(2, 60) for k in range(3)) and len(got) == 3600
+
+
+def test_rows_that_share_a_vec_id(spark):
+    rows = [(5, [1.0, 0.0]), (5, [0.0, 1.0]), (3, [1.0, 0.01]), (4, [0.01, 1.0]), (5, [1.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(2)
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in cover_tree.links(frame, 0.9).collect())
+    assert got == [(3, 2, 3, True), (4, 1, 4, True), (5, 1, 4, False), (5, 2, 3, False), (5, 2, 3, False)]
+
+
+@pytest.mark.parametrize("limit", [1 << 30, 1])
+def test_groups_of_blocks(spark, monkeypatch, limit):
+    monkeypatch.setattr(cover_tree, "CELL", 100)
+    monkeypatch.setattr(cover_tree, "GROUP_BYTES", limit)
+    rows = cases(3, 700)
+    assert found(spark, rows, block=10) == brute(rows, 0.9)
+
+
 def test_no_vectors(spark):
     assert found(spark, []) == {}
 

@@ -128,8 +128,12 @@ def test_pipeline_against_its_parts(spark):
 
 
 def test_pipeline_stages_keep_columns(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").withColumn("score", F.lit(1)).withColumn("_letters", F.lit("x"))
+    """Also those whose names helper columns might have."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").withColumns({"score": F.lit(1), "_letters": F.lit("x"), "_mix_k": F.lit(77), "_mix_n": F.col("doc_id") * 2, "text_key": F.lit(1), "_key": F.lit(2), "_id": F.lit(3), "_times": F.lit(4), "__copy": F.lit(5)})
     for _, stage in corpus_pipeline.STAGES[:-1]:
-        assert stage(spark, docs.drop("_letters"), "/root/testdata/sf0.001").columns == docs.drop("_letters").columns
-    rows = docs.drop("_letters").limit(3).union(spark.createDataFrame([(None, None, None, None, None, 1)], docs.drop("_letters").schema))
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns
+        assert all((r._letters, r._mix_k, r._mix_n, r._id, r._times) == ("x", 77, 2 * r.doc_id, 3, 4) for r in out.collect())
+    rows = docs.limit(3).union(docs.limit(1).select(*[F.lit(None).cast(f.dataType) for f in docs.schema]))
     assert minhash.deduplicated(rows).count() == 4
