@@ -289,20 +289,22 @@ def _grouped(docs: DataFrame, percent: int) -> DataFrame:
     least = percent / 100 - MARGIN
     found = sketches(docs)
     rows = written(found.withColumn("class", F.when(F.col("doc_id").isNotNull(), F.col("class"))), "sketches")
-    # a class is named by one of its rows, of least doc_id
-    classes = rows.where("class is not null").groupBy("class").agg(F.min(F.struct("doc_id", "row")).alias("head"))
-    classes = written(classes.select("class", F.col("head.row").alias("id"), F.col("head.doc_id").alias("doc_id")), "classes")
-    heads = rows.join(classes.select(F.col("id").alias("row")), "row", "left_semi").select(F.col("row").alias("id"), "doc_id", "class", "signature", "n_shingles", "bands")
-    members = heads.select("id", "signature", F.explode("bands").alias("band"))
-    sizes = members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
-    members = members.join(sizes, "band").withColumn("n_blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+    # a class is named by one of its rows, of least doc_id; what a set gives is the same in all its rows
+    same = [F.first(c).alias(c) for c in ("signature", "n_shingles", "bands")]
+    classes = rows.where("class is not null").groupBy("class").agg(F.min(F.struct("doc_id", "row")).alias("head"), *same)
+    classes = written(classes.select("class", F.col("head.row").alias("id"), F.col("head.doc_id").alias("doc_id"), "signature", "n_shingles", "bands"), "classes")
+    # bands are dealt once, without signatures: most hold one class only. Both sides of the join need both columns, so they share the shuffle
+    members = classes.select("id", F.explode("bands").alias("band")).repartition("band")
+    sizes = members.groupBy("band").agg(F.count("*").alias("size"), F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
+    members = members.join(sizes.select("band", "size"), "band").withColumn("n_blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+    members = members.join(classes.select("id", "signature"), "id")
     members = written(members.select("band", "id", "signature", "n_blocks", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int").alias("block")), "buckets")
     families = components(_estimated(members, least)).withColumnRenamed("component", "family")
-    families = families.join(heads.drop("bands"), "id")
+    families = families.join(classes.drop("bands"), "id")
     parts = families.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("n_blocks"))
     families = families.join(parts, "family").select("id", "doc_id", "class", "family", "signature", "n_blocks", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int").alias("block"))
     comps = components(_linked(written(families, "families"), docs, percent, least))
-    linked = classes.join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    linked = classes.select("class", "id", "doc_id").join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
     ids = linked.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     linked = linked.join(ids, "component").select("class", "component", "component_id")
     named = rows.select("row", "doc_id", "text_key", "n_shingles", "class").join(linked, "class", "left").drop("class")
