@@ -15,11 +15,6 @@ SPLIT_TEST_SHARE = 0.6
 STEM_SUFFIXES = ["_from_html.md", "_from_xml.md", ".fulltext.html", ".html", ".xml", ".pdf"]
 
 
-def is_blank(c: Column) -> Column:
-    """NULL, empty, white space, or the word nan."""
-    return c.isNull() | F.lower(F.trim(c)).isin("", "nan")
-
-
 def _times(c: Column, what: str) -> Column:
     return F.length(c) - F.length(F.replace(c, F.lit(what), F.lit("")))
 

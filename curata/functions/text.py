@@ -14,6 +14,8 @@ DISCIPLINE_GROUPS = {
     "lang_edu": ["linguistics", "education", "computer science education"],
 }
 CLAIM_STOP_WORDS = ["the", "a", "an", "of", "in", "to", "and", "with", "for", "on", "is", "was", "were", "that", "this", "replication", "replicating", "effect", "study", "experiment", "original", "claim", "claimed", "reported", "found", "showed", "tested", "replicated", "authors", "et", "al"]
+# What errors of a limited service say.
+USAGE_LIMIT_SIGNS = ["usage limit", "rate limit", "quota exceeded", "too many requests", "overloaded_error", "usage_limit_reached", "claude code session", "429"]
 CLAIM_FRAME = r"^.{0,80}?\b(?:claimed|claims|reported|found|showed|demonstrated|proposed|argued|suggested)\s+that\s+"
 STUDY_NUMBER = r"\b(?:study|experiment|exp\.?)\s*(\d+[a-z]?)\b"
 
@@ -159,11 +161,27 @@ def claim_tokens(c: Column) -> Column:
 
 def claim_dice(a: Column, b: Column) -> Column:
     """Dice similarity of claim words; 0 if blank, or if both name studies but different ones."""
-    sa, sb = (F.array_sort(F.array_distinct(F.regexp_extract_all(norm(x), F.lit(STUDY_NUMBER)))) for x in (a, b))
     ta, tb = claim_tokens(a), claim_tokens(b)
     dice = F.when((F.size(ta) > 0) & (F.size(tb) > 0), 2 * F.size(F.array_intersect(ta, tb)) / (F.size(ta) + F.size(tb))).otherwise(0.0)
-    apart = (F.size(sa) > 0) & (F.size(sb) > 0) & (sa != sb)
-    return F.when((norm(a) == "") | (norm(b) == "") | apart, 0.0).otherwise(dice)
+    return F.when(_comparable(a, b), dice).otherwise(0.0)
+
+
+def effect_similarity(a: Column, b: Column) -> Column:
+    """The larger of claim_dice and difflib's ratio of the descriptions without their framing; 0 where claim_dice must be."""
+    x, y = (F.regexp_replace(norm(c), CLAIM_FRAME, "") for c in (a, b))
+    return F.when(_comparable(a, b), F.greatest(claim_dice(a, b), string_ratio(x, y))).otherwise(0.0)
+
+
+def could_be_alike(a: Column, b: Column, threshold: float) -> Column:
+    """Whether effect_similarity may reach the threshold: native."""
+    x, y = (F.regexp_replace(norm(c), CLAIM_FRAME, "") for c in (a, b))
+    return _comparable(a, b) & ((claim_dice(a, b) >= threshold) | could_reach(x, y, threshold))
+
+
+def _comparable(a: Column, b: Column) -> Column:
+    """Neither is blank, and they don't name different studies."""
+    sa, sb = (F.array_sort(F.array_distinct(F.regexp_extract_all(norm(x), F.lit(STUDY_NUMBER)))) for x in (a, b))
+    return (norm(a) != "") & (norm(b) != "") & ((F.size(sa) == 0) | (F.size(sb) == 0) | (sa == sb))
 
 
 def lines(c: Column) -> Column:
@@ -192,12 +210,26 @@ def legible_share(c: Column) -> Column:
 
 
 def without_unreadable_references(c: Column) -> Column:
-    """Replaces a reference section that isn't legible by a note; all else stays."""
-    head = F.regexp_extract(c, r"(?s)^(.*?)\n?\[REFERENCE LIST: [^\]\n]*\]\n", 1)
-    block = F.regexp_extract(c, r"(?s)\[REFERENCE LIST: [^\]\n]*\]\n(.*?)(?=\n\[[A-Z][^\]]*\]|\z)", 1)
-    tail = F.regexp_extract(c, r"(?s)\[REFERENCE LIST: [^\]\n]*\]\n.*?(\n\[[A-Z][^\]]*\].*)\z", 1)
-    note = F.lit("\n[REFERENCE LIST: none]\nThe reference list could not be read and is withheld.\n")
-    return F.when(c.contains("[REFERENCE LIST: ") & (block != "") & (legible_share(block) < 0.5), F.concat(head, note, tail)).otherwise(c)
+    """Replaces a reference section that isn't legible by a note; all else stays.
+
+    The section ends at the next line that is a header in brackets; where it is the last one, a last paragraph of
+    less than 200 characters is not part of it (it is the instruction that ends a request).
+    """
+    header = r"(?m)^\[REFERENCE LIST: [^\]\n]*\]$"
+    at = F.regexp_instr(c, F.lit(header))
+    head = F.left(c, at - 1)
+    rest = F.substr(c, at + F.length(F.regexp_substr(c, F.lit(header))))
+    following = F.regexp_instr(rest, F.lit(r"(?m)^\[[A-Z][^\]]*\]$"))
+    last = F.element_at(F.split(rest, "\n\n"), -1)
+    short = rest.contains("\n\n") & (F.length(_stripped(last)) < 200)
+    tail = F.when(following > 0, F.substr(rest, following)).when(short, last).otherwise("")
+    block = F.when(following > 0, F.left(rest, following - 1)).when(short, F.left(rest, F.length(rest) - F.length(last) - 2)).otherwise(rest)
+    note = F.lit("[REFERENCE LIST: none]\nThe reference list could not be read and is withheld.\n\n")
+    return F.when((at > 0) & (legible_share(block) < 0.5), F.concat(head, note, tail)).otherwise(c)
+
+
+def _stripped(c: Column) -> Column:
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
 def truncate_middle(c: Column, budget: int) -> Column:
@@ -250,6 +282,33 @@ def from_heading(c: Column, heading: str, n: int) -> Column:
     return F.when(at > 0, F.substr(c, at, F.lit(n))).otherwise(F.right(c, F.lit(n)))
 
 
+def unwrapped_article(c: Column) -> Column:
+    """The one article within an article set that the first 2000 characters announce; any other text as it is."""
+    start = F.instr(c, "<article")
+    end = F.length(c) - F.instr(F.reverse(c), ">elcitra/<") + 1
+    wrapped = F.left(c, F.lit(2000)).contains("<pmc-articleset") & (start > 0) & c.contains("</article>")
+    return F.when(wrapped, F.concat(F.lit('<?xml version="1.0"?>'), F.substr(c, start, end - start + 1))).otherwise(c)
+
+
+def usage_limited(c: Column) -> Column:
+    """Whether an error tells of a usage limit: one of its signs, or nothing after the first colon at a line's end."""
+    low = F.lower(c)
+    body = F.when(c.contains(":\n"), F.substr(c, F.instr(c, ":\n") + 2)).otherwise(c)
+    return F.greatest(*[low.contains(x) for x in USAGE_LIMIT_SIGNS]) | (_stripped(body) == "")
+
+
+def title_prefix(a: Column, b: Column) -> Column:
+    """Whether one title is the beginning of the other."""
+    x, y = norm(a), norm(b)
+    return (x != "") & (y != "") & (x.startswith(y) | y.startswith(x))
+
+
+def collapsed_result(result: Column, has_reversal_class: Column) -> Column:
+    """A reversal counts as a failure where the truth has no such class."""
+    low = norm(result)
+    return F.when(~has_reversal_class & (low == "reversal"), "failure").otherwise(low)
+
+
 def source_bucket(validated_person: Column, source: Column, ai_version: Column) -> Column:
     person, origin = F.lower(F.coalesce(validated_person, F.lit(""))), F.lower(F.coalesce(source, F.lit("")))
     return (
@@ -297,11 +356,15 @@ def _string_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def could_reach(a: Column, b: Column, threshold: float) -> Column:
-    """The ratio's upper bound by lengths: native, so it can stand before the UDF."""
-    la, lb = F.length(a), F.length(b)
+    """The ratio's upper bound by the lengths of what it compares: native, so it can stand before the UDF."""
+    la, lb = (F.length(F.lower(_stripped(x))) for x in (_column(a), _column(b)))
     return 2 * F.least(la, lb) / F.greatest(la + lb, F.lit(1)) >= threshold
 
 
+def _column(c) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
 def title_similarity(threshold: float = 0.9):
     """UDF(query, found): ratio at or above the threshold, or a main title in common (then the threshold at least), else 0."""
     @F.pandas_udf("double")

@@ -32,10 +32,6 @@ def latest_run(runs: DataFrame, paper: str, version: Column, run_at: Column, n:
     return runs.groupBy(paper).agg(F.max_by(F.struct(*[F.col(c) for c in runs.columns if c != paper]), order).alias("latest"), F.count("*").alias("n_runs")).select(paper, "latest.*", "n_runs")
 
 
-def verdict_of(latest: Column, screened: Column) -> Column:
-    return F.coalesce(latest, screened)
-
-
 def selected(catalog: DataFrame, status: str | None = None, contains: bool | None = None, batch: str | None = None, without_tag: str | None = None, limit: int | None = None) -> DataFrame:
     """Optional conditions, in order of doi. A tag must be equal to one of the tags, not be like it."""
     out = catalog
@@ -51,8 +47,12 @@ def selected(catalog: DataFrame, status: str | None = None, contains: bool | Non
     return out.limit(limit) if limit is not None else out
 
 
-def basename(c: Column) -> Column:
-    return F.element_at(F.split(c, "/"), -1)
+def include_list(catalog: DataFrame, exclude_without: bool = False, **conditions) -> DataFrame:
+    """The folder names (not their paths) of the papers that meet the conditions of ``selected``."""
+    out = selected(catalog, **conditions)
+    if exclude_without:
+        out = out.where(F.coalesce("contains", F.lit(True)))
+    return out.select(F.element_at(F.split("folder", "/"), -1).alias("folder"))
 
 
 def statistics(catalog: DataFrame) -> DataFrame:

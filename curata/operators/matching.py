@@ -7,7 +7,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curata.functions.text import authors_match, could_reach, string_ratio, year_match
+from curata.functions.storage import written
+from curata.functions.text import authors_match, could_be_alike, could_reach, effect_similarity, last_names, string_ratio, year_match
+from curata.operators.components import components
 
 INF = 9.0
 
@@ -45,8 +47,17 @@ def hungarian(cost: np.ndarray) -> list[tuple[int, int]]:
 
 
 def pairs_in_block(gt: DataFrame, ext: DataFrame, block: str) -> DataFrame:
-    """All pairs of a paper's entries: an equi-join on the paper."""
-    return gt.join(ext, block)
+    """The pairs of a paper's entries that pair_costs may match: of one DOI, or of one year or with a last name in common.
+
+    (A fuzzy match has two of title, authors and year, so authors or year at least.) Each is an equi-join of its own.
+    """
+    def keys(side: DataFrame, p: str) -> DataFrame:
+        year = F.trim(F.replace(F.coalesce(F.col(f"{p}_year").cast("string"), F.lit("")), F.lit(".0"), F.lit("")))
+        key = lambda kind, c: F.concat(F.lit(kind), c)
+        every = F.concat(F.array(key("d", F.nullif(F.col(f"{p}_doi"), F.lit(""))), key("y", F.nullif(year, F.lit("")))), F.transform(last_names(F.col(f"{p}_authors")), lambda n: key("n", n)))
+        return side.select("*", F.explode(F.array_compact(every)).alias("_key"))
+
+    return keys(gt, "g").join(keys(ext, "e"), [block, "_key"]).drop("_key").dropDuplicates([block, "gt", "ext"])
 
 
 def pair_costs(pairs: DataFrame) -> DataFrame:
@@ -69,36 +80,60 @@ def pair_costs(pairs: DataFrame) -> DataFrame:
 
 
 def _papers(batches):
-    """(paper, rows) of a stream of batches sorted by paper; a paper may span batches."""
-    held = None
+    """(paper, rows) of a stream of batches sorted by paper and part; the part of a paper may span batches."""
+    held: list = []
+
+    def whole():
+        rows = {c: np.concatenate([x[c] for x in held]) for c in held[0] if c != "key"}
+        return held[0]["key"][0], rows
+
     for pdf in batches:
-        if held is not None:
-            pdf = pd.concat([held, pdf], ignore_index=True)
         if not len(pdf):
             continue
-        paper = pdf["paper"].to_numpy(dtype=object)
-        starts = np.flatnonzero(np.concatenate([[True], paper[1:] != paper[:-1]]))
-        columns = {c: pdf[c].to_numpy() for c in pdf.columns if c != "paper"}
-        for i, j in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-            yield paper[i], {c: v[i:j] for c, v in columns.items()}
-        held = pdf.iloc[starts[-1] :]
-    if held is not None and len(held):
-        yield held["paper"].iloc[0], {c: held[c].to_numpy() for c in held.columns if c != "paper"}
-
-
-def _by_paper(rows: DataFrame, one, value: str) -> DataFrame:
-    """one(rows of a paper) -> (gt, ext, value) lists, for all papers: sorted partitions are streamed, so
-    a task holds one paper and one batch."""
+        columns = {c: pdf[c].to_numpy() for c in pdf.columns if c not in ("paper", "part")}
+        key = np.fromiter(zip(pdf["paper"], pdf["part"], strict=True), object, len(pdf))
+        starts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(pdf)]
+        for i, j in zip(starts[:-1], starts[1:], strict=True):
+            if held and held[0]["key"][0] != key[i]:
+                yield whole()
+                held = []
+            held.append({c: v[i:j] for c, v in columns.items()} | {"key": key[i:j]})
+    if held:
+        yield whole()
+
+
+LARGE = 1_000_000  # pairs of a paper, beyond which it is taken apart
+
+
+def _in_parts(rows: DataFrame, large: int) -> DataFrame:
+    """Adds part: of a paper with more pairs than ``large``, entries that no chain of pairs connects get different parts.
+
+    Neither a least-cost nor a greedy assignment of one part depends on another, so the parts are solved on their own.
+    """
+    many = rows.groupBy("paper").agg(F.count("*").alias("_n")).where(F.col("_n") > large).select("paper")
+    if many.isEmpty():
+        return rows.withColumn("part", F.lit(""))
+    own = rows.join(many, "paper", "left_semi")
+    node = lambda kind, c: F.concat_ws("\x1f", "paper", F.lit(kind), F.col(c).cast("string"))
+    parts = components(own.select(node("g", "gt").alias("a"), node("e", "ext").alias("b"))).select(F.col("id").alias("_id"), F.col("component").alias("part"))
+    return rows.withColumn("_id", node("g", "gt")).join(parts, "_id", "left").withColumn("part", F.coalesce("part", F.lit(""))).drop("_id")
+
+
+def _by_paper(rows: DataFrame, one, value: str, large: int) -> DataFrame:
+    """one(rows of a paper or part) -> (gt, ext, value) lists: sorted partitions are streamed, so a task holds one
+    part and one batch."""
+    rows = _in_parts(written(rows.select("paper", "gt", "ext", value), "pairs"), large)
+
     def run(batches):
         out: list[tuple] = []
-        for paper, columns in _papers(batches):
+        for (paper, _), columns in _papers(batches):
             out += [(str(paper), int(g), int(e), float(v)) for g, e, v in one(columns)]
             if len(out) > 10_000:
                 yield pd.DataFrame(out, columns=["paper", "gt", "ext", value])
                 out = []
         yield pd.DataFrame(out, columns=["paper", "gt", "ext", value]) if out else pd.DataFrame({"paper": pd.Series(dtype=object), "gt": pd.Series(dtype="int64"), "ext": pd.Series(dtype="int64"), value: pd.Series(dtype="float64")})
 
-    return rows.select("paper", "gt", "ext", value).repartition("paper").sortWithinPartitions("paper").mapInPandas(run, f"paper string, gt long, ext long, {value} double")
+    return rows.select("paper", "part", "gt", "ext", value).repartition("paper", "part").sortWithinPartitions("paper", "part").mapInPandas(run, f"paper string, gt long, ext long, {value} double")
 
 
 def _assigned(rows: dict) -> list[tuple]:
@@ -119,14 +154,118 @@ def _greedily(rows: dict) -> list[tuple]:
     return out
 
 
-def assign(costs: DataFrame) -> DataFrame:
+def assign(costs: DataFrame, large: int = LARGE) -> DataFrame:
     """paper, gt, ext, cost: the least-cost one-to-one assignment of each paper; pairs of cost INF and above don't match."""
-    return _by_paper(costs, _assigned, "cost")
+    return _by_paper(costs.where(F.col("cost") < INF), _assigned, "cost", large)
 
 
-def greedy(scores: DataFrame, least: float = 0.5) -> DataFrame:
+def greedy(scores: DataFrame, least: float = 0.5, large: int = LARGE) -> DataFrame:
     """paper, gt, ext, score: pairs by falling score, each side once, at or above least."""
-    return _by_paper(scores.where(F.col("score") >= least), _greedily, "score")
+    return _by_paper(scores.where(F.col("score") >= least), _greedily, "score", large)
+
+
+def canonical(rows: DataFrame, doi: str, aliases: DataFrame, to: str) -> DataFrame:
+    """Adds ``to``: the canonical DOI by aliases(seq, alias, canonical, kind), one hop at most."""
+    hop = aliases.groupBy(F.col("alias").alias("_a")).agg(F.max_by("canonical", "seq").alias("_c"))
+    return rows.join(hop, F.col(doi) == F.col("_a"), "left").withColumn(to, F.coalesce("_c", doi)).drop("_a", "_c")
+
+
+def alias_kind(pairs: DataFrame, a: str, b: str, aliases: DataFrame) -> DataFrame:
+    """Adds kind: that of the first alias which is a or b, else 'alias'."""
+    own = aliases.groupBy(F.col("alias").alias("_a")).agg(F.min(F.struct("seq", "kind")).alias("_k"))
+    out = pairs.join(own.withColumnRenamed("_k", "_k1"), F.col(a) == F.col("_a"), "left").drop("_a")
+    out = out.join(own.withColumnRenamed("_k", "_k2"), F.col(b) == F.col("_a"), "left").drop("_a")
+    first = F.least("_k1", "_k2")  # null only where both are
+    return out.withColumn("kind", F.coalesce(F.nullif(first["kind"], F.lit("")), F.lit("alias"))).drop("_k1", "_k2")
+
+
+# What a recorded verdict costs by its confidence, and relations that are a match.
+VERDICT_COST = {"high": 0.10, "medium": 0.40, "low": 0.70}
+SAME_RELATIONS = ["same_effect", "subanalysis_of_gt"]
+
+
+def staged(gt: DataFrame, ext: DataFrame, aliases: DataFrame, verdicts: DataFrame | None = None, large: int = LARGE) -> DataFrame:
+    """paper, outcome, gt, ext, method, relation, confidence, cost, reason: what becomes of every entry.
+
+    gt and ext: paper, gt or ext, and (g_ or e_) doi, description, title, authors, year. verdicts: paper, gt, ext,
+    relation, confidence, reason, failed - recorded replies of a judge on a label.
+
+    1. Entries of one canonical DOI may match at 0.05 (1 - ratio of descriptions).
+    2. A label without such an entry, or with several of them and labels that share its DOI, goes by its verdict: a
+       match among the entries left costs 0 among those of its DOI, else by confidence; other relations are listed.
+       Without a verdict, or where it failed, a label without an entry of its DOI may match by title, authors, year.
+    3. The least-cost one-to-one assignment. outcome is match, gt_unmatched, ext_unmatched, granularity_miss or
+       wrong_original.
+    """
+    gt, ext = canonical(gt, "g_doi", aliases, "g_canon"), canonical(ext, "e_doi", aliases, "e_canon")
+    known = lambda c: F.col(c) != ""
+    pairs = gt.where(known("g_canon")).join(ext.where(known("e_canon")), (gt["paper"] == ext["paper"]) & (F.col("g_canon") == F.col("e_canon"))).drop(ext["paper"])
+    pairs = alias_kind(pairs, "g_doi", "e_doi", aliases)
+    why = F.when(F.col("g_doi") == F.col("e_doi"), "original DOI equal").otherwise(F.concat(F.lit("same work under two DOIs ("), "kind", F.lit("): "), "g_doi", F.lit(" = "), "e_doi"))
+    by_doi = pairs.select("paper", "gt", "ext", (0.05 * (1 - string_ratio("g_description", "e_description"))).alias("cost"), F.lit(1).alias("rank"), F.lit("doi").alias("method"), F.lit("same_effect").alias("relation"), F.lit("high").alias("confidence"), why.alias("reason"))
+    by_doi = written(by_doi, "doi-pairs")
+    hits = by_doi.groupBy("paper", "gt").agg(F.count("*").alias("hits"))
+    sharing = gt.where(known("g_canon")).groupBy("paper", "g_canon").agg(F.count("*").alias("sharing"))
+    labels = gt.select("paper", "gt", "g_canon").join(hits, ["paper", "gt"], "left").join(sharing, ["paper", "g_canon"], "left")
+    several = (F.coalesce("hits", F.lit(0)) > 1) & F.coalesce(F.col("sharing") > 1, F.lit(False))
+    labels = labels.select("paper", "gt", F.coalesce("hits", F.lit(0)).alias("hits"), several.alias("ambiguous"))
+    found, listed = by_doi, None
+    fuzzy = labels.where("hits = 0").select("paper", "gt")
+    if verdicts is not None:
+        asked = labels.where("hits = 0 or ambiguous").join(verdicts, ["paper", "gt"])
+        there = asked.join(by_doi.select("paper", "gt", "ext", F.lit(True).alias("_doi")), ["paper", "gt", "ext"], "left")
+        entry = ext.select("paper", "ext", F.lit(True).alias("_ext"))
+        there = written(there.join(entry, ["paper", "ext"], "left").where("_ext and (not ambiguous or _doi)"), "verdicts")
+        price = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in VERDICT_COST.items() for x in kv]), F.col("confidence")), F.lit(VERDICT_COST["low"]))
+        accepted = there.where(F.col("relation").isin(SAME_RELATIONS))
+        found = found.unionByName(accepted.select("paper", "gt", "ext", F.when(F.col("ambiguous"), 0.0).otherwise(price).alias("cost"), F.lit(0).alias("rank"), F.when(F.col("ambiguous"), "doi+judge").otherwise("llm").alias("method"), "relation", "confidence", F.coalesce("reason", F.lit("")).alias("reason")))
+        kind = F.when(F.col("relation") == "same_original_other_effect", "granularity_miss").when(F.col("relation") == "different_original", "wrong_original")
+        listed = there.withColumn("outcome", kind).where("outcome is not null").select("paper", "outcome", "gt", "ext", F.lit(None).cast("string").alias("method"), "relation", "confidence", F.lit(None).cast("double").alias("cost"), F.coalesce("reason", F.lit("")).alias("reason"))
+        fuzzy = fuzzy.join(verdicts.where(~F.coalesce("failed", F.lit(False))).select("paper", "gt"), ["paper", "gt"], "left_anti")
+    like = pairs_in_block(gt.join(fuzzy, ["paper", "gt"], "left_semi").drop("g_canon"), ext.drop("e_canon"), "paper")
+    title = F.when(could_reach("g_title", "e_title", 0.75), F.col("g_title")).otherwise(""), F.when(could_reach("g_title", "e_title", 0.75), F.col("e_title")).otherwise("")
+    score = (string_ratio(*title) >= 0.75).cast("int") + authors_match(F.col("g_authors"), F.col("e_authors")).cast("int") + year_match(F.col("g_year"), F.col("e_year")).cast("int")
+    like = like.withColumn("score", score).where("score >= 2")
+    like = like.select("paper", "gt", "ext", (0.5 + 0.1 * (3 - F.col("score"))).alias("cost"), F.lit(2).alias("rank"), F.lit("fuzzy").alias("method"), F.lit("same_effect").alias("relation"), F.when(F.col("score") == 3, "medium").otherwise("low").alias("confidence"), F.concat(F.lit("fuzzy "), F.col("score").cast("string"), F.lit("/3 (title/authors/year)")).alias("reason"))
+    meta = ["method", "relation", "confidence", "reason"]
+    best = found.unionByName(like).groupBy("paper", "gt", "ext").agg(F.min(F.struct("cost", "rank", *meta)).alias("x")).select("paper", "gt", "ext", "x.*")
+    best = written(best.select("paper", "gt", "ext", "cost", *meta), "costs")
+    matches = written(assign(best, large).select("paper", "gt", "ext"), "matches")
+    out = best.join(matches, ["paper", "gt", "ext"]).select("paper", F.lit("match").alias("outcome"), "gt", "ext", "method", "relation", "confidence", F.round("cost", 4).alias("cost"), "reason")
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("method", "string"), ("relation", "string"), ("confidence", "string"), ("cost", "double"), ("reason", "string"))]
+    missing = lambda side, key, other: side.select("paper", key).join(matches, ["paper", key], "left_anti").select("paper", F.lit(f"{key}_unmatched").alias("outcome"), *(F.col(key) if c == key else F.lit(None).cast("long").alias(c) for c in ("gt", "ext")), *none)
+    out = out.unionByName(missing(gt, "gt", "ext")).unionByName(missing(ext, "ext", "gt"))
+    return out if listed is None else out.unionByName(listed)
+
+
+def described_alike(a: DataFrame, b: DataFrame, threshold: float = 0.65, margin: float = 0.08) -> DataFrame:
+    """paper, a, b, score: entries of two coders - (paper, a or b, description) - that are each other's best by description, by a margin.
+
+    Pairs further below the threshold than the margin decide nothing, so only those that native bounds leave are compared.
+    """
+    least = threshold - margin
+    x, y = a.select("paper", "a", F.col("description").alias("_x")), b.select("paper", "b", F.col("description").alias("_y"))
+    pairs = x.join(y, (x["paper"] == y["paper"]) & could_be_alike(F.col("_x"), F.col("_y"), least)).select(x["paper"], "a", "b", effect_similarity(F.col("_x"), F.col("_y")).alias("score"))
+    return mutual_best(pairs.where(F.coalesce("paper", F.lit("")).cast("string") != ""), threshold, margin)
+
+
+def aligned(anchors: DataFrame, entries: DataFrame, least: float = 0.5, large: int = LARGE) -> DataFrame:
+    """paper, gt, ext, score, note: sheet rows (paper, gt, hint) and coded entries (paper, ext, title) by falling ratio, each once.
+
+    The only entry of a paper goes to its first row if nothing was near enough; rows and entries left over are listed
+    with a note, an entry as a row to be added.
+    """
+    hint = anchors.where(F.trim(F.coalesce("hint", F.lit(""))) != "")
+    pairs = hint.join(entries, (hint["paper"] == entries["paper"]) & could_reach("hint", "title", least)).select(hint["paper"], "gt", "ext", string_ratio("hint", "title").alias("score"))
+    taken = written(greedy(pairs, least, large), "aligned")
+    only = entries.groupBy("paper").agg(F.count("*").alias("_n"), F.min("ext").alias("ext")).where("_n = 1").join(taken.select("paper"), "paper", "left_anti")
+    first = anchors.groupBy("paper").agg(F.min("gt").alias("gt"))
+    alone = only.join(first, "paper").select("paper", "gt", "ext", F.lit(None).cast("double").alias("score"))
+    pairs = written(taken.select("paper", "gt", "ext", "score").unionByName(alone), "aligned")
+    blank = lambda c, t: F.lit(None).cast(t).alias(c)
+    rows = anchors.select("paper", "gt").join(pairs, ["paper", "gt"], "left_anti").select("paper", "gt", blank("ext", "long"), blank("score", "double"), F.lit("no entry matched this anchor").alias("note"))
+    extra = entries.select("paper", "ext").join(pairs, ["paper", "ext"], "left_anti").select("paper", blank("gt", "long"), "ext", blank("score", "double"), F.lit("extra entry, not in the external record").alias("note"))
+    return pairs.withColumn("note", F.lit("")).unionByName(rows).unionByName(extra)
 
 
 def mutual_best(scores: DataFrame, threshold: float = 0.65, margin: float = 0.08) -> DataFrame:
@@ -164,3 +303,20 @@ def adjudication(pairs: DataFrame, fields: list[str], key: str, audit_share: flo
     rows = rows.withColumn("field", F.explode(F.when(F.size("_d") > 0, F.col("_d")).otherwise(F.array(F.lit(fields[0])))))
     pick = lambda side: F.coalesce(*[F.when(F.col("field") == f, F.col(f"{side}_{f}").cast("string")) for f in fields])
     return rows.select(key, "field", "reason", pick("a").alias("a_value"), pick("b").alias("b_value"))
+
+
+def one_sided(a: DataFrame, b: DataFrame, pairs: DataFrame) -> DataFrame:
+    """key, field, reason, a_value, b_value: entries of either coder - (a or b) - that no pair(a, b) has."""
+    def left(side: DataFrame, key: str) -> DataFrame:
+        values = [F.lit("present" if key == c else "").alias(f"{c}_value") for c in ("a", "b")]
+        return side.select(key).join(pairs.select(key), key, "left_anti").select(F.col(key).alias("key"), F.lit("row_exists").alias("field"), F.lit(f"unmatched coder {key} entry; identity unresolved").alias("reason"), *values)
+
+    return left(a, "a").unionByName(left(b, "b"))
+
+
+def negative_disagreements(a: DataFrame, b: DataFrame) -> DataFrame:
+    """key, field, reason, a_value, b_value: negative papers (keys ending in #neg; value) on which two coders differ, where both said something."""
+    low = lambda c: F.lower(F.trim(F.coalesce(c, F.lit(""))))
+    both = a.select("key", F.col("value").alias("a_value")).join(b.select("key", F.col("value").alias("b_value")), "key").where(F.col("key").endswith("#neg"))
+    both = both.where((low(F.col("a_value")) != "") & (low(F.col("b_value")) != "") & (low(F.col("a_value")) != low(F.col("b_value"))))
+    return both.select("key", F.lit("is_replication_paper").alias("field"), F.lit("disagreement").alias("reason"), "a_value", "b_value")

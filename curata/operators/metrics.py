@@ -95,12 +95,13 @@ def type_score(gt: Column, ext: Column) -> Column:
 
 
 def set_scores(gt: DataFrame, ext: DataFrame, paper: str, item: str) -> DataFrame:
-    """paper, n_gt, n_ext, tp, recall, precision_lb, hit, exact of each paper with truth."""
-    g = gt.groupBy(paper).agg(F.collect_set(item).alias("g"))
-    e = ext.groupBy(paper).agg(F.collect_set(item).alias("e"))
-    j = g.join(e, paper, "left").withColumn("e", F.coalesce("e", F.array().cast("array<string>")))
-    tp = F.size(F.array_intersect("g", "e"))
-    return j.select(paper, F.size("g").alias("n_gt"), F.size("e").alias("n_ext"), tp.alias("tp"), (tp / F.size("g")).alias("recall"), F.try_divide(tp.cast("double"), F.size("e").cast("double")).alias("precision_lb"), (tp > 0).alias("hit"), (F.array_sort("g") == F.array_sort("e")).alias("exact"))
+    """paper, n_gt, n_ext, tp, recall, precision_lb, hit, exact of each paper with truth. Items are joined, so no set is gathered."""
+    g = gt.select(paper, item).distinct().withColumn("_g", F.lit(1))
+    e = ext.select(paper, item).distinct().withColumn("_e", F.lit(1))
+    n = lambda *c: F.count(c[0] if len(c) == 1 else F.when(F.col(c[0]).isNotNull(), F.col(c[1])))
+    counts = g.join(e, [paper, item], "full").groupBy(paper).agg(n("_g").cast("int").alias("n_gt"), n("_e").cast("int").alias("n_ext"), n("_g", "_e").cast("int").alias("tp")).where("n_gt > 0")
+    tp, n_gt, n_ext = F.col("tp"), F.col("n_gt"), F.col("n_ext")
+    return counts.select(paper, n_gt, n_ext, tp, (tp / n_gt).alias("recall"), F.try_divide(tp.cast("double"), n_ext.cast("double")).alias("precision_lb"), (tp > 0).alias("hit"), ((tp == n_gt) & (tp == n_ext)).alias("exact"))
 
 
 def set_summary(scores: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curata.functions.ids import normalize_doi
@@ -48,10 +48,10 @@ def golden(rows: DataFrame, groups: DataFrame, seq: str = "seq") -> DataFrame:
 
 def first_by_key(rows: DataFrame, key: Column, seq: str = "seq") -> DataFrame:
     """The earliest row of each key; rows without a key stay."""
-    w = Window.partitionBy("_key").orderBy(seq)
     keyed = rows.withColumn("_key", key)
-    found = keyed.where("_key is not null and _key <> ''").withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
-    return found.unionByName(keyed.where("_key is null or _key = ''")).drop("_key")
+    best = F.min_by(F.struct(*rows.columns), seq).alias("_row")
+    found = keyed.where("_key is not null and _key <> ''").groupBy("_key").agg(best).select("_row.*")
+    return found.unionByName(keyed.where("_key is null or _key = ''").drop("_key"))
 
 
 def unseen(new: DataFrame, known: DataFrame, seq: str = "seq") -> DataFrame:

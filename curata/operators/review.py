@@ -132,3 +132,22 @@ def pending(work: DataFrame, done: DataFrame, key: str) -> DataFrame:
 
 def overridden(rows: DataFrame, overrides: DataFrame, key: str, field: str) -> DataFrame:
     return rows.join(overrides.select(key, F.col(field).alias("_o")), key, "left").withColumn(field, F.coalesce("_o", field)).drop("_o")
+
+
+def resumed(work: DataFrame, done: DataFrame, key: str, recorded_rows: int | None) -> DataFrame:
+    """``pending``, unless the input isn't the one that the recorded work began with, by its number of rows."""
+    if recorded_rows is not None and (n := work.count()) != recorded_rows:
+        raise ValueError(f"the input has {n} rows, recorded work began with {recorded_rows}")
+    return pending(work, done, key)
+
+
+def stale_caches(cached: DataFrame, current: DataFrame) -> DataFrame:
+    """name, stale: whether a cached result of cached(name, inputs) - struct(length, modified) by input - isn't of the current inputs."""
+    both = cached.select("name", F.col("inputs").alias("_a")).join(current.select("name", F.col("inputs").alias("_b")), "name", "full")
+    return both.select("name", (~F.col("_a").eqNullSafe(F.col("_b"))).alias("stale"))
+
+
+def ledger_uses(ledger: DataFrame, new: DataFrame, version: str = "prompt_version") -> DataFrame:
+    """version, n: how often the versions of new entries have been used, they included."""
+    every = ledger.unionByName(new)
+    return every.join(new.select(version).distinct(), version, "left_semi").groupBy(version).agg(F.count("*").alias("n"))

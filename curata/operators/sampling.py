@@ -11,13 +11,16 @@ def order_of(seed: str, key: Column) -> Column:
 
 
 def stratified(rows: DataFrame, stratum: str, key: str, n: int, seed: str) -> DataFrame:
-    """n rows (or all), in proportion to strata, one of each at least; trimmed or extended in hash order."""
+    """n rows (or all), in proportion to strata, one of each at least; trimmed or extended in hash order.
+
+    A row that more than n - 1 of its stratum precede cannot be among the n, so each task keeps n rows of a stratum.
+    """
     sizes = rows.groupBy(stratum).agg(F.count("*").alias("_m"))
     total = sizes.agg(F.sum("_m").alias("_total"))
     quotas = sizes.join(F.broadcast(total)).withColumn("_quota", F.greatest(F.lit(1), F.bround(n * F.col("_m") / F.col("_total"))).cast("int"))  # total is one row
     w = Window.partitionBy(stratum).orderBy("_h", key)
     own = rows.withColumn("_h", order_of(seed, F.col(key)))
-    ranked = own.join(quotas.select(stratum, "_quota"), stratum).withColumn("_r", F.row_number().over(w))
+    ranked = own.join(quotas.select(stratum, "_quota"), stratum).withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n)
     return ranked.withColumn("_late", (F.col("_r") > F.col("_quota")).cast("int")).orderBy("_late", "_h", key).limit(n).drop("_h", "_quota", "_r", "_late")
 
 

@@ -206,15 +206,9 @@ def band_sample(spark, d):
     return sampling.in_bands(p, "n", "paper", [(1, 2), (3, 5), (6, 99)], 5, "n")
 
 
-@query("row_cap", "WITH RECURSIVE p AS (SELECT l_orderkey AS paper, count(*) AS n, row_number() OVER (ORDER BY count(*), l_orderkey) AS i FROM lineitem WHERE l_orderkey <= 120 GROUP BY 1), s(i, total, paper, keep) AS (SELECT 0::BIGINT, 0::BIGINT, NULL::BIGINT, FALSE UNION ALL SELECT p.i, CASE WHEN total + n <= 40 THEN total + n ELSE total END, p.paper, total + n <= 40 FROM s JOIN p ON p.i = s.i + 1) SELECT paper FROM s WHERE keep")
+@query("row_cap")
 def row_cap(spark, d):
-    p = table(spark, d, "lineitem").where("l_orderkey <= 120").groupBy(F.col("l_orderkey").alias("paper")).agg(F.count("*").alias("n"))
-    return sampling.under_cap(p, "n", "paper", 40)
-
-
-@query("row_cap_all")
-def row_cap_all(spark, d):
-    """As row_cap, over all orders; a walk in order checks it in the tests."""
+    """Orders by rising number of lines while they fit below the cap; a walk in order checks it in the tests."""
     p = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("paper")).agg(F.count("*").alias("n"))
     return sampling.under_cap(p, "n", "paper", 40)
 
@@ -236,12 +230,15 @@ def anchor_membership(spark, d):
     return table(spark, d, "customer").join(one, F.col("c_nationkey").cast("string") == F.col("id")).select("anchor", "c_custkey")
 
 
-@query("title_fuzzy_rows")
+@query("title_fuzzy_rows", "WITH x AS (SELECT conv_id AS paper, turn AS gt, 'q' || md5(conv_id || ':' || turn) AS g, CASE WHEN turn % 2 = 0 THEN 'Q' || md5(conv_id || ':' || turn) || ' ' ELSE '-' END AS e FROM conversations) SELECT x.paper, x.gt FROM x WHERE NOT EXISTS (FROM x y WHERE y.paper = x.paper AND lower(trim(y.e)) = x.g)")
 def title_fuzzy_rows(spark, d):
-    """Labels whose title matches no other title of their source at 0.8 (difflib)."""
-    g, e = _entries(spark, d)
-    both = g.select("paper", "gt", "g_title").join(e.select("paper", "ext", "e_title"), "paper")
-    hit = both.where(text.could_reach(F.col("g_title"), F.col("e_title"), 0.8)).where(text.string_ratio("g_title", "e_title") >= 0.8).select("paper", "gt").distinct()
+    """Labels whose title is like no found title of their paper at 0.8 (difflib); digests are either equal or far from like."""
+    c = table(spark, d, "conversations").select(F.col("conv_id").alias("paper"), "turn")
+    digest = F.md5(F.concat_ws(":", F.col("paper").cast("string"), F.col("turn").cast("string")))
+    g = c.select("paper", F.col("turn").alias("gt"), F.concat(F.lit("q"), digest).alias("g_title"))
+    e = c.select("paper", F.when(F.col("turn") % 2 == 0, F.concat(F.lit("Q"), digest, F.lit(" "))).otherwise("-").alias("e_title"))
+    hit = g.join(e, (g["paper"] == e["paper"]) & text.could_reach("g_title", "e_title", 0.8)).drop(e["paper"])
+    hit = hit.where(text.string_ratio("g_title", "e_title") >= 0.8).select("paper", "gt").distinct()
     return g.select("paper", "gt").join(hit, ["paper", "gt"], "left_anti")
 
 
@@ -296,18 +293,9 @@ def json_lines_scan(spark, d):
     return readers.json_lines(spark, folder, "event_id long, k long").where("_corrupt is null").select("event_id", "k")
 
 
-@query("paper_json_scan", "SELECT CASE WHEN conv_id % 7 = 0 THEN 'bad_json' ELSE 'ok' END AS state, count(*) AS n FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id < 60) GROUP BY 1")
+@query("paper_json_scan", "SELECT CASE WHEN conv_id % 7 = 0 THEN 'bad_json' ELSE 'ok' END AS state, count(*) AS n FROM (SELECT DISTINCT conv_id FROM conversations) GROUP BY 1")
 def paper_json_scan(spark, d):
-    folder = new_folder(spark, "papers")
-    c = table(spark, d, "conversations").where("conv_id < 60").groupBy("conv_id").agg(F.collect_list("text").alias("entries"))
-    body = F.when(F.col("conv_id") % 7 == 0, "{not json").otherwise(F.to_json(F.struct("conv_id", "entries")))
-    c.select("conv_id", body.alias("value")).repartition("conv_id").write.partitionBy("conv_id").text(folder)  # a folder a paper
-    return readers.papers_json(spark, folder, "entries array<string>").groupBy("state").agg(F.count("*").alias("n"))
-
-
-@query("paper_json_scan_all")
-def paper_json_scan_all(spark, d):
-    """As paper_json_scan, for all conversations: a file a paper, without a folder each."""
+    """Whole-file JSON of all conversations: a file a paper, without a folder each."""
     folder = new_folder(spark, "papers")
     c = table(spark, d, "conversations").groupBy("conv_id").agg(F.collect_list("text").alias("entries"))
     body = F.when(F.col("conv_id") % 7 == 0, "{not json").otherwise(F.to_json(F.struct("conv_id", "entries")))
@@ -315,19 +303,9 @@ def paper_json_scan_all(spark, d):
     return readers.papers_json(spark, folder, "entries array<string>").groupBy("state").agg(F.count("*").alias("n"))
 
 
-@query("page_artifacts", "SELECT CASE WHEN page_id % 2 = 0 THEN 'xml' ELSE 'pdf' END AS kind, count(*) AS n FROM pages WHERE page_id < 40 GROUP BY 1")
+@query("page_artifacts", "SELECT CASE WHEN page_id % 2 = 0 THEN 'xml' ELSE 'pdf' END AS kind, count(*) AS n FROM pages GROUP BY 1")
 def page_artifacts(spark, d):
-    """Lists a tree of files; their names stand for kinds, their contents aren't read."""
-    folder = new_folder(spark, "tree")
-    p = table(spark, d, "pages").where("page_id < 40").select("page_id", "url", F.when(F.col("page_id") % 2 == 0, "xml").otherwise("pdf").alias("kind"))
-    p.repartition("page_id").select(F.col("url").alias("value"), "kind", F.col("page_id").alias("p")).write.partitionBy("kind", "p").text(folder)
-    files = readers.artifacts(spark, folder).where(F.col("name").startswith("part-") & (F.col("length") > 0))
-    return files.select(F.regexp_extract("path", "kind=([a-z]+)/p=", 1).alias("kind"), F.regexp_extract("path", "/p=([0-9]+)/", 1).alias("p")).distinct().groupBy("kind").agg(F.count("*").alias("n"))
-
-
-@query("page_artifacts_all")
-def page_artifacts_all(spark, d):
-    """As page_artifacts, for all pages: a file a page, in a folder a kind."""
+    """Lists a tree of files, one a page in a folder a kind; their contents aren't read."""
     folder = new_folder(spark, "tree")
     p = table(spark, d, "pages").select(F.col("page_id").cast("string").alias("value"), F.when(F.col("page_id") % 2 == 0, "xml").otherwise("pdf").alias("kind"))
     p.write.option("maxRecordsPerFile", 1).partitionBy("kind").text(folder)
@@ -352,25 +330,6 @@ def doi_column_counts(spark, d):
     return readers.doi_counts(_cells(spark, d))
 
 
-@query("search_pages", "SELECT '' AS pmid, '10.1/x' || doc_id AS doi, substr(text, 1, 20) AS title, '' AS abstract, 'A' || doc_id || '; B' AS authors, 'J' AS journal, '2001' AS year, 'crossref' AS source_api, lang AS source_query FROM documents WHERE doc_id < 100")
-def search_pages(spark, d):
-    return _searched(docs(spark, d).where("doc_id < 100"), F.col("lang").alias("query"))
-
-
-@query("search_pages_all")
-def search_pages_all(spark, d):
-    """As search_pages, for all documents, in pages of some 100 items."""
-    return _searched(docs(spark, d), F.col("lang").alias("query"), F.floor(F.col("doc_id") / 100))
-
-
-def _searched(rows, *page):
-    item = F.struct(F.concat(F.lit("10.1/x"), F.col("doc_id").cast("string")).alias("DOI"), F.array(F.substring("text", 1, 20)).alias("title"), F.array(F.concat(F.lit("A"), F.col("doc_id").cast("string")), F.lit("B")).alias("author"), F.array(F.lit("J"), F.lit("K")).alias("container"), F.lit("2001-05-01").alias("issued"))
-    pages = rows.groupBy(*page).agg(F.to_json(F.struct(F.collect_list(item).alias("items"))).alias("body"))
-    e = F.col("e")
-    fields = {"doi": e["DOI"], "title": F.get(e["title"], F.lit(0)), "authors": F.array_join(e["author"], "; "), "journal": F.get(e["container"], F.lit(0)), "year": F.substring(e["issued"], 1, 4)}
-    return readers.mapped(pages, "DOI string, title array<string>, author array<string>, container array<string>, issued string", fields, "crossref")
-
-
 @query("keyword_overlay", "SELECT r_name AS key, CASE WHEN r_regionkey = 1 THEN 'mine' ELSE (SELECT string_agg(n_name, ',' ORDER BY n_name) FROM nation WHERE n_regionkey = r_regionkey) END AS items FROM region")
 def keyword_overlay(spark, d):
     lists = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).groupBy(F.col("r_name").alias("key")).agg(F.array_sort(F.collect_list("n_name")).alias("items"))
@@ -391,11 +350,11 @@ def published_dois(spark, d):
     return readers.published_dois(fx.candidates(spark, d), "doi")
 
 
-@query("reference_ladder", "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'json' WHEN 1 THEN 'md' ELSE 'none' END AS source, length(CASE WHEN doc_id % 3 < 2 THEN substr(text, 1, 100) ELSE '' END) AS n FROM documents WHERE trim(substr(text, 1, 100)) <> ''")
+@query("reference_ladder", "SELECT doc_id, CASE WHEN trim(coalesce(text, ''), ' ') = '' THEN 'none' WHEN doc_id % 3 = 0 THEN 'json' WHEN doc_id % 3 = 1 THEN 'md' ELSE 'none' END AS source, CASE WHEN trim(coalesce(text, ''), ' ') <> '' AND doc_id % 3 < 2 THEN least(length(text), 60000) ELSE 0 END AS n FROM documents")
 def reference_ladder(spark, d):
     i = F.col("doc_id") % 3
-    r = readers.reference_ladder(("json", F.when(i == 0, F.col("text"))), ("md", F.when(i == 1, F.col("text")).otherwise(" ")), cap=100)
-    return docs(spark, d).where(F.trim(F.substring("text", 1, 100)) != "").select("doc_id", r["source"].alias("source"), F.length(r["text"]).cast("long").alias("n"))
+    r = readers.reference_ladder(("json", F.when(i == 0, F.col("text"))), ("md", F.when(i == 1, F.col("text")).otherwise(" ")))
+    return docs(spark, d).select("doc_id", r["source"].alias("source"), F.length(r["text"]).cast("long").alias("n"))
 
 
 @query("paper_discovery", "SELECT doc_id AS folder FROM documents WHERE n_chars > 300 AND doc_id IN (SELECT doc_id FROM labels) ORDER BY 1 LIMIT 25")

@@ -307,7 +307,7 @@ def repair_plan(spark, d):
     own = F.concat(F.lit("10.1000--p"), s)
     name = F.when(i % 4 == 0, own).when(i % 4 == 1, F.concat(F.lit("junk"), s)).when(i % 4 == 2, F.concat(F.lit("nothing"), s)).otherwise(F.concat(F.lit("bad"), s))
     rows = table(spark, d, "pages").select("page_id", name.alias("folder"), F.when(i % 4 == 1, F.concat(F.lit("https://doi.org/10.1000/n"), s)).alias("doi_file"), F.when(i % 4 == 3, "10.1000/same").alias("doi_index"))
-    twin = rows.where("page_id % 4 = 3").limit(1).select(F.lit(-1).cast("long").alias("page_id"), F.lit("twin").alias("folder"), F.lit(None).cast("string").alias("doi_file"), F.lit("10.1000/same").alias("doi_index"))
+    twin = rows.where("page_id % 4 = 3").agg(F.min("page_id")).select(F.lit(-1).cast("long").alias("page_id"), F.lit("twin").alias("folder"), F.lit(None).cast("string").alias("doi_file"), F.lit("10.1000/same").alias("doi_index"))
     both = rows.unionByName(twin)
     return cat.repair_plan(both.drop("page_id")).join(both.select("page_id", "folder"), "folder").where("page_id >= 0").select("page_id", "plan")
 

@@ -44,9 +44,9 @@ def doi_url_forms(spark, d):
     return fx.candidates(spark, d).select("seq", ids.doi_url(c).alias("url"), ids.bare_doi(c).alias("bare"), ids.alnum_key(c).alias("key"), ids.first_doi(F.concat(F.lit("see "), c)).alias("found"))
 
 
-@query("slugify_source", "SELECT doc_id, substr(regexp_replace(regexp_replace(lower(trim(substr(text, 1, 90))), '[^a-z0-9_-]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 64) AS slug FROM documents")
+@query("slugify_source", "SELECT doc_id, substr(regexp_replace(regexp_replace(lower(trim(text)), '[^a-z0-9_-]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 64) AS slug FROM documents")
 def slugify_source(spark, d):
-    return docs(spark, d).select("doc_id", ids.slugify(F.substring("text", 1, 90)).alias("slug"))
+    return docs(spark, d).select("doc_id", ids.slugify(F.col("text")).alias("slug"))
 
 
 @query("split_assign", "SELECT doc_id, CASE WHEN ('0x' || substr(sha256('gold:' || doc_id), 1, 8))::BIGINT / 4294967296.0 < 0.6 THEN 'test' ELSE 'dev' END AS split FROM documents")
@@ -78,22 +78,18 @@ def near_doi_pairs(spark, d):
     return docs(spark, d).select("doc_id", ids.near_doi(a, b).alias("near"))
 
 
-@query("title_normalize", f"SELECT doc_id, {fx.TITLE_SQL} AS title FROM (SELECT doc_id, substr(text, 1, 80) AS title FROM documents)")
+@query("title_normalize", f"SELECT doc_id, md5({fx.TITLE_SQL}) AS title FROM (SELECT doc_id, text AS title FROM documents)")
 def title_normalize(spark, d):
-    return docs(spark, d).select("doc_id", text.normalize_title(F.substring("text", 1, 80)).alias("title"))
+    return docs(spark, d).select("doc_id", F.md5(text.normalize_title(F.col("text"))).alias("title"))
 
 
-@query("deinvert_abstract", r"SELECT doc_id, array_to_string(list_filter(str_split_regex(substr(text, 1, 400), '\s+'), lambda w: w <> ''), ' ') AS text FROM documents")
+@query("deinvert_abstract", r"SELECT doc_id, md5(array_to_string(list_filter(str_split_regex(text, '\s+'), lambda w: w <> ''), ' ')) AS text FROM documents")
 def deinvert_abstract(spark, d):
-    words = F.filter(F.split(F.substring("text", 1, 400), r"\s+"), lambda w: w != "")
-    places = F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("p")))
-    inverted = F.map_from_entries(F.transform(F.array_distinct(words), lambda w: F.struct(w.alias("key"), F.transform(F.filter(places, lambda x: x["w"] == w), lambda x: x["p"]).alias("value"))))
-    return docs(spark, d).select("doc_id", text.deinvert(inverted).alias("text"))
+    return _deinverted(spark, d).withColumn("text", F.md5("text"))
 
 
-@query("deinvert_abstract_all")
-def deinvert_abstract_all(spark, d):
-    """As deinvert_abstract, of whole texts: the inverted index is grouped by word, in time linear in the words."""
+def _deinverted(spark, d):
+    """Whole texts from their inverted index, which is grouped by word, in time linear in the words."""
     words = F.filter(F.split("text", r"\s+"), lambda w: w != "")
     placed = docs(spark, d).select("doc_id", F.col("text").isNull().alias("none"), F.posexplode_outer(words).alias("p", "w"))
     lists = placed.groupBy("doc_id", "none", "w").agg(F.collect_list("p").alias("ps"))
@@ -147,10 +143,10 @@ def metadata_validation(spark, d):
     return docs(spark, d).select("doc_id", text.metadata_valid(got, {"year": F.lit("1999"), "journal": F.lit("of things"), "volume": F.lit(" 7")}).alias("valid"))
 
 
-@query("full_titles", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN substr(text, 1, 30) WHEN contains(lower(substr(text, 1, 30)), lower(substr(text, 31, 3))) THEN substr(text, 1, 30) WHEN substr(text, 31, 3) = '' THEN substr(text, 1, 30) ELSE rtrim(substr(text, 1, 30), ': ') || ': ' || substr(text, 31, 3) END AS title FROM documents")
+@query("full_titles", "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 OR contains(lower(p_name), lower(p_type)) THEN p_name ELSE rtrim(p_name, ': ') || ': ' || p_type END AS title FROM part")
 def full_titles(spark, d):
-    sub = F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.substring("text", 31, 3))
-    return docs(spark, d).select("doc_id", text.full_title(F.substring("text", 1, 30), sub).alias("title"))
+    sub = F.when(F.col("p_partkey") % 3 == 0, "").otherwise(F.col("p_type"))
+    return table(spark, d, "part").select("p_partkey", text.full_title(F.col("p_name"), sub).alias("title"))
 
 
 _STOP = ", ".join(f"'{w}'" for w in text.CLAIM_STOP_WORDS)
@@ -158,16 +154,8 @@ _FRAME = text.CLAIM_FRAME.replace("'", "''")
 _TOK = lambda c: rf"list_filter(list_distinct(regexp_extract_all(regexp_replace(lower(trim({c})), '{_FRAME}', ''), '[a-z0-9]+')), lambda w: w NOT IN ({_STOP}))"
 
 
-@query("dice_pairs", f"WITH x AS (SELECT d.doc_id, {_TOK('substr(d.text, 1, 300)')} AS a, {_TOK('substr(e.text, 1, 300)')} AS b FROM documents d JOIN documents e ON e.doc_id = d.doc_id + 1) SELECT doc_id, round(CASE WHEN len(a) > 0 AND len(b) > 0 THEN 2.0 * len(list_intersect(a, b)) / (len(a) + len(b)) ELSE 0 END, 9) AS dice FROM x")
+@query("dice_pairs", f"WITH x AS (SELECT d.doc_id, {_TOK('d.text')} AS a, {_TOK('e.text')} AS b FROM documents d JOIN documents e ON e.doc_id = d.doc_id + 1) SELECT doc_id, round(CASE WHEN len(a) > 0 AND len(b) > 0 THEN 2.0 * len(list_intersect(a, b)) / (len(a) + len(b)) ELSE 0 END, 9) AS dice FROM x")
 def dice_pairs(spark, d):
-    a = docs(spark, d).select("doc_id", F.substring("text", 1, 300).alias("a"))
-    b = docs(spark, d).select((F.col("doc_id") - 1).alias("doc_id"), F.substring("text", 1, 300).alias("b"))
-    return a.join(b, "doc_id").select("doc_id", F.round(text.claim_dice(F.col("a"), F.col("b")), 9).alias("dice"))
-
-
-@query("dice_pairs_all")
-def dice_pairs_all(spark, d):
-    """As dice_pairs, of whole texts."""
     a = docs(spark, d).select("doc_id", F.col("text").alias("a"))
     b = docs(spark, d).select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("b"))
     return a.join(b, "doc_id").select("doc_id", F.round(text.claim_dice(F.col("a"), F.col("b")), 9).alias("dice"))
@@ -187,10 +175,15 @@ def ref_legibility(spark, d):
     return docs(spark, d).select("doc_id", F.round(text.legible_share(F.col("text")), 9).alias("share"))
 
 
-@query("withhold_references", "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'BODY' || chr(10) || '[REFERENCE LIST: none]' || chr(10) || 'The reference list could not be read and is withheld.' || chr(10) || chr(10) || '[END]' || chr(10) || 'x' ELSE 'BODY' || chr(10) || '[REFERENCE LIST: refs]' || chr(10) || 'Author and another wrote things in places' || chr(10) || '[END]' || chr(10) || 'x' END AS text FROM documents")
+_NONE = "'[REFERENCE LIST: none]' || chr(10) || 'The reference list could not be read and is withheld.' || chr(10) || chr(10)"
+
+
+@query("withhold_references", f"SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'BODY' || chr(10) || {_NONE} || '[END]' || chr(10) || 'x' WHEN 1 THEN 'BODY' || chr(10) || '[REFERENCE LIST: refs]' || chr(10) || 'Author and another wrote things in places' || chr(10) || '[END]' || chr(10) || 'x' WHEN 2 THEN 'BODY' || chr(10) || {_NONE} || 'Reply with JSON.' WHEN 3 THEN 'BODY' || chr(10) || {_NONE} WHEN 4 THEN 'BODY' || chr(10) || {_NONE} WHEN 5 THEN 'BODY only [REFERENCE LIST: no header]' END AS text FROM documents")
 def withhold_references(spark, d):
-    junk = F.when(F.col("doc_id") % 2 == 0, "D 3&0201. 01&%00: 3. 0192 &%$ 2231 %%").otherwise("Author and another wrote things in places")
-    whole = F.concat(F.lit("BODY\n[REFERENCE LIST: refs]\n"), junk, F.lit("\n[END]\nx"))
+    """A list before another section, a legible one, one before the last instruction, before too long a paragraph, an empty one, and none."""
+    junk, good, head = "D 3&0201. 01&%00: 3. 0192 &%$ 2231 %%", "Author and another wrote things in places", "BODY\n[REFERENCE LIST: refs]\n"
+    cases = [f"{head}{junk}\n[END]\nx", f"{head}{good}\n[END]\nx", f"{head}{junk}\n\nReply with JSON.", f"{head}{junk}\n\n" + "0192 &%$ 2231 %% " * 20, head, "BODY only [REFERENCE LIST: no header]"]
+    whole = F.element_at(F.array(*map(F.lit, cases)), (F.col("doc_id") % 6 + 1).cast("int"))
     return docs(spark, d).select("doc_id", text.without_unreadable_references(whole).alias("text"))
 
 
@@ -208,11 +201,13 @@ def husk_gate(spark, d):
 _DW = lambda c: f"list_distinct(list_filter(regexp_extract_all(lower({c}), '[a-z0-9]+'), lambda w: length(w) > 4))"
 
 
-@query("distinctive_overlap", f"WITH x AS (SELECT d.doc_id, {_DW('substr(e.text, 1, 80)')} AS w, {_DW('substr(d.text, 1, 5000)')} AS t FROM documents d JOIN documents e ON e.doc_id = d.doc_id + 1) SELECT doc_id, len(w) > 0 AND len(list_intersect(w, t)) < least(2, len(w)) AS wrong FROM x")
+@query("distinctive_overlap", f"WITH x AS (SELECT d.doc_id, {_DW('b.text')} AS w, {_DW('substr(d.text, 1, 5000)')} AS t FROM documents d JOIN benchmark b ON b.item_id = d.doc_id % (SELECT count(*) FROM benchmark)) SELECT doc_id, len(w) > 0 AND len(list_intersect(w, t)) < least(2, len(w)) AS wrong FROM x")
 def distinctive_overlap(spark, d):
-    a = docs(spark, d).select("doc_id", "text")
-    b = docs(spark, d).select((F.col("doc_id") - 1).alias("doc_id"), F.substring("text", 1, 80).alias("title"))
-    return a.join(b, "doc_id").select("doc_id", catalog.wrong_document(F.col("title"), F.col("text")).alias("wrong"))
+    """Items of the benchmark stand for expected titles; the operator reads a text's first 5000 characters."""
+    b = table(spark, d, "benchmark").select("item_id", F.col("text").alias("title"))
+    n = table(spark, d, "benchmark").agg(F.count("*").alias("n"))  # one row
+    a = docs(spark, d).join(F.broadcast(n)).select("doc_id", "text", (F.col("doc_id") % F.col("n")).alias("item_id"))
+    return a.join(b, "item_id").select("doc_id", catalog.wrong_document(F.col("title"), F.col("text")).alias("wrong"))
 
 
 @query("xml_list_text", "SELECT page_id, 'Ref one of ' || page_id || chr(10) || 'A & B two' AS text FROM pages")
@@ -231,15 +226,12 @@ def render_references(spark, d):
     return docs(spark, d).select("doc_id", text.rendered_references(refs).alias("text"))
 
 
-@query("request_assembly", "SELECT doc_id, md5('Extract replication data from the paper below.' || chr(10) || chr(10) || '[PAPER DOI]' || chr(10) || doc_id || chr(10) || chr(10) || '[FULL TEXT]' || chr(10) || trim(text, ' ') || chr(10) || chr(10) || '[REFERENCE LIST: md]' || chr(10) || 'r' || chr(10) || chr(10) || 'Reply with the JSON object only.') AS digest FROM documents WHERE length(text) < 15000")
-def request_assembly(spark, d):
-    rows = docs(spark, d).where(F.length("text") < 15000)  # those that need no cut; cuts are tested apart
-    return rows.select("doc_id", F.md5(text.assembled(F.col("doc_id").cast("string"), F.lit(""), F.col("text"), F.lit("r"), F.lit("md"), 10_000)).alias("digest"))
+_BODY = "CASE WHEN length(t) <= 20000 THEN t ELSE substr(t, 1, 11000) || chr(10) || chr(10) || '[... ' || format('{:,}', length(t) - 20000) || ' characters omitted from the middle of the full text ...]' || chr(10) || chr(10) || right(t, 9000) END"
 
 
-@query("request_assembly_all")
-def request_assembly_all(spark, d):
-    """As request_assembly, for all documents: long ones are cut; brute force checks it in the tests."""
+@query("request_assembly", f"SELECT doc_id, md5('Extract replication data from the paper below.' || chr(10) || chr(10) || '[PAPER DOI]' || chr(10) || doc_id || chr(10) || chr(10) || CASE WHEN t IS NULL THEN '' ELSE '[FULL TEXT]' || chr(10) || {_BODY} || chr(10) || chr(10) END || '[REFERENCE LIST: md]' || chr(10) || 'r' || chr(10) || chr(10) || 'Reply with the JSON object only.') AS digest FROM (SELECT doc_id, trim(text, ' ') AS t FROM documents)")
+def request_assembly(spark, d):
+    """Requests of all documents; bodies beyond 20,000 characters are cut in the middle."""
     return docs(spark, d).select("doc_id", F.md5(text.assembled(F.col("doc_id").cast("string"), F.lit(""), F.col("text"), F.lit("r"), F.lit("md"), 10_000)).alias("digest"))
 
 
@@ -265,9 +257,9 @@ def excerpt_from_heading(spark, d):
     return docs(spark, d).select("doc_id", F.md5(text.from_heading(t, "Discussion|Conclusions?", 200)).alias("digest"))
 
 
-@query("phrase_location", "SELECT doc_id, strpos(text, substr(text, n_chars // 2, 12)) AS pos, length(left(text, strpos(text, substr(text, n_chars // 2, 12)))) - length(replace(left(text, strpos(text, substr(text, n_chars // 2, 12))), chr(10), '')) + 1 AS line FROM documents WHERE n_chars > 40")
+@query("phrase_location", "SELECT doc_id, strpos(text, p) AS pos, length(left(text, strpos(text, p))) - length(replace(left(text, strpos(text, p)), chr(10), '')) + 1 AS line FROM (SELECT doc_id, text, substr(text, greatest(1, length(text) // 2), 12) AS p FROM documents)")
 def phrase_location(spark, d):
-    rows = docs(spark, d).where("n_chars > 40").withColumn("p", F.expr("substr(text, int(n_chars div 2), 12)"))
+    rows = docs(spark, d).withColumn("p", F.expr("substr(text, int(greatest(1, length(text) div 2)), 12)"))
     pos = F.expr("instr(text, p)")
     head = F.expr("left(text, instr(text, p))")
     return rows.select("doc_id", pos.cast("long").alias("pos"), (F.length(head) - F.length(F.replace(head, F.lit("\n"), F.lit(""))) + 1).cast("long").alias("line"))
@@ -309,13 +301,14 @@ def rule_first_match(spark, d):
     return docs(spark, d).select("doc_id", rules.first_rule([("number", "[0-9]{4}"), ("at", "@"), ("shout", "!!")], F.col("text")).alias("rule"))
 
 
-@query("screening_rules")
+@query("screening_rules", "SELECT doc_id, (['strong_positive', 'bio_replication', 'measurement_repro', 'stat_replicates_only', 'weak_positive', 'no_replication_word'])[doc_id % 6 + 1] AS reason FROM documents")
 def screening_rules(spark, d):
-    """The default rules over the documents with a phrase of theirs added to some: no SQL, as RE2 lacks their dialect."""
-    i = F.col("doc_id")
-    phrases = ["A direct replication", "viral replication", "assay reproducibility", "performed in triplicate; technical replicates", "replication of the effect", "replication", "nothing"]
-    t = F.element_at(F.array(*map(F.lit, phrases)), (i % 7 + 1).cast("int"))
-    return docs(spark, d).select("doc_id", rules.classify(F.when(i % 7 != 3, t).otherwise("x"), F.when(i % 7 == 3, t).otherwise("")).alias("r")).select("doc_id", "r.*")
+    """The default rules over whole texts with a phrase of theirs in the title or, for one kind, behind the text."""
+    i = F.col("doc_id") % 6
+    phrases = ["A direct replication", "viral replication", "assay reproducibility", "performed in triplicate; technical replicates", "replication of the effect", "nothing"]
+    t = F.element_at(F.array(*map(F.lit, phrases)), (i + 1).cast("int"))
+    abstract = F.concat_ws(" ", "text", F.when(i == 3, t))
+    return docs(spark, d).select("doc_id", rules.classify(F.when(i != 3, t).otherwise("x"), abstract).alias("r")).select("doc_id", "r.reason")
 
 
 @query("enum_validate", "SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'success' WHEN 1 THEN 'close experiment' WHEN 2 THEN 'maybe' WHEN 3 THEN '' ELSE 'direct' END AS value, CASE doc_id % 5 WHEN 0 THEN 'Success -> success' WHEN 1 THEN 'close -> close experiment' WHEN 2 THEN 'not valid: maybe' END AS message FROM documents")
@@ -383,16 +376,16 @@ def reply_parse(spark, d):
 
 @query("title_ratio")
 def title_ratio(spark, d):
-    """difflib's ratios of neighbouring titles; not expressible in SQL."""
-    a = docs(spark, d).select("doc_id", F.substring("text", 1, 80).alias("a"))
-    b = docs(spark, d).select((F.col("doc_id") - 1).alias("doc_id"), F.substring("text", 1, 80).alias("b"))
-    both = a.join(b, "doc_id")
-    return both.select("doc_id", F.when(text.could_reach(F.col("a"), F.col("b"), 0.3), text.string_ratio("a", "b")).otherwise(0.0).alias("ratio"), text.title_similarity(0.9)("a", "b").alias("title_similarity"))
+    """difflib's ratios of neighbouring part names, whole; difflib itself checks it in the tests."""
+    p = table(spark, d, "part")
+    both = p.select("p_partkey", F.col("p_name").alias("a")).join(p.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("p_name").alias("b")), "p_partkey")
+    return both.select("p_partkey", F.when(text.could_reach("a", "b", 0.3), text.string_ratio("a", "b")).otherwise(0.0).alias("ratio"), text.title_similarity(0.9)("a", "b").alias("title_similarity"))
 
 
 @query("folded_names")
 def folded_names(spark, d):
-    return docs(spark, d).select("doc_id", text.fold(F.substring("text", 1, 60)).alias("folded"))
+    """Whole texts without diacritics; Python's own folding checks it in the tests."""
+    return docs(spark, d).select("doc_id", F.md5(text.fold(F.col("text"))).alias("folded"))
 
 
 @query("table_splice")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curata.functions.ids import normalize_doi, stem
+from curata.functions.text import deinvert, strip_tags
 
 # Names of a DOI column, best first.
 PREFERRED_COLUMNS = ["replication_doi", "doi", "replication_url", "doi_url", "url"]
@@ -75,10 +76,56 @@ def doi_counts(cells: DataFrame) -> DataFrame:
     return own.agg(F.count("*").alias("n_rows"), F.count_if((F.trim("cell") != "") & normalize_doi(F.col("cell")).isNull()).alias("n_invalid"))
 
 
-def mapped(pages: DataFrame, schema: str, fields: dict[str, Column], api: str) -> DataFrame:
-    """Candidate rows of recorded pages(query, body): body is parsed to array ``items`` of the schema, fields map an item ``e``."""
-    items = pages.select("query", F.explode(F.from_json("body", f"items array<struct<{schema}>>")["items"]).alias("e"))
-    return items.select(*[F.coalesce(fields[f].cast("string"), F.lit("")).alias(f) if f in fields else F.lit("").alias(f) for f in CANDIDATE_FIELDS[:-2]], F.lit(api).alias("source_api"), F.col("query").alias("source_query"))
+def _joined(items: Column, one) -> Column:
+    return F.array_join(F.transform(items, one), "; ")
+
+
+def _first(c: Column) -> Column:
+    return F.get(c, F.lit(0))
+
+
+def _source_fields(e: Column) -> dict[str, tuple[str, str, dict[str, Column]]]:
+    """Of each source: where a recorded page has its items, their schema, and the candidate's fields of an item e."""
+    text = lambda c: F.coalesce(c, F.lit(""))
+    person = lambda a: F.trim(F.concat(text(a["given"]), F.lit(" "), text(a["family"])))
+    named = F.filter(e["AID"], lambda x: x.endswith("[doi]"))
+    works = (
+        "results",
+        "doi string, title string, abstract_inverted_index map<string, array<int>>, authorships array<struct<author struct<display_name string>>>, primary_location struct<source struct<display_name string>>, publication_year string",
+        lambda: {"doi": F.replace(text(e["doi"]), F.lit("https://doi.org/"), F.lit("")), "title": e["title"], "abstract": deinvert(e["abstract_inverted_index"]), "authors": _joined(e["authorships"], lambda a: text(a["author"]["display_name"])), "journal": e["primary_location"]["source"]["display_name"], "year": e["publication_year"]},
+    )
+    return {
+        "pubmed": ("records", "PMID string, AID array<string>, TI string, AB string, AU array<string>, TA string, DP string", lambda: {"pmid": e["PMID"], "doi": F.trim(F.replace(_first(named), F.lit(" [doi]"), F.lit(""))), "title": e["TI"], "abstract": e["AB"], "authors": F.array_join(e["AU"], "; "), "journal": e["TA"], "year": F.left(e["DP"], F.lit(4))}),
+        "openalex": works,
+        "openalex_broad": works,
+        "europepmc": ("resultList.result", "pmid string, doi string, title string, abstractText string, authorString string, journalTitle string, pubYear string", lambda: {"pmid": e["pmid"], "doi": e["doi"], "title": e["title"], "abstract": e["abstractText"], "authors": e["authorString"], "journal": e["journalTitle"], "year": e["pubYear"]}),
+        "crossref": ("message.items", "DOI string, title array<string>, abstract string, author array<struct<given string, family string>>, `container-title` array<string>, issued struct<`date-parts` array<array<string>>>", lambda: {"doi": F.lower(e["DOI"]), "title": _first(e["title"]), "abstract": F.trim(strip_tags(e["abstract"])), "authors": _joined(e["author"], person), "journal": _first(e["container-title"]), "year": _first(_first(e["issued"]["date-parts"]))}),
+        "osf": ("data", "id string, attributes struct<doi string, title string, description string, date_published string>, relationships struct<provider struct<data struct<id string>>>", lambda: {"doi": F.lower(e["attributes"]["doi"]), "title": e["attributes"]["title"], "abstract": e["attributes"]["description"], "journal": F.coalesce(e["relationships"]["provider"]["data"]["id"], F.lit("osf")), "year": F.left(e["attributes"]["date_published"], F.lit(4))}),
+        "semantic_scholar": ("data", "title string, abstract string, authors array<struct<name string>>, year string, venue string, externalIds struct<PubMed string, DOI string>", lambda: {"pmid": e["externalIds"]["PubMed"], "doi": F.lower(e["externalIds"]["DOI"]), "title": e["title"], "abstract": e["abstract"], "authors": _joined(e["authors"], lambda a: text(a["name"])), "journal": e["venue"], "year": e["year"]}),
+    }
+
+
+SEARCH_SOURCES = ["pubmed", "openalex", "openalex_broad", "europepmc", "crossref", "osf", "semantic_scholar"]
+
+
+def recorded(pages: DataFrame, api: str) -> DataFrame:
+    """Candidate rows of the recorded pages(query, body) of one of SEARCH_SOURCES; a body that doesn't parse has none.
+
+    A preprint that two filters of a query find (osf) counts once.
+    """
+    path, schema, fields = _source_fields(F.col("e"))[api]
+    outer = f"array<struct<{schema}>>"
+    names = path.split(".")
+    for name in reversed(names[1:]):
+        outer = f"struct<{name}: {outer}>"
+    found = F.from_json("body", f"{names[0]} {outer}")
+    for name in names:
+        found = found[name]
+    items = pages.select("query", F.explode(found).alias("e"))
+    if api == "osf":
+        items = items.withColumn("_id", F.coalesce("e.id", F.lit(""))).dropDuplicates(["query", "_id"])
+    own = fields()
+    return items.select(*[F.coalesce(own[f].cast("string"), F.lit("")).alias(f) if f in own else F.lit("").alias(f) for f in CANDIDATE_FIELDS[:-2]], F.lit(api).alias("source_api"), F.col("query").alias("source_query"))
 
 
 def overlaid(defaults: DataFrame, overlay: DataFrame) -> DataFrame:
@@ -116,8 +163,3 @@ def discovered(folders: DataFrame, readable: DataFrame, include: DataFrame, limi
 def filled(wanted: DataFrame, recorded: DataFrame, key: str, value: str) -> DataFrame:
     """Every wanted key with the recorded value, '' for a miss."""
     return wanted.join(recorded.select(key, value), key, "left").withColumn(value, F.coalesce(value, F.lit("")))
-
-
-def row_number_from(frame: DataFrame, *order: str) -> DataFrame:
-    """seq from 0 within one bounded table, such as a pasted list."""
-    return frame.withColumn("seq", F.row_number().over(Window.orderBy(*order)) - 1)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from curata.functions.storage import new_folder, shared_dir
 
@@ -49,22 +50,31 @@ def run_complete(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(folder)
 
 
-def append_unseen(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """foreachBatch append of rows none of whose keys is in the table or in an earlier row of the batch (seq orders a batch)."""
-    spark, folder = rows.sparkSession, new_folder(rows.sparkSession, name)
-    shared_dir(spark)
+def append_unseen(rows: DataFrame, keys: list[str], name: str, folder: str | None = None) -> DataFrame:
+    """foreachBatch append of rows none of whose keys is in the table or in an earlier row of the batch (seq orders a batch).
 
-    def put(batch: DataFrame, number: int) -> None:
-        if batch.isEmpty():
-            return
-        pairs = lambda df: df.select("seq", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).cast("string").alias("key")) for k in keys])).alias("x")).select("seq", "x.*").where("key is not null and key <> ''")
-        mine = pairs(batch)
-        first = mine.groupBy("kind", "key").agg(F.min("seq").alias("head"))
-        bad = mine.join(first, ["kind", "key"]).where("seq > head").select("seq")
-        if number:
-            bad = bad.union(mine.join(pairs(spark.read.schema(batch.schema).parquet(f"{folder}/batch=*")).select("kind", "key"), ["kind", "key"], "left_semi").select("seq"))
-        batch.join(bad.distinct(), "seq", "left_anti").write.mode("overwrite").parquet(f"{folder}/batch={number}")
-
-    q = rows.writeStream.option("checkpointLocation", f"{folder}-state").foreachBatch(put).trigger(availableNow=True).start()
+    folder: where the table is, to go on from an earlier run; a new one by default.
+    """
+    spark, folder = rows.sparkSession, folder or new_folder(rows.sparkSession, name)
+    shared_dir(spark)
+    q = rows.writeStream.option("checkpointLocation", f"{folder}-state").foreachBatch(lambda batch, number: put_unseen(batch, number, keys, folder)).trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.schema(rows.schema).parquet(f"{folder}/batch=*")
+    return appended(spark, rows.schema, folder)
+
+
+def appended(spark: SparkSession, schema, folder: str) -> DataFrame:
+    """The table that batches are put into, without the number of the batch."""
+    return spark.read.schema(schema).option("basePath", folder).parquet(f"{folder}/batch=*")
+
+
+def put_unseen(batch: DataFrame, number: int, keys: list[str], folder: str) -> None:
+    """Puts a batch's new rows where they replace those of an earlier attempt at it, which don't count as known."""
+    spark = batch.sparkSession
+    pairs = lambda df: df.select("seq", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).cast("string").alias("key")) for k in keys])).alias("x")).select("seq", "x.*").where("key is not null and key <> ''")
+    mine = pairs(batch)
+    first = mine.groupBy("kind", "key").agg(F.min("seq").alias("head"))
+    bad = mine.join(first, ["kind", "key"]).where("seq > head").select("seq")
+    if number:  # every batch is written, an empty one too
+        before = spark.read.schema(T.StructType([*batch.schema.fields, T.StructField("batch", T.LongType())])).parquet(folder).where(F.col("batch") < number)
+        bad = bad.union(mine.join(pairs(before).select("kind", "key").distinct(), ["kind", "key"], "left_semi").select("seq"))
+    batch.join(bad.distinct(), "seq", "left_anti").select(*batch.columns).write.mode("overwrite").parquet(f"{folder}/batch={number}")
