@@ -1,9 +1,9 @@
 """Quality scores by nearest-neighbour voting among labelled latent-semantic vectors.
 
 A bounded sample of labelled documents (``SAMPLE``, the least by a hash of doc_id) gives the
-model: hashed shape terms of the whole text (runs of letter case, digits and signs, and
-words that repeat), weighted by log frequency and inverse document frequency, projected on
-the first ``LATENT`` singular directions. The labelled vectors are broadcast (SAMPLE x LATENT
+model: hashed terms of the whole text, of two kinds - shapes (runs of letter case, digits and
+signs, and words that repeat) and words (A-Z in lower case) - weighted by log frequency and
+inverse document frequency, projected on the first ``LATENT`` singular directions. The labelled vectors are broadcast (SAMPLE x LATENT
 floats, about 1 MB, whatever the corpus). Every document's exact cosine with all of them is
 computed in blocks; its ``NEIGHBOURS`` nearest vote with weights that fall with distance.
 
@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 
 from curata.llm.buffers import column, slices, span_hashes, texts, tune
 
-SAMPLE, LATENT, NEIGHBOURS, TERMS = 4096, 48, 15, 2048
-REPEATS = 3.0  # weight of the terms for words that repeat, few as they are among TERMS
+SAMPLE, LATENT, NEIGHBOURS, SHAPES, WORDS = 4096, 48, 15, 2048, 2048
+TERMS = SHAPES + WORDS
+KINDS = ((0, SHAPES, 1.0), (SHAPES, TERMS, 0.6))  # each kind's terms, and its weight beside the other
+REPEATS = 3.0  # weight of the terms for words that repeat, few as they are among the shapes; halves the bad documents kept, on held-out ones
 THRESHOLD = 0.3
 _SHAPE = np.full(256, 2, np.uint32)  # non-ASCII bytes count as small letters
 _SHAPE[:128] = np.arange(128) + 8
@@ -31,6 +33,8 @@ _SHAPE[ord("a") : ord("z") + 1] = 2
 _SHAPE[ord("A") : ord("Z") + 1] = 3
 _SHAPE[ord("0") : ord("9") + 1] = 4
 _SHAPE[[0x20, 0x09, 0x0D]] = 1
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -40,11 +44,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 def terms(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """[texts, TERMS] term counts: shapes of 2 and 4 bytes, and words that repeat one of the 3 before."""
+    """[texts, TERMS] term counts: shapes of 2 and 4 bytes, words that repeat one of the 3 before, their number; and words."""
     n = len(offsets) - 1
-    counts = np.zeros((n, TERMS), np.float32)
     if not len(data):
-        return counts
+        return np.zeros((n, TERMS), np.float32)
     shape, size = _SHAPE[data], np.diff(offsets)
     owner = np.repeat(np.arange(n, dtype=np.int64) * TERMS, size)
     flat = np.zeros(n * TERMS, np.int64)
@@ -54,7 +57,7 @@ def terms(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         code = shape[: len(data) - width + 1].copy()
         for k in range(1, width):
             code = code * np.uint32(0x01000193) + shape[k : len(data) - width + 1 + k]
-        code = ((code * np.uint32(salt)) >> np.uint32(18)) % np.uint32(TERMS - 8)
+        code = ((code * np.uint32(salt)) >> np.uint32(18)) % np.uint32(SHAPES - 8)
         whole = np.ones(len(code), bool)  # not across two texts
         for k in range(1, width):
             inner = offsets[1:-1] - k
@@ -69,24 +72,29 @@ def terms(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     ends[:-1] = solid[:-1] & (~solid[1:] | first[1:])
     ends[-1] = solid[-1]
     starts = np.flatnonzero(starts)
-    words = span_hashes(data, starts, np.flatnonzero(ends) + 1)
+    words = span_hashes(_LOWER[data], starts, np.flatnonzero(ends) + 1)
     bounds = np.searchsorted(starts, offsets)
-    of = np.repeat(np.arange(n, dtype=np.int64), np.diff(bounds))
+    of = np.repeat(np.arange(n, dtype=np.int64), np.diff(bounds)) * TERMS
     for lag in (1, 2, 3):
         same = (words[lag:] == words[:-lag]) & (of[lag:] == of[:-lag])
-        flat += np.bincount(of[lag:][same] * TERMS + TERMS - lag, minlength=n * TERMS)
-    counts[:] = flat.reshape(n, TERMS)
-    counts[:, TERMS - 4] = np.diff(bounds)
-    return counts
-
-
-def weighted(counts: np.ndarray, idf: np.ndarray | None = None) -> np.ndarray:
-    """Log frequencies a thousand terms, times idf; rows of length 1 (an empty text: 0)."""
-    total = np.maximum(counts.sum(axis=1, keepdims=True), 1)
-    x = np.log1p(counts * (1000 / total)).astype(np.float32)
-    if idf is not None:
-        x *= idf
-    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+        flat += np.bincount(of[lag:][same] + SHAPES - lag, minlength=n * TERMS)
+    flat += np.bincount(of + SHAPES + (words % np.uint64(WORDS)).astype(np.int64), minlength=n * TERMS)
+    counts = flat.reshape(n, TERMS)
+    counts[:, SHAPES - 4] = np.diff(bounds)
+    return counts.astype(np.float32)
+
+
+def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Log frequencies a thousand terms of a kind, times idf; the kinds by their weights, rows of length 1 (an empty text: 0)."""
+    out = np.empty_like(counts)
+    for a, b, weight in KINDS:
+        x = out[:, a:b]
+        np.multiply(counts[:, a:b], 1000 / np.maximum(counts[:, a:b].sum(axis=1, keepdims=True), 1), out=x)
+        np.log1p(x, out=x)
+        x *= idf[a:b]
+        x *= weight / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    out /= np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+    return out
 
 
 def _directions(x: np.ndarray, k: int, rounds: int = 6) -> np.ndarray:
@@ -105,7 +113,7 @@ class Model:
     def __init__(self, counts: np.ndarray, labels: np.ndarray):
         there = (counts > 0).sum(axis=0)
         self.idf = np.log((1 + len(counts)) / (1 + there)).astype(np.float32) + 1
-        self.idf[TERMS - 3 :] *= REPEATS
+        self.idf[SHAPES - 3 : SHAPES] *= REPEATS
         x = weighted(counts, self.idf)
         self.projection = _directions(x, LATENT)
         self.vectors, self.labels = self._latent(x), labels.astype(np.float32)
@@ -144,8 +152,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, learnt_from=la
     # of rows with one doc_id, that of the least hash; combined before the shuffle
     rows = rows.groupBy("id").agg(F.min(F.struct("tie", "term", "n", "quality")).alias("x")).select("id", "x.term", "x.n", "x.quality").orderBy("id").toArrow()
     counts = np.zeros((len(rows), TERMS), np.float32)
-    for k, (term, n) in enumerate(zip(rows["term"].to_pylist(), rows["n"].to_pylist(), strict=True)):
-        counts[k, term] = n
+    term, n = rows["term"].combine_chunks(), rows["n"].combine_chunks()
+    counts[np.repeat(np.arange(len(rows)), term.value_lengths().to_numpy()), term.flatten().to_numpy()] = n.flatten().to_numpy()
     return Model(counts, (rows["quality"].to_numpy() > 0.5).astype(np.float32))
 
 
