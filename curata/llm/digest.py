@@ -9,7 +9,8 @@ bits, ``PER_FILTER`` features each, ``HASHES`` bits a feature.
 
 Two digests are compared filter by filter: bits in common, less those expected by chance,
 over the most there could be; each filter of the shorter chain takes its best partner, and
-the mean is the likeness, 0 to 1.
+the mean is the likeness, 0 to 1. A filter of so few bits that they would lie in one of the
+other chain's filters by chance counts less.
 
 Defined results: null and empty texts have the empty fingerprint, alike (1) to each other
 and unlike (0) all others; a text without a feature (shorter than a window, or all of low
@@ -34,6 +35,7 @@ from curata.operators.ordered import bucket_of, buckets_for, splitters
 WINDOW, POPULAR = 64, 16
 TYPICAL, WEAK = 140, 900  # equal pairs in a window of running text; above WEAK it says little
 FILTER_BITS, PER_FILTER, HASHES = 2048, 160, 5
+SURE = 3  # decades
 BUCKETS = 192
 _LOW = np.uint64(0xFFFFFFFF)
 
@@ -123,7 +125,9 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     chance = na[:, None] * nb[None, :] / FILTER_BITS
     most = np.minimum(na[:, None], nb[None, :])
     share = np.clip((both - chance) / np.maximum(most - chance, 1e-9), 0, 1)
-    return float(share.max(axis=1).mean())
+    # decades by which it is unlikely that the bits of a filter of a lie in one of the len(b) filters by chance
+    sure = -(np.log10(len(b)) + na[:, None] * np.log10(nb[None, :] / FILTER_BITS))
+    return float((share * np.clip(sure / SURE, 0, 1)).max(axis=1).mean())
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
