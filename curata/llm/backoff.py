@@ -2,14 +2,14 @@
 
 1. Documents are read once into blocks of about ``BLOCK_BYTES`` of text, written to the shared
    folder: doc_ids, words a document, the block's distinct word hashes and its word stream.
-2. Each block explodes its n-grams of all orders: a row of n-grams (hash, times in the block)
-   for each bucket, which the top bits of the hash name. A block sends an n-gram once,
-   however often and in however many documents it stands, so a very common n-gram costs one
-   entry a block and all buckets are alike. This is the one large shuffle.
-3. Within its bucket's partition every n-gram is a row. The count tables are their sums by
-   n-gram, joined back to the exploded n-grams; as both lie in the bucket's partition, neither
-   step shuffles. N-grams below ``least`` need no row back (but single words).
-4. Counts meet their block, which scores each position; positions are summed by document.
+2. Each block explodes its n-grams of all orders and counts the distinct ones; they are dealt
+   to buckets by the top bits of their hash. A block sends an n-gram once, however often and
+   in however many documents it stands, so a very common n-gram costs one entry a block and
+   all buckets are alike. On the way the columns of n-grams are packed.
+3. A bucket is one partition of the count tables. There the exploded n-grams are a table with
+   a row an n-gram; the count table is its sum by n-gram, and is joined back to it.
+4. Each block gets its n-grams' counts and scores every position; Spark sums the scores of a
+   document's positions.
 
 S(w | context) is count(context w) / count(context) where the whole n-gram was counted
 ``least`` times at least, else ``alpha`` times the score of w after the context less its first
@@ -34,7 +34,7 @@ from curata.llm.buffers import column, mix, settings, span_hashes, texts, tune
 from curata.llm.minhash import _BLANK, _LOWER
 
 BLOCK_BYTES = 10 << 20
-BUCKET_ENTRIES = 1_000_000
+BUCKET_ENTRIES, POSITIONS = 2_000_000, 1 << 16
 ORDER, ALPHA, LEAST = 3, 0.4, 2
 
 
@@ -134,7 +134,6 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, least: int
     shift = np.uint64(64 - bits)
 
     def explode(batches):
-        types = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()))
         for batch in batches:
             for k in range(len(batch)):
                 block = column(batch, "block")[k].as_py()
@@ -143,47 +142,54 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, least: int
                 for size, (codes, whole) in enumerate(ngrams(hashes, per, order), 1):
                     keys, n = np.unique(codes[whole], return_counts=True)
                     bounds = np.searchsorted(keys >> shift, np.arange((1 << bits) + 1, dtype=np.uint64))
-                    there = np.flatnonzero(np.diff(bounds))
-                    ends = pa.array(np.append(bounds[there], len(keys)), pa.int32())
-                    lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (keys.view(np.int64), n.astype(np.int32))]
-                    for i in range(0, len(there), 64):
-                        own = there[i : i + 64]
-                        yield pa.RecordBatch.from_arrays([pa.array(own, types[0]), pa.array(np.full(len(own), block)), pa.array([size] * len(own), types[2]), pa.array(bounds[own], types[3]), *(x[i : i + 64] for x in lists)], ["bucket", "block", "size", "first", "keys", "times"])
-
-    def scored(key, own, found):
-        for batch in own.to_batches():  # one row: the block
-            hashes, per = _opened(batch, 0), np.array(column(batch, "per")[0].as_py(), np.int64)
-            sizes, places, totals = (found[x].to_numpy() for x in ("size", "place", "total"))
-            counts = []
-            for size, (codes, whole) in enumerate(ngrams(hashes, per, order), 1):
-                distinct, where = np.unique(codes[whole], return_inverse=True)
-                own_total = np.ones(len(distinct), np.int64)  # what isn't sent back
-                own_total[places[sizes == size]] = totals[sizes == size]
-                n = np.zeros(len(codes), np.int64)
-                n[whole] = own_total[where]
-                counts.append(n)
-            logs = position_scores(counts, total, alpha, least)
-            # a row a position, and one without a word for each document
-            index = np.concatenate([np.arange(len(per)), np.repeat(np.arange(len(per)), per)])
-            weight = np.concatenate([np.zeros(len(per), np.int64), np.ones(len(logs), np.int64)])
-            log = np.concatenate([np.zeros(len(per)), logs])
-            return pa.table([pa.array(np.full(len(index), key[0].as_py())), pa.array(index.astype(np.int32)), pa.array(weight), pa.array(log)], names=["block", "i", "n", "log"])
+                    rows = [(b, block, size, _pack(np.diff(keys[i:j], prepend=np.uint64(0))), _pack(n[i:j].astype(np.uint32))) for b, (i, j) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)) if j > i]
+                    if rows:
+                        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], ["bucket", "block", "size", "keys", "times"])
+
+    def counted(table: pa.Table) -> pa.Table:
+        ngrams_, times, lengths = [], [], []
+        for keys, n in zip(table["keys"], table["times"], strict=True):
+            ngrams_.append(np.cumsum(_unpack(keys.as_py(), np.uint64), dtype=np.uint64))
+            times.append(_unpack(n.as_py(), np.uint32))
+            lengths.append(len(ngrams_[-1]))
+        exploded = pa.table({"size": np.repeat(table["size"].to_numpy(), lengths), "ngram": np.concatenate(ngrams_), "times": np.concatenate(times), "place": np.arange(sum(lengths))})
+        counts = exploded.group_by(["size", "ngram"], use_threads=False).aggregate([("times", "sum")])
+        joined = exploded.select(["size", "ngram", "place"]).join(counts, ["size", "ngram"], use_threads=False)
+        total = np.empty(len(exploded), np.uint64)
+        total[joined["place"].to_numpy()] = joined["times_sum"].to_numpy()
+        packed = [_pack(x) for x in np.split(total, np.cumsum(lengths)[:-1])]
+        return table.select(["block", "bucket", "size"]).append_column("counts", pa.array(packed, pa.binary()))
+
+    def scored(batches):
+        for batch in batches:
+            for k in range(len(batch)):
+                hashes, per = _opened(batch, k), np.array(column(batch, "per")[k].as_py(), np.int64)
+                parts = column(batch, "parts")[k].as_py() or []
+                counts = []
+                for size, (codes, whole) in enumerate(ngrams(hashes, per, order), 1):
+                    own = [_unpack(x["counts"], np.uint64) for x in parts if x["size"] == size]  # in the order of the buckets, so of the keys
+                    n = np.zeros(len(codes), np.int64)
+                    if own:
+                        _, where = np.unique(codes[whole], return_inverse=True)
+                        n[whole] = np.concatenate(own)[where]
+                    counts.append(n)
+                logs = position_scores(counts, total, alpha, least)
+                # a row a position, and one without a word for each document
+                block, i = column(batch, "block")[k].as_py(), np.arange(len(per), dtype=np.int32)
+                for doc, n, log in ((i, 0, np.zeros(len(i))), (np.repeat(i, per), 1, logs)):
+                    for a in range(0, len(doc), POSITIONS):
+                        own = doc[a : a + POSITIONS]
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), block)), pa.array(own), pa.array(np.full(len(own), n, np.int64)), pa.array(log[a : a + POSITIONS])], ["block", "i", "n", "log"])
 
     session = docs.sparkSession
-    with settings(session, {
-        "spark.sql.execution.arrow.maxRecordsPerBatch": "1",  # rows are blocks here
-        "spark.sql.requireAllClusterKeysForCoPartition": "false",  # the bucket alone places an n-gram
-    }), shuffles_dropped(session):  # the exploded n-grams are the largest thing here, and not needed once counted
-        exploded = blocks.select("block", "per", "vocabulary", "vocabulary_n", "stream").mapInArrow(explode, "bucket int, block long, size int, first int, keys array<long>, times array<int>")
-        rows = exploded.repartition(1 << bits, "bucket").select("bucket", "block", "size", "first", F.posexplode(F.arrays_zip("keys", "times")).alias("at", "gram"))
-        rows = rows.select("bucket", "block", "size", (F.col("first") + F.col("at")).alias("place"), F.col("gram.keys").alias("ngram"), F.col("gram.times").alias("times"))
-        counts = rows.groupBy("bucket", "size", "ngram").agg(F.sum("times").alias("total"), F.max(F.col("block") + F.col("place")).alias("last"))
-        # last is never below 0: it is here so that both sides of the join need the same columns, and share one shuffle
-        counts = counts.where((F.col("total") >= least) | (F.col("size") == 1) | (F.col("last") < 0)).drop("last")
-        found = rows.select("bucket", "size", "ngram", "block", "place").join(counts.hint("shuffle_hash"), ["bucket", "size", "ngram"]).select("block", "size", "place", "total")
-        found = written(found, "ngram-counts")
-    with settings(session, {"spark.sql.execution.arrow.maxRecordsPerBatch": "1048576"}):
-        logs = blocks.select("block", "per", "vocabulary", "vocabulary_n", "stream").groupBy("block").cogroup(found.groupBy("block")).applyInArrow(scored, "block long, i int, n long, log double")
+    with settings(session, {"spark.sql.execution.arrow.maxRecordsPerBatch": "1"}):  # rows are blocks here
+        exploded = blocks.select("block", "per", "vocabulary", "vocabulary_n", "stream").mapInArrow(explode, "bucket int, block long, size int, keys binary, times binary")
+        counts = exploded.groupBy("bucket").applyInArrow(counted, "block long, bucket int, size int, counts binary")
+        with shuffles_dropped(session):  # the exploded n-grams are the largest thing here, and not needed once counted
+            counts = written(counts, "ngram-counts")
+        parts = counts.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("size", "bucket", "counts"))).alias("parts"))
+        joined = blocks.join(parts, "block", "left").select("block", "per", "vocabulary", "vocabulary_n", "stream", "parts")
+        logs = joined.mapInArrow(scored, "block long, i int, n long, log double")
         sums = written(logs.groupBy("block", "i").agg(F.sum("n").alias("n_words"), F.sum("log").alias("log_score")), "scores")
     ids = blocks.select("block", F.posexplode("doc_ids").alias("i", "doc_id"))
     return ids.join(sums, ["block", "i"]).select("doc_id", "n_words", "log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")).alias("mean_log"))
