@@ -435,6 +435,20 @@ def _splice_tables(markdown: pd.Series, html_tables: pd.Series) -> pd.Series:
     return pd.Series([one(x, y) for x, y in zip(markdown, html_tables, strict=True)], dtype=object)
 
 
+def _inverted(s: pd.Series) -> pd.Series:
+    """The places of each word (from 0, by white space) of a text."""
+    def one(t):
+        if t is None:
+            return None
+        places: dict = {}
+        for i, w in enumerate(t.split()):
+            places.setdefault(w, []).append(i)
+        return places
+
+    return s.map(one)
+
+
+inverted = _udf("map<string, array<int>>")(_inverted)
 fold = _udf("string")(_fold)
 string_ratio = _udf("double")(_string_ratio)
 parsed_reply = _udf("string")(_parsed_reply)
