@@ -309,6 +309,18 @@ def collapsed_result(result: Column, has_reversal_class: Column) -> Column:
     return F.when(~has_reversal_class & (low == "reversal"), "failure").otherwise(low)
 
 
+def filled_template(template: str, values: dict[str, Column]) -> Column:
+    """A template with {name} for each value, {{ and }} for braces; NULL values are empty."""
+    import string
+
+    parts = []
+    for literal, name, *_ in string.Formatter().parse(template):
+        parts.append(F.lit(literal))
+        if name is not None:
+            parts.append(F.coalesce(values[name].cast("string"), F.lit("")))
+    return F.concat(*parts)
+
+
 def source_bucket(validated_person: Column, source: Column, ai_version: Column) -> Column:
     person, origin = F.lower(F.coalesce(validated_person, F.lit(""))), F.lower(F.coalesce(source, F.lit("")))
     return (

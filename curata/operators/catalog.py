@@ -154,9 +154,16 @@ def prefix_probe(probes: DataFrame, keys: DataFrame) -> DataFrame:
     return found.groupBy("probe").agg(F.count("*").alias("n"), F.min("key").alias("key")).where("n = 1").drop("n")
 
 
-def fingerprint(files: DataFrame) -> DataFrame:
-    """One row: 16 hex digits of SHA-256 over the sorted lines path:hash of files(path, hash)."""
-    return files.agg(F.substring(F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "path", "hash"))), "\n"), 256), 1, 16).alias("fingerprint"))
+def fingerprint(files: DataFrame, digits: int = 4) -> DataFrame:
+    """One row: 16 hex digits of SHA-256 over lines of files(path, hash), whatever their order.
+
+    Lines path:hash are sorted and hashed by the first digits of the path's MD5, so no task holds them all; the fingerprint
+    is that of the sorted lines digits:digest.
+    """
+    hashed = lambda lines: F.sha2(F.array_join(F.array_sort(F.collect_list(lines)), "\n"), 256)
+    own = files.select(F.left(F.md5("path"), F.lit(digits)).alias("part"), F.concat_ws(":", "path", "hash").alias("line"))
+    parts = own.groupBy("part").agg(hashed(F.col("line")).alias("digest"))
+    return parts.agg(F.left(hashed(F.concat_ws(":", "part", "digest")), F.lit(16)).alias("fingerprint"))  # 16 ** digits short lines
 
 
 def drifted(recorded: DataFrame, current: DataFrame) -> DataFrame:

@@ -46,6 +46,14 @@ def golden(rows: DataFrame, groups: DataFrame, seq: str = "seq") -> DataFrame:
     return rows.groupBy("root").agg(*best, many("source_api", "; "), many("source_query", " | "), F.count("*").cast("string").alias("match_count"))
 
 
+def in_order(groups: DataFrame, seq: str = "seq") -> DataFrame:
+    """root, position: groups(seq, root) by their earliest member, counted from 0 over range buckets."""
+    from curata.operators.ordered import prefix
+
+    first = groups.groupBy("root").agg(F.min(seq).alias("earliest"), F.lit(1).alias("one"))
+    return prefix(first, "earliest", "one", ["root"]).select("root", "position")
+
+
 def first_by_key(rows: DataFrame, key: Column, seq: str = "seq") -> DataFrame:
     """The earliest row of each key; rows without a key stay."""
     keyed = rows.withColumn("_key", key)

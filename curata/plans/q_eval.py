@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from curata.functions import text
 from curata.functions.ids import unit_hash
-from curata.functions.storage import new_folder
+from curata.functions.storage import new_folder, written
 from curata.operators import matching, metrics, sampling
 from curata.plans import fixtures as fx
 from curata.plans.catalogue import query, table
@@ -330,6 +330,16 @@ def doi_column_counts(spark, d):
     return readers.doi_counts(_cells(spark, d))
 
 
+@query("run_creation", f"WITH {fx.CANDIDATES}, {fx.NORMED} SELECT run, count(*) AS n_rows, count_if(trim(doi) <> '' AND nd IS NULL) AS n_invalid, count(DISTINCT nd) AS n_dois, count(DISTINCT nd) AS n_folders FROM normed, (SELECT unnest(['first', 'second-run']) AS run) GROUP BY 1")
+def run_creation(spark, d):
+    """The same pasted table as two runs, written and read again by run."""
+    folder, cells = new_folder(spark, "runs"), written(_cells(spark, d), "cells")
+    for slug in ("first", "second-run"):
+        sinks.write_run(cells, slug, folder)
+    folders = spark.read.parquet(f"{folder}/dois").groupBy("run").agg(F.count_distinct("folder").alias("n_folders"))
+    return spark.read.parquet(f"{folder}/counts").join(folders, "run").select("run", "n_rows", "n_invalid", "n_dois", "n_folders")
+
+
 @query("keyword_overlay", "SELECT r_name AS key, CASE WHEN r_regionkey = 1 THEN 'mine' ELSE (SELECT string_agg(n_name, ',' ORDER BY n_name) FROM nation WHERE n_regionkey = r_regionkey) END AS items FROM region")
 def keyword_overlay(spark, d):
     lists = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).groupBy(F.col("r_name").alias("key")).agg(F.array_sort(F.collect_list("n_name")).alias("items"))

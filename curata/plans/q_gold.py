@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from curata.functions import text
 from curata.functions.storage import new_folder
-from curata.operators import catalog, extraction, gold, matching, review
+from curata.operators import catalog, extraction, gold, matching, resolve, review
 from curata.plans.catalogue import query, table
 from curata.sources import readers, sinks
 
@@ -342,3 +342,42 @@ def ledger_uses(spark, d):
     n = table(spark, d, "nation").select(F.concat(F.lit("v"), _s("n_regionkey")).alias("prompt_version"), F.col("n_name").alias("tags"))
     new = table(spark, d, "region").where("r_regionkey < 3").select(F.concat(F.lit("v"), _s("r_regionkey")).alias("prompt_version"), F.lit("new").alias("tags"))
     return review.ledger_uses(n, new)
+
+
+_XML = '<?xml version="1.0"?>'
+
+
+@query("workbook_cells", "SELECT page_id AS book, r AS row, c AS pos, CASE WHEN r = 0 THEN (['Title', 'DOI', 'n'])[c + 1] ELSE (['A & B ' || page_id, '10.1000/x' || r, (page_id + r)::VARCHAR])[c + 1] END AS cell FROM pages, (SELECT unnest([0, 1, 3]) AS r), (SELECT unnest([0, 1, 2]) AS c)")
+def workbook_cells(spark, d):
+    """A workbook a page: shared, inline and plain cells, a row left out, and a second sheet that isn't read."""
+    import io
+    import zipfile
+
+    import pandas as pd
+
+    def book(n):
+        cell = lambda ref, kind, value: f'<c r="{ref}" t="{kind}">' + (f"<is><t>{value}</t></is>" if kind == "inlineStr" else f"<v>{value}</v>") + "</c>"
+        strings = ["Title", "DOI", f"A &amp; B {n}"]
+        shared = "".join(f"<si><r><t>{x[:2]}</t></r><r><t>{x[2:]}</t></r></si>" if not x.startswith("A &") else f"<si><t>{x}</t></si>" for x in strings)
+        rows = f'<row r="1">{cell("A1", "s", 0)}{cell("B1", "s", 1)}{cell("C1", "inlineStr", "n")}</row>'
+        rows += "".join(f'<row r="{r + 1}">{cell(f"A{r + 1}", "s", 2)}{cell(f"B{r + 1}", "inlineStr", f"10.1000/x{r}")}{cell(f"C{r + 1}", "n", n + r)}<c r="D{r + 1}"/></row>' for r in (1, 3))
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as z:
+            z.writestr("xl/sharedStrings.xml", f'{_XML}<sst xmlns="x">{shared}</sst>')
+            z.writestr("xl/worksheets/sheet2.xml", f'{_XML}<worksheet xmlns="x"/>')
+            z.writestr("xl/worksheets/sheet1.xml", f'{_XML}<worksheet xmlns="x"><sheetData>{rows}</sheetData></worksheet>')
+        return out.getvalue()
+
+    made = F.pandas_udf(lambda s: pd.Series([book(n) for n in s]), "binary")
+    files = table(spark, d, "pages").select(_s("page_id").alias("path"), made("page_id").alias("content"))
+    return readers.workbook_cells(files).select(F.col("path").cast("long").alias("book"), "row", "pos", "cell")
+
+
+@query("filled_templates", "SELECT page_id, '{page} ' || page_id || ' at ' || md5(url) || '.' AS text FROM pages")
+def filled_templates(spark, d):
+    return table(spark, d, "pages").select("page_id", text.filled_template("{{page}} {id} at {where}{none}.", {"id": F.col("page_id"), "where": F.md5("url"), "none": F.lit(None)}).alias("text"))
+
+
+@query("group_order", "SELECT source AS root, row_number() OVER (ORDER BY min(doc_id)) - 1 AS position FROM documents GROUP BY 1")
+def group_order(spark, d):
+    return resolve.in_order(docs(spark, d).select(F.col("doc_id").alias("seq"), F.col("source").alias("root")))

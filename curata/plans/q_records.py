@@ -330,7 +330,7 @@ def prefix_probe(spark, d):
     return found.select(F.concat(F.lit("10.1000-"), "probe").alias("probe"), F.concat(F.lit("10.1000-"), "key").alias("key"))
 
 
-@query("tree_fingerprint", "SELECT substr(sha256(string_agg('p' || page_id || ':' || md5(url), chr(10) ORDER BY 'p' || page_id || ':' || md5(url))), 1, 16) AS fingerprint FROM pages")
+@query("tree_fingerprint", "WITH x AS (SELECT left(md5('p' || page_id), 4) AS part, 'p' || page_id || ':' || md5(url) AS line FROM pages), y AS (SELECT part || ':' || sha256(string_agg(line, chr(10) ORDER BY line)) AS line FROM x GROUP BY part) SELECT left(sha256(string_agg(line, chr(10) ORDER BY line)), 16) AS fingerprint FROM y")
 def tree_fingerprint(spark, d):
     return cat.fingerprint(table(spark, d, "pages").select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("path"), F.md5("url").alias("hash")))
 

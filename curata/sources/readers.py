@@ -23,6 +23,69 @@ def csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> Dat
     return frame.toDF(*[c.lstrip("﻿") for c in frame.columns])
 
 
+def workbooks(spark: SparkSession, path: str) -> DataFrame:
+    """path, content of every .xlsx file in a tree."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.xlsx").load(path).select("path", "content")
+
+
+def workbook_cells(files: DataFrame) -> DataFrame:
+    """path, row, pos, cell of workbooks(path, content): the first sheet's cells that aren't empty, rows and columns from 0.
+
+    A file that isn't a workbook has none, a damaged one those before the damage. Sheets are parsed as a stream, so a task holds one file and its strings.
+    """
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                rows: list = []
+                for cell in _sheet(content):
+                    rows.append((path, *cell))
+                    if len(rows) == 10_000:
+                        yield pa.RecordBatch.from_pylist([dict(zip(("path", "row", "pos", "cell"), r, strict=True)) for r in rows], schema=kinds)
+                        rows = []
+                yield pa.RecordBatch.from_pylist([dict(zip(("path", "row", "pos", "cell"), r, strict=True)) for r in rows], schema=kinds)
+
+    import pyarrow
+
+    kinds = pyarrow.schema([("path", pyarrow.string()), ("row", pyarrow.int64()), ("pos", pyarrow.int32()), ("cell", pyarrow.string())])
+    return files.select("path", "content").mapInArrow(run, "path string, row long, pos int, cell string")
+
+
+def _sheet(content: bytes):
+    """(row, column, text) of the cells of a workbook's first sheet."""
+    import io
+    import re
+    import zipfile
+    from xml.etree import ElementTree
+
+    name = lambda e: e.tag.rpartition("}")[2]
+    text = lambda e: "".join(t.text or "" for t in e.iter() if name(t) == "t")
+    try:
+        book = zipfile.ZipFile(io.BytesIO(content))
+        sheets = sorted((n for n in book.namelist() if re.fullmatch(r"xl/worksheets/sheet\d+\.xml", n)), key=lambda n: int(re.sub(r"\D", "", n)))
+        strings, row, pos = [], -1, -1
+        if "xl/sharedStrings.xml" in book.namelist():
+            for _, e in ElementTree.iterparse(book.open("xl/sharedStrings.xml")):
+                if name(e) == "si":
+                    strings.append(text(e))
+                    e.clear()
+        for event, e in ElementTree.iterparse(book.open(sheets[0]), events=("start", "end")) if sheets else ():
+            if event == "start" and name(e) == "row":
+                row, pos = int(e.get("r", row + 2)) - 1, -1
+            elif event == "end" and name(e) == "c":
+                letters = re.match(r"[A-Z]*", e.get("r", "")).group()
+                pos = sum((ord(x) - 64) * 26**k for k, x in enumerate(reversed(letters))) - 1 if letters else pos + 1
+                value = next((v.text or "" for v in e if name(v) == "v"), None)
+                value = text(e) if e.get("t") == "inlineStr" else strings[int(value)] if e.get("t") == "s" and value else value
+                if value:
+                    yield row, pos, value
+            elif event == "end" and name(e) == "row":
+                e.clear()
+    except (zipfile.BadZipFile, ElementTree.ParseError):
+        return
+
+
 def json_lines(spark: SparkSession, path: str, schema) -> DataFrame:
     """One object a line; blank lines are none, and a line that doesn't parse has only _corrupt."""
     full = T.StructType([*(T._parse_datatype_string(schema) if isinstance(schema, str) else schema).fields, T.StructField("_corrupt", T.StringType())])

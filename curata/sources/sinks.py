@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curata.functions.ids import doi_to_folder
 from curata.functions.storage import written
 from curata.operators.resolve import unseen
+from curata.sources import readers
 
 
 def write_csv(frame: DataFrame, path: str, columns: list[str], files: int | None = None) -> None:
@@ -27,3 +29,11 @@ def append_unseen(frame: DataFrame, path: str) -> int:
     new = written(unseen(frame, known), "append")
     new.write.mode("append").parquet(path)
     return new.count()
+
+
+def write_run(cells: DataFrame, slug: str, folder: str) -> None:
+    """A run over the DOIs of a pasted table (readers.doi_column): its DOIs with their folder names, and its counts."""
+    dois = readers.doi_list(cells).withColumn("folder", doi_to_folder(F.col("doi")))
+    dois.write.mode("overwrite").parquet(f"{folder}/dois/run={slug}")
+    n = dois.agg(F.count("*").alias("n_dois"))
+    readers.doi_counts(cells).join(F.broadcast(n)).write.mode("overwrite").parquet(f"{folder}/counts/run={slug}")  # two tables of one row
