@@ -329,3 +329,16 @@ def deduplicated(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     alone = marked.join(keys.select(own, text_key), [own, text_key], "left_anti")
     repeated = marked.join(keys.where("stays").select(own, text_key), [own, text_key], "left_semi").dropDuplicates([own, text_key])
     return alone.unionByName(repeated).select(*docs.columns)
+
+
+ORACLE = """
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+d AS (SELECT r, doc_id, CASE WHEN len(w) >= 5 THEN list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM w),
+c AS (SELECT row_number() OVER () AS c, s, min(doc_id) AS least, len(s) AS n FROM d WHERE len(s) > 0 AND doc_id IS NOT NULL GROUP BY s),
+u AS (SELECT c, unnest(s) AS x FROM c),
+i AS (SELECT a.c AS a, b.c AS b, count(*) AS n FROM u a JOIN u b ON a.x = b.x AND a.c <> b.c GROUP BY ALL),
+l AS (SELECT i.a, i.b FROM i JOIN c x ON x.c = i.a JOIN c y ON y.c = i.b WHERE 100 * i.n >= 75 * (x.n + y.n - i.n)),
+reach(c, root) AS (SELECT c, least FROM c UNION SELECT l.a, reach.root FROM reach JOIN l ON l.b = reach.c JOIN c ON c.c = l.a WHERE reach.root < c.least),
+k AS (SELECT c.s, min(root) AS root FROM reach JOIN c USING (c) GROUP BY c.s)
+SELECT doc_id, len(d.s)::BIGINT AS n_shingles, coalesce(root, doc_id) AS component_id, doc_id IS NOT DISTINCT FROM coalesce(root, doc_id) AS kept FROM d LEFT JOIN k ON d.s = k.s AND d.doc_id IS NOT NULL
+"""

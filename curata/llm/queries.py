@@ -61,4 +61,4 @@ def op10_minhash(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_cover_tree, op3_language_id, op4_fingerprints, op5_backoff, op6_quality, op7_mixing, op8_token_counts, op9_token_store, op10_minhash)}
-ORACLE_SQL: dict[str, str] = {"op5_backoff": backoff.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op2_cover_tree": cover_tree.ORACLE, "op5_backoff": backoff.ORACLE, "op10_minhash": minhash.ORACLE}
