@@ -4,7 +4,6 @@ import zlib
 import numpy as np
 import pytest
 from public_tokenizers import path
-from pyspark.sql import functions as F
 
 from curata.functions.storage import new_folder
 from curata.llm import token_store as store
