@@ -313,7 +313,8 @@ def links(vectors: DataFrame, cosine: float = 0.9, block: int = BLOCK) -> DataFr
 
 ORACLE = """
 WITH RECURSIVE v AS (SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e FROM embeddings),
-g AS (SELECT *, sqrt(list_dot_product(e, e)) AS n FROM (SELECT * FROM v WHERE vec_id IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0) WHERE list_dot_product(e, e) > 0),
+f AS (SELECT r, vec_id, list_transform(e, lambda x: CASE WHEN isfinite(x) THEN x ELSE 0 END) AS e, len(list_filter(e, lambda x: isfinite(x))) = len(e) AS whole FROM v WHERE vec_id IS NOT NULL AND len(e) > 0),
+g AS (SELECT *, sqrt(list_dot_product(e, e)) AS n FROM f WHERE whole AND list_dot_product(e, e) > 0),
 l AS (SELECT a.r AS a, a.vec_id, b.r AS b FROM g a JOIN g b ON a.r <> b.r AND len(a.e) = len(b.e) WHERE list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.9),
 n AS (SELECT a AS r, count(*) AS n FROM l GROUP BY 1),
 reach(r, root) AS (SELECT r, vec_id FROM v UNION SELECT l.a, reach.root FROM reach JOIN l ON l.b = reach.r WHERE reach.root < l.vec_id),
