@@ -326,9 +326,12 @@ def deduplicated(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     own, text_key = fresh(docs, "id", "text_key")
     marked = docs.withColumns({own: docs["doc_id"].cast("long"), text_key: _text_key(docs["text"])})
     keys = keys.select(F.col("own_id").alias(own), F.col("text_key").alias(text_key), "stays")
-    alone = marked.join(keys.select(own, text_key), [own, text_key], "left_anti")
-    repeated = marked.join(keys.where("stays").select(own, text_key), [own, text_key], "left_semi").dropDuplicates([own, text_key])
-    return alone.unionByName(repeated).select(*docs.columns)
+    small = keys.count() * ROW_BYTES <= BROADCAST_BYTES
+    by_key = lambda k: F.broadcast(k.select(own, text_key)) if small else k.select(own, text_key)
+    out = marked.join(by_key(keys), [own, text_key], "left_anti")
+    if not (again := keys.where("stays")).isEmpty():  # rows that repeat: one of each stays
+        out = out.unionByName(marked.join(by_key(again), [own, text_key], "left_semi").dropDuplicates([own, text_key]))
+    return out.select(*docs.columns)
 
 
 ORACLE = """
