@@ -152,10 +152,11 @@ class Encoder:
     """Numbers of every text: pieces are cut, looked up, and only unknown ones given to ``learn``.
 
     learn(list of bytes) -> (counts, flat numbers). The table is per worker and begins anew once it holds more than ``most``.
+    spans(data, offsets) -> (starts, ends, pieces of each text): another way to cut, which knows no special string.
     """
 
-    def __init__(self, learn, special: bytes = b"", special_ids=(), most: int = 1_000_000):
-        self.learn, self.special, self.special_ids = learn, special, special_ids
+    def __init__(self, learn, special: bytes = b"", special_ids=(), most: int = 1_000_000, spans=None):
+        self.learn, self.special, self.special_ids, self.spans = learn, special, special_ids, spans
         self.table = PieceTable(most=most)
 
     def _preset(self) -> None:
@@ -165,8 +166,11 @@ class Encoder:
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(index of each piece in the table, pieces of each text)."""
-        starts, per_text = cut(data, offsets, self.special)
-        ends = np.append(starts[1:], len(data)) if len(starts) else starts
+        if self.spans:
+            starts, ends, per_text = self.spans(data, offsets)
+        else:
+            starts, per_text = cut(data, offsets, self.special)
+            ends = np.append(starts[1:], len(data)) if len(starts) else starts
         hashes, checks = names(data, starts, ends)
         self._preset()
         if self.table.n > self.table.most:

@@ -5,10 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from curata.llm import backoff, bpe, cover_tree, digest, langid, minhash, mixing, quality, token_count, token_store
+from curata.llm import backoff, bpe, centroids, cover_tree, digest, langid, minhash, mixing, packing, quality, token_count, token_store
 
 RANKS = "byte_bpe_50k.tiktoken"
 VOCABULARY = "byte_bpe_50k.json"
+WORD_VOCABULARY = "word_bpe_49k.json"
 
 
 def _documents(spark, sf_dir):
@@ -60,5 +61,13 @@ def op10_minhash(spark, sf_dir):
     return minhash.near_duplicates(_documents(spark, sf_dir), percent=75)
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_cover_tree, op3_language_id, op4_fingerprints, op5_backoff, op6_quality, op7_mixing, op8_token_counts, op9_token_store, op10_minhash)}
-ORACLE_SQL: dict[str, str] = {"op2_cover_tree": cover_tree.ORACLE, "op5_backoff": backoff.ORACLE, "op10_minhash": minhash.ORACLE}
+def op11_packing(spark, sf_dir):
+    return packing.pack(_documents(spark, sf_dir), public_tokenizers.path(WORD_VOCABULARY), end_id=1, capacity=2048, with_ids=False)
+
+
+def op12_centroids(spark, sf_dir):
+    return centroids.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=16, rounds=3, dims=64, scale=64, seed=1)
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_cover_tree, op3_language_id, op4_fingerprints, op5_backoff, op6_quality, op7_mixing, op8_token_counts, op9_token_store, op10_minhash, op11_packing, op12_centroids)}
+ORACLE_SQL: dict[str, str] = {"op2_cover_tree": cover_tree.ORACLE, "op5_backoff": backoff.ORACLE, "op10_minhash": minhash.ORACLE, "op12_centroids": centroids.ORACLE}
