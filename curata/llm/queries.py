@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from curata.llm import backoff, bpe, centroids, cover_tree, digest, langid, minhash, mixing, packing, quality, token_count, token_store
+from curata.llm import backoff, bpe, centroids, cover_tree, digest, langid, minhash, mixing, packing, prefix_trie, quality, token_count, token_store
 
 RANKS = "byte_bpe_50k.tiktoken"
 VOCABULARY = "byte_bpe_50k.json"
@@ -69,5 +69,10 @@ def op12_centroids(spark, sf_dir):
     return centroids.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=16, rounds=3, dims=64, scale=64, seed=1)
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_cover_tree, op3_language_id, op4_fingerprints, op5_backoff, op6_quality, op7_mixing, op8_token_counts, op9_token_store, op10_minhash, op11_packing, op12_centroids)}
-ORACLE_SQL: dict[str, str] = {"op2_cover_tree": cover_tree.ORACLE, "op5_backoff": backoff.ORACLE, "op10_minhash": minhash.ORACLE, "op12_centroids": centroids.ORACLE}
+def op13_prefix_trie(spark, sf_dir):
+    turns, ids = prefix_trie.rebuilt(spark.read.parquet(f"{sf_dir}/conversations.parquet"), family=20, shared=4)
+    return prefix_trie.trie(turns, ids, ["part", "i"])
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_cover_tree, op3_language_id, op4_fingerprints, op5_backoff, op6_quality, op7_mixing, op8_token_counts, op9_token_store, op10_minhash, op11_packing, op12_centroids, op13_prefix_trie)}
+ORACLE_SQL: dict[str, str] = {"op2_cover_tree": cover_tree.ORACLE, "op5_backoff": backoff.ORACLE, "op10_minhash": minhash.ORACLE, "op12_centroids": centroids.ORACLE, "op13_prefix_trie": prefix_trie.ORACLE}
