@@ -13,7 +13,8 @@ rate, known from the fill of its slice; most corrected hits decide.
 Defined results: null text or text without a letter is ``und`` with score 0; a text too short
 for an n-gram, or without hits, gets the commonest language of the sample; ties go to the
 commoner language; without any labelled document everything is ``und``; rows without lang or
-doc_id teach nothing; further columns are ignored.
+doc_id teach nothing; rows of one doc_id each teach their own text under their own lang, equal
+ones once; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -128,18 +129,24 @@ class Filters:
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, learnt_from=lambda doc_id: ~held_out(doc_id)) -> Filters:
-    """Learns from at most ``sample`` documents of each language, those with the least hashes of doc_id."""
+    """Learns from at most ``sample`` documents of each language, those with the least hashes of doc_id and text.
+
+    A document is a distinct doc_id, language and text, each taught once under its own language: rows of one doc_id
+    may differ in either, and copies of a row count once.
+    """
     spark = docs.sparkSession
     tune(spark)
-    known = docs.where("lang is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), "lang").where(learnt_from(F.col("id")))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()  # one row a language
+    own = F.xxhash64("id", "text")
+    known = docs.where("lang is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), F.col("lang").alias("label"), "text").where(learnt_from(F.col("id"))).withColumn("key", own)
+    counts = known.groupBy("label").agg(F.count("*").alias("count"), F.approx_count_distinct("key").alias("n")).orderBy(F.desc("count"), "label").collect()  # one row a language
     if not counts:
         return Filters({UNKNOWN: (np.zeros(0, np.uint64), np.zeros(0, np.int64))})
-    # first by a threshold on the hash, so that no language's rows meet in one task, then exactly
-    u = F.shiftrightunsigned(F.xxhash64("id"), 11) / float(1 << 53)
-    part = F.element_at(F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, (1.3 * sample + 50) / r["count"])))]), F.col("lang"))
-    chosen = known.withColumn("u", u).where(F.col("u") <= part).withColumn("i", F.row_number().over(Window.partitionBy("lang").orderBy("u", "id"))).where(F.col("i") <= sample)
-    chosen = chosen.select("id", F.col("lang").alias("label"))  # sample rows a language at most
+    # first by a threshold on the hash, so that no language's rows meet in one task, then exactly; copies are combined before they travel
+    u = F.shiftrightunsigned("key", 11) / float(1 << 53)
+    part = F.element_at(F.create_map(*[x for r in counts for x in (F.lit(r["label"]), F.lit(min(1.0, (1.4 * sample + 50) / max(1, r["n"]))))]), F.col("label"))
+    near = known.withColumn("u", u).where(F.col("u") <= part).select("label", "u", "key", "id").distinct()
+    chosen = near.withColumn("i", F.row_number().over(Window.partitionBy("label").orderBy("u", "key", "id"))).where(F.col("i") <= sample)
+    chosen = chosen.select("label", "key", "id")  # sample rows a language at most
 
     def run(batches):
         for batch in batches:
@@ -151,11 +158,12 @@ def fit(docs: DataFrame, sample: int = SAMPLE, learnt_from=lambda doc_id: ~held_
                     code, n = np.unique(codes[labels[i:j][owner] == label], return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array([label] * len(code), pa.string()), pa.array(code.astype(np.int64)), pa.array(n, pa.int64())], ["label", "code", "n"])
 
-    found = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(chosen), "id").select("text", "label").mapInArrow(run, "label string, code long, n long")
+    once = known.join(F.broadcast(chosen), ["label", "key", "id"]).groupBy("label", "key", "id").agg(F.first("text").alias("text"))
+    found = once.select("text", "label").mapInArrow(run, "label string, code long, n long")
     found = found.groupBy("label", "code").agg(F.sum("n").alias("n"))
     totals = found.groupBy("label").agg(F.sum("n").alias("total"))  # one row a language
     rows = found.join(F.broadcast(totals), "label").where(F.col("n") >= FLOOR * F.col("total")).select("label", "code", "n").toPandas()
-    return Filters({r["lang"]: (own["code"].to_numpy().astype(np.uint64), own["n"].to_numpy()) for r in counts for own in [rows[rows["label"] == r["lang"]].sort_values("code")]})
+    return Filters({r["label"]: (own["code"].to_numpy().astype(np.uint64), own["n"].to_numpy()) for r in counts for own in [rows[rows["label"] == r["label"]].sort_values("code")]})
 
 
 def identify(docs: DataFrame, filters: Filters) -> DataFrame:

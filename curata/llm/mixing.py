@@ -6,13 +6,16 @@ cap over weight, the capped sources are a prefix, so the level is found with win
 the source table (one row a source).
 
 A source is repeated a whole number of times; of the rest, documents are taken in the order of
-a seeded hash until the fraction is filled, a document counting once its middle is reached.
-That order is cut at one hash value for each source, found from sums by hash range and then
-within one range: no task sorts a source, and texts are never shuffled.
+a seeded hash of doc_id and text until the fraction is filled, a document counting once its
+middle is reached. That order is cut at one hash value for each source, found from sums by hash
+range and then within one range: no task sorts a source, and texts are never shuffled. Where the
+cut falls among rows equal in doc_id and text, a second hash, of their places in the table,
+divides them in the same way.
 
 Defined results: a null, empty or blank text has size 0 and takes 0 words; null is a source of
-its own and comes last; rows with equal doc_id are taken or left alike; a table without words
-gives targets of 0; further columns are ignored (or, by ``apply``, kept).
+its own and comes last; rows without doc_id, or with equal ones, are documents of their own, and
+of rows equal in doc_id and text those taken depend on how the table is stored, their number
+doesn't; a table without words gives targets of 0; further columns are ignored (or, by ``apply``, kept).
 """
 
 from __future__ import annotations
@@ -37,8 +40,29 @@ def _key(source: Column) -> Column:
     return F.when(source.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), source))
 
 
-def _hash(doc_id: Column, seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), doc_id)
+def _hash(doc_id: Column, text: Column, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), doc_id, text)
+
+
+def _cut(rows: DataFrame, rest: DataFrame, sources: DataFrame, bits: int, name: str) -> tuple[DataFrame, DataFrame]:
+    """(k, cut: rows with an h up to it fill rest, a hash value counting once its middle is reached; k, edge, left: the next
+    hash value, if rest ends within several rows that have it, and what is left of rest for them).
+
+    rows: k, h, size; rest: k, rest. The sums by range of h show in which one the order is cut, those within it where.
+    """
+    ranges = written(rows.withColumn("range", F.shiftright("h", 64 - bits)).groupBy("k", "range").agg(F.sum("size").alias("size")), name)
+    w = Window.partitionBy("k").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    at = ranges.withColumn("before", F.coalesce(F.sum("size").over(w), F.lit(0))).join(rest, "k").where("before < rest")
+    at = at.groupBy("k").agg(F.max(F.struct("before", "range", "rest")).alias("x")).select("k", "x.*")
+    near = rows.withColumn("range", F.shiftright("h", 64 - bits)).join(_small(at, sources), ["k", "range"]).groupBy("k", "range", "h").agg(F.sum("size").alias("size"), F.count("*").alias("n"), F.first("before").alias("before"), F.first("rest").alias("rest"))
+    w = Window.partitionBy("k", "range").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
+    near = written(near.withColumn("before", F.col("before") + F.coalesce(F.sum("size").over(w), F.lit(0))), name)
+    inside = near.where("before + size / if(n > 1, 1, 2) < rest").groupBy("k").agg(F.max("h").alias("inside"))
+    edge = near.where("n > 1 and before + size >= rest and before < rest").select("k", F.col("h").alias("edge"), (F.col("rest") - F.col("before")).alias("left"))
+    # none of the range's documents: the cut is just below the range
+    below = F.shiftleft(F.col("range").cast("long"), 64 - bits) - 1
+    cut = at.join(inside, "k", "left").select("k", F.when(F.col("inside").isNotNull(), F.col("inside")).when(F.col("range") > -(1 << (bits - 1)), below).alias("cut"))
+    return cut, edge
 
 
 def targets(sources: DataFrame, max_epochs: int = 3) -> DataFrame:
@@ -56,28 +80,22 @@ def targets(sources: DataFrame, max_epochs: int = 3) -> DataFrame:
 
 
 def plan(docs: DataFrame, max_epochs: int = 3, seed: int = 7) -> tuple[DataFrame, DataFrame]:
-    """(rows: doc_id, k, h, size of every document; sources: k, source, source_size, target, whole, cut).
+    """(rows: doc_id, k, h, place, size of every document; sources: k, source, source_size, target, whole, cut, edge, inner).
 
-    A document is repeated whole times, and once more if its h is at most cut.
+    A document is repeated whole times, and once more if its h is at most cut, or is edge and its place is at most inner.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", size_of(F.col("text")).alias("size"))
-    rows = written(rows.withColumn("k", _key(F.col("source"))).withColumn("h", _hash(F.col("doc_id"), seed)), "mix-sizes")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", size_of(F.col("text")).alias("size"), _hash(F.col("doc_id").cast("long"), F.col("text"), seed).alias("h"), _place(seed).alias("place"))
+    rows = written(rows.withColumn("k", _key(F.col("source"))), "mix-sizes")
     bits = max(RANGE_BITS, rows.count().bit_length() // 2)
-    ranges = written(rows.withColumn("range", F.shiftright("h", 64 - bits)).groupBy("k", "source", "range").agg(F.sum("size").alias("size")), "mix-ranges")
-    sources = targets(ranges.groupBy("k", "source").agg(F.sum("size").alias("source_size")), max_epochs)
+    sources = targets(rows.groupBy("k", "source").agg(F.sum("size").alias("source_size")), max_epochs)
     sources = sources.withColumn("epochs", F.coalesce(F.try_divide("target", F.col("source_size").cast("double")), F.lit(0.0)))
     sources = written(sources.withColumn("whole", F.floor("epochs").cast("long")).withColumn("rest", (F.col("epochs") - F.floor("epochs")) * F.col("source_size")), "mix-sources")
-    # the one range of each source in which the order is cut, then the place within it
-    w = Window.partitionBy("k").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    at = ranges.drop("source").withColumn("before", F.coalesce(F.sum("size").over(w), F.lit(0))).join(sources.select("k", "rest"), "k").where("before < rest")
-    at = at.groupBy("k").agg(F.max(F.struct("before", "range", "rest")).alias("x")).select("k", "x.*")
-    near = rows.withColumn("range", F.shiftright("h", 64 - bits)).join(_small(at, sources), ["k", "range"]).groupBy("k", "range", "h").agg(F.sum("size").alias("size"), F.first("before").alias("before"), F.first("rest").alias("rest"))
-    w = Window.partitionBy("k", "range").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
-    inside = near.withColumn("before", F.col("before") + F.coalesce(F.sum("size").over(w), F.lit(0))).where("before + size / 2 < rest").groupBy("k").agg(F.max("h").alias("inside"))
-    # none of the range's documents: the cut is just below the range
-    below = F.shiftleft(F.col("range").cast("long"), 64 - bits) - 1
-    cut = at.join(inside, "k", "left").select("k", F.when(F.col("inside").isNotNull(), F.col("inside")).when(F.col("range") > -(1 << (bits - 1)), below).alias("cut"))
-    return rows, written(sources.join(cut, "k", "left"), "mix-cuts")
+    cut, edge = _cut(rows, sources.select("k", "rest"), sources, bits, "mix-ranges")
+    edge = written(edge, "mix-edges")
+    equal = rows.join(_small(edge, sources), "k").where("h = edge").select("k", F.col("place").alias("h"), "size")
+    inner, _ = _cut(equal, edge.select("k", F.col("left").alias("rest")), sources, bits, "mix-equal")
+    found = sources.join(cut, "k", "left").join(edge.select("k", "edge"), "k", "left").join(inner.withColumnRenamed("cut", "inner"), "k", "left")
+    return rows, written(found, "mix-cuts")
 
 
 def _small(side: DataFrame, sources: DataFrame) -> DataFrame:
@@ -86,23 +104,30 @@ def _small(side: DataFrame, sources: DataFrame) -> DataFrame:
     return F.broadcast(side) if size <= BROADCAST_BYTES else side
 
 
-def _repetitions() -> Column:
-    return F.col("whole") + F.when(F.col("h") <= F.col("cut"), 1).otherwise(0)
+def _place(seed: int) -> Column:
+    """Tells rows apart that are equal in doc_id and text, by where they stand in the table."""
+    return F.xxhash64(F.lit(seed), F.monotonically_increasing_id())
+
+
+def _once_more(h: str, place: str, cut: str, edge: str, inner: str) -> Column:
+    more = (F.col(h) <= F.col(cut)) | ((F.col(h) == F.col(edge)) & (F.col(place) <= F.col(inner)))
+    return F.when(F.coalesce(more, F.lit(False)), 1).otherwise(0)
 
 
 def mix(docs: DataFrame, max_epochs: int = 3, seed: int = 7) -> DataFrame:
     """doc_id, source, size, source_size, target, repetitions, taken (words) of every document."""
     rows, sources = plan(docs, max_epochs, seed)
     joined = rows.drop("source").join(_small(sources, sources), "k")
-    return joined.withColumn("repetitions", _repetitions()).select("doc_id", "source", "size", "source_size", "target", "repetitions", (F.col("size") * F.col("repetitions")).alias("taken"))
+    return joined.withColumn("repetitions", F.col("whole") + _once_more("h", "place", "cut", "edge", "inner")).select("doc_id", "source", "size", "source_size", "target", "repetitions", (F.col("size") * F.col("repetitions")).alias("taken"))
 
 
 def apply(docs: DataFrame, max_epochs: int = 3, seed: int = 7) -> DataFrame:
     """The mix itself: every document as often as it is repeated, with all columns of docs."""
     _, sources = plan(docs, max_epochs, seed)
-    key, whole, cut, times, copy = fresh(docs, "key", "whole", "cut", "times", "copy")
-    small = sources.select(F.col("k").alias(key), F.col("whole").alias(whole), F.col("cut").alias(cut))
-    rows = docs.withColumn(key, _key(docs["source"])).join(_small(small, sources), key)
-    once_more = F.when(_hash(F.col("doc_id").cast("long"), seed) <= F.col(cut), 1).otherwise(0)
-    rows = rows.withColumn(times, (F.col(whole) + once_more).cast("int")).where(F.col(times) > 0)
+    names = ["h", "place", "cut", "edge", "inner"]
+    key, whole, times, copy, *own = fresh(docs, "key", "whole", "times", "copy", *names)
+    h, place, *_ = own
+    small = sources.select(F.col("k").alias(key), F.col("whole").alias(whole), *(F.col(c).alias(o) for c, o in zip(names[2:], own[2:], strict=True)))
+    rows = docs.withColumns({key: _key(docs["source"]), h: _hash(docs["doc_id"].cast("long"), docs["text"], seed), place: _place(seed)}).join(_small(small, sources), key)
+    rows = rows.withColumn(times, (F.col(whole) + _once_more(*own)).cast("int")).where(F.col(times) > 0)
     return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)

@@ -103,6 +103,19 @@ def test_mix(spark, seed):
     assert sorted(r.doc_id for r in mixing.apply(frame, seed=seed).collect()) == sorted(r.doc_id for r in got for _ in range(r.repetitions))
 
 
+@pytest.mark.parametrize("ids", ["null", "one", "same rows"])
+def test_mix_of_rows_without_ids_of_their_own(spark, ids):
+    """A source of 1,000 rows that no doc_id tells apart comes near its target, in the mix and in what is counted."""
+    text = (lambda i: "w " * 10) if ids == "same rows" else (lambda i: "w " * 10 + f"{i}")
+    rows = [(None if ids == "null" else 5, text(i), "a") for i in range(1000)] + [(10 + i, "v " * 11, "b") for i in range(1000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = mixing.mix(frame).collect()
+    for source in ("a", "b"):
+        own = [r for r in got if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 11
+    assert mixing.apply(frame).groupBy("source").count().collect() != [] and {r["source"]: r["count"] for r in mixing.apply(frame).groupBy("source").count().collect()} == {s: sum(r.repetitions for r in got if r.source == s) for s in ("a", "b")}
+
+
 def test_mix_without_rows_or_words(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, source string")
     assert mixing.mix(empty).count() == 0 == mixing.apply(empty).count()

@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from curata.llm import langid, quality, queries
 from curata.llm.buffers import span_hashes
@@ -114,3 +115,12 @@ def test_quality_as_with_exact_directions(spark):
         off.append(abs(score - got[i].score))
         assert got[i].predicted == (got[i].score >= 0.3)
     assert np.quantile(off, 0.9) < 0.02 and np.mean(off) < 0.02  # the iteration's directions are nearly the exact ones
+
+
+def test_language_of_rows_that_share_a_doc_id(spark):
+    """Each row teaches its own text under its own lang, a copy of a row nothing more."""
+    english, french = (["the night was long and we walked through the old town"], ["la nuit fut longue et nous marchions dans la vieille ville"])
+    rows = [(1, english[0] + f" number {i}", "en") for i in range(300)] + [(1, french[0] + f" chiffre {i}", "fr") for i in range(300)] + [(1, french[0], "fr")] * 300 + [(2, None, "en"), (3, "", None), (None, english[0], "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    found = langid.identify(docs.withColumn("doc_id", F.when(F.col("lang") == "en", 1).otherwise(2)), langid.fit(docs, learnt_from=lambda i: F.lit(True)))
+    assert {(r.doc_id, r.lang_pred) for r in found.where("score > 0").distinct().collect()} == {(1, "en"), (2, "fr")}
