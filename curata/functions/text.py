@@ -373,6 +373,24 @@ def could_reach(a: Column, b: Column, threshold: float) -> Column:
     return 2 * F.least(la, lb) / F.greatest(la + lb, F.lit(1)) >= threshold
 
 
+# Groups of characters, each counted as one kind: common letters alone, the rest together.
+_KINDS = ["e", "t", "a", "o", "i", "n", "s", "r", "h", "l", "d", "u", "c", "m", "0123456789", " "]
+
+
+def letters(c) -> Column:
+    """How often each kind of character stands in what string_ratio compares: a side's own column, made before pairs are."""
+    s = F.lower(_stripped(_column(c)))
+    return F.array(*[F.length(s) - F.length(F.translate(s, k, "")) for k in _KINDS], F.length(F.translate(s, "".join(_KINDS), "")))
+
+
+def letters_could_reach(a: Column, b: Column, threshold: float) -> Column:
+    """The ratio's upper bound by the characters in common, whatever their order; a and b: of ``letters``. Native, and tighter than lengths."""
+    k = range(len(_KINDS) + 1)
+    total = lambda x: sum((F.get(x, F.lit(i)) for i in k), F.lit(0))
+    both = sum((F.least(F.get(a, F.lit(i)), F.get(b, F.lit(i))) for i in k), F.lit(0))
+    return 2 * both / F.greatest(total(a) + total(b), F.lit(1)) >= threshold
+
+
 def _column(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

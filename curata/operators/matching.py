@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curata.functions.storage import written
-from curata.functions.text import authors_match, could_be_alike, could_reach, effect_similarity, last_names, string_ratio, year_match
+from curata.functions.text import authors_match, could_be_alike, could_reach, effect_similarity, last_names, letters, letters_could_reach, string_ratio, year_match
 from curata.operators.components import components
 
 INF = 9.0
@@ -46,10 +48,72 @@ def hungarian(cost: np.ndarray) -> list[tuple[int, int]]:
     return sorted((b, a) if turned else (a, b) for a, b in pairs)
 
 
+def sparse_assignment(rows: np.ndarray, columns: np.ndarray, costs: np.ndarray, alone: float = INF) -> list[int]:
+    """Which of the pairs (row, column, cost) make a least-cost one-to-one assignment, where a row without a pair costs ``alone``.
+
+    Shortest augmenting paths over compressed adjacency lists with dual prices: memory grows with the pairs, not with
+    rows times columns, and a search touches only what its row is connected to. Of several least assignments one is
+    chosen by the order of rows and columns alone.
+    """
+    _, rows = np.unique(rows, return_inverse=True)
+    _, columns = np.unique(columns, return_inverse=True)
+    order = np.lexsort((costs, columns, rows))
+    first = np.ones(len(order), bool)  # of repeated pairs the cheapest
+    first[1:] = (rows[order[1:]] != rows[order[:-1]]) | (columns[order[1:]] != columns[order[:-1]])
+    order = order[first]
+    n = int(rows.max(initial=-1)) + 1
+    begin = np.searchsorted(rows[order], np.arange(n + 1)).tolist()
+    to, price, place = columns[order].tolist(), costs[order].tolist(), order.tolist()
+    row_price, column_price = [0.0] * n, [0.0] * (int(columns.max(initial=-1)) + 1)
+    holder, held = [-1] * len(column_price), [-1] * n  # the row of each column; the pair of each row
+    for start in range(n):
+        near, came, closed, done, heap = {}, {}, set(), [], []  # distance of each column seen, and the row and pair it was reached by
+        row, distance, best, end = start, 0.0, np.inf, None
+        while True:
+            stay = distance + alone - row_price[row]
+            if stay < best:
+                best, end = stay, row  # this row stays alone
+            for k in range(begin[row], begin[row + 1]):
+                column = to[k]
+                reached = distance + price[k] - row_price[row] - column_price[column]
+                if column not in closed and reached < near.get(column, np.inf):
+                    near[column], came[column] = reached, (row, k)
+                    heapq.heappush(heap, (reached, column))
+            while heap and (heap[0][1] in closed or heap[0][0] > near[heap[0][1]]):
+                heapq.heappop(heap)
+            if not heap or heap[0][0] >= best:
+                column = None
+                break
+            distance, column = heapq.heappop(heap)
+            closed.add(column)
+            if holder[column] < 0:
+                best = distance
+                break
+            done.append((column, distance))
+            row = holder[column]
+        for c, d in done:
+            column_price[c] += d - best
+            row_price[holder[c]] += best - d
+        row_price[start] += best
+        if column is None:  # the last row of the path gives its column up and stays alone
+            row = end
+            if row == start:
+                continue
+            column, held[row] = to[held[row]], -1
+        while True:
+            row, pair = came[column]
+            before, holder[column], held[row] = held[row], row, pair
+            if row == start:
+                break
+            column = to[before]
+    return [place[k] for k in held if k >= 0]
+
+
 def pairs_in_block(gt: DataFrame, ext: DataFrame, block: str) -> DataFrame:
     """The pairs of a paper's entries that pair_costs may match: of one DOI, or of one year or with a last name in common.
 
-    (A fuzzy match has two of title, authors and year, so authors or year at least.) Each is an equi-join of its own.
+    (A fuzzy match has two of title, authors and year, so authors or year at least.) Each is an equi-join of its own,
+    of ids alone; texts follow, with the counts of their letters (g_letters, e_letters).
     """
     def keys(side: DataFrame, p: str) -> DataFrame:
         year = F.trim(F.replace(F.coalesce(F.col(f"{p}_year").cast("string"), F.lit("")), F.lit(".0"), F.lit("")))
@@ -57,7 +121,14 @@ def pairs_in_block(gt: DataFrame, ext: DataFrame, block: str) -> DataFrame:
         every = F.concat(F.array(key("d", F.nullif(F.col(f"{p}_doi"), F.lit(""))), key("y", F.nullif(year, F.lit("")))), F.transform(last_names(F.col(f"{p}_authors")), lambda n: key("n", n)))
         return side.select("*", F.explode(F.array_compact(every)).alias("_key"))
 
-    return keys(gt, "g").join(keys(ext, "e"), [block, "_key"]).drop("_key").dropDuplicates([block, "gt", "ext"])
+    ids = keys(gt.select(block, "gt", "g_doi", "g_year", "g_authors"), "g").join(keys(ext.select(block, "ext", "e_doi", "e_year", "e_authors"), "e"), [block, "_key"]).select(block, "gt", "ext").distinct()
+    own = lambda side, p, key: side.withColumn(f"{p}_letters", letters(f"{p}_title")).dropDuplicates([block, key])
+    return ids.join(own(gt, "g", "gt"), [block, "gt"]).join(own(ext, "e", "ext"), [block, "ext"])
+
+
+def _titles_could_reach(pairs: DataFrame, least: float) -> Column:
+    bound = could_reach("g_title", "e_title", least)
+    return bound & letters_could_reach(F.col("g_letters"), F.col("e_letters"), least) if {"g_letters", "e_letters"} <= {*pairs.columns} else bound
 
 
 def pair_costs(pairs: DataFrame) -> DataFrame:
@@ -69,14 +140,14 @@ def pair_costs(pairs: DataFrame) -> DataFrame:
     same = (F.coalesce("g_doi", F.lit("")) != "") & (F.col("g_doi") == F.col("e_doi"))
     out = pairs.withColumn("_same", F.coalesce(same, F.lit(False)))
     out = out.withColumn("_hits", F.count_if("_same").over(Window.partitionBy("paper", "gt")))
-    need = F.when(F.col("_same") | ((F.col("_hits") == 0) & could_reach("g_title", "e_title", 0.75)), True).otherwise(False)
+    need = F.when(F.col("_same") | ((F.col("_hits") == 0) & _titles_could_reach(pairs, 0.75)), True).otherwise(False)
     a = F.when(F.col("_same"), F.col("g_description")).otherwise(F.col("g_title"))
     b = F.when(F.col("_same"), F.col("e_description")).otherwise(F.col("e_title"))
     out = out.withColumn("_ratio", string_ratio(F.when(need, a).otherwise(""), F.when(need, b).otherwise("")))
     score = (F.col("_ratio") >= 0.75).cast("int") + authors_match(F.col("g_authors"), F.col("e_authors")).cast("int") + year_match(F.col("g_year"), F.col("e_year")).cast("int")
     fuzzy = (F.col("_hits") == 0) & (score >= 2)
     cost = F.when(F.col("_same"), 0.05 * (1 - F.col("_ratio"))).when(fuzzy, 0.5 + 0.1 * (3 - score)).otherwise(INF)
-    return out.withColumn("cost", cost).withColumn("method", F.when(F.col("_same"), "doi").when(fuzzy, "fuzzy")).drop("_same", "_hits", "_ratio")
+    return out.withColumn("cost", cost).withColumn("method", F.when(F.col("_same"), "doi").when(fuzzy, "fuzzy")).drop("_same", "_hits", "_ratio", "g_letters", "e_letters")
 
 
 def _papers(batches):
@@ -102,45 +173,43 @@ def _papers(batches):
         yield whole()
 
 
-LARGE = 1_000_000  # pairs of a paper, beyond which it is taken apart
+LARGE = 200_000  # entries of a paper (or ten times as many pairs), beyond which it is taken apart
 
 
 def _in_parts(rows: DataFrame, large: int) -> DataFrame:
-    """Adds part: of a paper with more pairs than ``large``, entries that no chain of pairs connects get different parts.
+    """Adds part: of a paper with more entries than ``large``, those that no chain of pairs connects get different parts.
 
     Neither a least-cost nor a greedy assignment of one part depends on another, so the parts are solved on their own.
     """
-    many = rows.groupBy("paper").agg(F.count("*").alias("_n")).where(F.col("_n") > large).select("paper")
+    entries = F.approx_count_distinct("gt") + F.approx_count_distinct("ext")
+    many = rows.groupBy("paper").agg(F.greatest(entries, F.count("*") / 10).alias("_n")).where(F.col("_n") > large).select(F.col("paper").alias("_paper"))
     if many.isEmpty():
         return rows.withColumn("part", F.lit(""))
-    own = rows.join(many, "paper", "left_semi")
-    node = lambda kind, c: F.concat_ws("\x1f", "paper", F.lit(kind), F.col(c).cast("string"))
+    own = rows.join(many, F.col("paper").eqNullSafe(F.col("_paper")), "left_semi")
+    node = lambda kind, c: F.concat_ws("\x1f", F.lit(kind), F.col(c).cast("string"), "paper")
     parts = components(own.select(node("g", "gt").alias("a"), node("e", "ext").alias("b"))).select(F.col("id").alias("_id"), F.col("component").alias("part"))
     return rows.withColumn("_id", node("g", "gt")).join(parts, "_id", "left").withColumn("part", F.coalesce("part", F.lit(""))).drop("_id")
 
 
 def _by_paper(rows: DataFrame, one, value: str, large: int) -> DataFrame:
     """one(rows of a paper or part) -> (gt, ext, value) lists: sorted partitions are streamed, so a task holds one
-    part and one batch."""
+    part and one batch. A null paper is a paper like others."""
     rows = _in_parts(written(rows.select("paper", "gt", "ext", value), "pairs"), large)
 
     def run(batches):
         out: list[tuple] = []
         for (paper, _), columns in _papers(batches):
-            out += [(str(paper), int(g), int(e), float(v)) for g, e, v in one(columns)]
+            out += [(paper, int(g), int(e), float(v)) for g, e, v in one(columns)]
             if len(out) > 10_000:
                 yield pd.DataFrame(out, columns=["paper", "gt", "ext", value])
                 out = []
         yield pd.DataFrame(out, columns=["paper", "gt", "ext", value]) if out else pd.DataFrame({"paper": pd.Series(dtype=object), "gt": pd.Series(dtype="int64"), "ext": pd.Series(dtype="int64"), value: pd.Series(dtype="float64")})
 
-    return rows.select("paper", "part", "gt", "ext", value).repartition("paper", "part").sortWithinPartitions("paper", "part").mapInPandas(run, f"paper string, gt long, ext long, {value} double")
+    return rows.select(F.col("paper").cast("string").alias("paper"), "part", "gt", "ext", value).repartition("paper", "part").sortWithinPartitions("paper", "part").mapInPandas(run, f"paper string, gt long, ext long, {value} double")
 
 
 def _assigned(rows: dict) -> list[tuple]:
-    g, e = np.unique(rows["gt"]), np.unique(rows["ext"])
-    c = np.full((len(g), len(e)), INF)
-    c[np.searchsorted(g, rows["gt"]), np.searchsorted(e, rows["ext"])] = rows["cost"]
-    return [(g[i], e[j], round(float(c[i, j]), 4)) for i, j in hungarian(c) if c[i, j] < INF]
+    return [(rows["gt"][k], rows["ext"][k], round(float(rows["cost"][k]), 4)) for k in sparse_assignment(rows["gt"], rows["ext"], rows["cost"])]
 
 
 def _greedily(rows: dict) -> list[tuple]:
@@ -223,7 +292,7 @@ def staged(gt: DataFrame, ext: DataFrame, aliases: DataFrame, verdicts: DataFram
         listed = there.withColumn("outcome", kind).where("outcome is not null").select("paper", "outcome", "gt", "ext", F.lit(None).cast("string").alias("method"), "relation", "confidence", F.lit(None).cast("double").alias("cost"), F.coalesce("reason", F.lit("")).alias("reason"))
         fuzzy = fuzzy.join(verdicts.where(~F.coalesce("failed", F.lit(False))).select("paper", "gt"), ["paper", "gt"], "left_anti")
     like = pairs_in_block(gt.join(fuzzy, ["paper", "gt"], "left_semi").drop("g_canon"), ext.drop("e_canon"), "paper")
-    title = F.when(could_reach("g_title", "e_title", 0.75), F.col("g_title")).otherwise(""), F.when(could_reach("g_title", "e_title", 0.75), F.col("e_title")).otherwise("")
+    title = (F.when(_titles_could_reach(like, 0.75), F.col(c)).otherwise("") for c in ("g_title", "e_title"))
     score = (string_ratio(*title) >= 0.75).cast("int") + authors_match(F.col("g_authors"), F.col("e_authors")).cast("int") + year_match(F.col("g_year"), F.col("e_year")).cast("int")
     like = like.withColumn("score", score).where("score >= 2")
     like = like.select("paper", "gt", "ext", (0.5 + 0.1 * (3 - F.col("score"))).alias("cost"), F.lit(2).alias("rank"), F.lit("fuzzy").alias("method"), F.lit("same_effect").alias("relation"), F.when(F.col("score") == 3, "medium").otherwise("low").alias("confidence"), F.concat(F.lit("fuzzy "), F.col("score").cast("string"), F.lit("/3 (title/authors/year)")).alias("reason"))
