@@ -9,10 +9,11 @@
    collisions, must come within ``MARGIN`` of the threshold. Each bucket gives a spanning
    forest of such pairs, and what the forests connect is a family: every pair that shares a
    band and could be a link lies within one family.
-4. The sets of a family's documents meet in blocks, where each pair that isn't connected yet,
-   whose sizes allow a link and whose estimate comes near enough is confirmed on the full
-   sets. Blocks give spanning forests again, so neither step emits pairs: a group of m near
-   copies gives m - 1 rows a block pair, and its later pairs are skipped as connected.
+4. Each member of a family is held against the least one that it is near to, on full sets.
+   In a family that this leaves in several parts, signatures meet in blocks, and only members
+   of pairs whose sizes and estimates allow a link between parts bring their sets, where such
+   pairs are confirmed unless connected meanwhile. Blocks give spanning forests, so neither
+   step emits pairs, and the sets of a family of near copies are compared once each.
 
 Sharing a band of 4 equal minima in 32 has probability above 1 - 1e-5 at the threshold and
 grows above it. Estimates below the threshold less ``MARGIN`` (over four standard errors) are
@@ -25,7 +26,7 @@ their own id; fewer words than five are one shingle of all words; rows with equa
 are documents of their own, each with its own set and component (named by the least doc_id
 in it); rows without doc_id link with nothing, keep a null component and are kept; further
 columns are ignored. ``deduplicated`` leaves one row of each component: of the least doc_id,
-then of the least digest of its text, and of rows equal in both any one.
+then of the least digest of its text, then of the least hash of its other columns.
 """
 
 from __future__ import annotations
@@ -47,7 +48,6 @@ WORDS, PERCENT = 5, 75
 HASHES, ROWS, BITS = 128, 4, 2
 MARGIN = 0.2
 BLOCK, BLOCK_SHINGLES = 512, 1_000_000
-BROADCAST_BYTES, ROW_BYTES = 96 << 20, 160  # of a family member: numbers, signature and class
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -211,62 +211,64 @@ def _estimated(buckets: DataFrame, least: float) -> DataFrame:
                 out_b += ids[j[kept]].tolist()
             yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
 
-    return _paired(buckets, ["band"], "struct(id, signature)").mapInArrow(run, "a long, b long").distinct()
+    return _paired(buckets, ["band"], "struct(id, signature)").select("one", "two").mapInArrow(run, "a long, b long").distinct()
 
 
 def _paired(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """one, two: the values of each block of each group, and (null: itself) of each further block of the group.
+    """one, two: the values of each block of each group, and (null: itself) of each further block of the group; keys, block, other.
 
     rows: keys, block, n_blocks and what value names. Only groups of several blocks are joined with themselves.
     """
-    blocks = rows.groupBy(*keys, "block", "n_blocks").agg(F.collect_list(F.expr(value)).alias("one"))
+    packed = F.array_sort(F.collect_list(F.expr(value))).alias("one")
+    blocks = rows.groupBy(*keys, "block", "n_blocks").agg(packed)
     kind = blocks.schema["one"].dataType
-    alone = blocks.select("one", F.lit(None).cast(kind).alias("two"))
-    large = rows.where("n_blocks > 1").groupBy(*keys, "block", "n_blocks").agg(F.collect_list(F.expr(value)).alias("one"))
+    alone = blocks.select(*keys, "block", F.col("block").alias("other"), "one", F.lit(None).cast(kind).alias("two"))
+    large = rows.where("n_blocks > 1").groupBy(*keys, "block", "n_blocks").agg(packed)
     left = large.select(*keys, "block", "one", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("other")).where("block < other")
     right = large.select(*keys, F.col("block").alias("other"), F.col("one").alias("two"))
-    return alone.unionByName(left.join(right, [*keys, "other"]).select("one", "two"))
+    return alone.unionByName(left.join(right, [*keys, "other"]).select(*keys, "block", "other", "one", "two"))
 
 
-def _linked(families: DataFrame, docs: DataFrame, percent: int, least: float) -> DataFrame:
-    """(a, b): links, confirmed on full sets, that connect what all links within a family connect.
+def _sets(members: DataFrame, docs: DataFrame) -> DataFrame:
+    """members(id, doc_id, text_key, ...) with shingles (the set, as little-endian words) in place of what names their text.
 
-    families: id, doc_id, class, family, block, n_blocks, signature. Every document's set goes to its family's blocks.
+    Texts travel once, by what names a row; copies of a row, however many, are one before they do. The join is a merge
+    whatever the sizes, so that small tables take the way of large ones.
     """
-    names = ["id", "family", "block", "n_blocks", "mark"]
-    wanted = families.select(F.col("doc_id").alias("own_id"), "class", *names[:-1], F.col("signature").alias("mark"))
-    if families.count() * ROW_BYTES <= BROADCAST_BYTES:
-        wanted = F.broadcast(wanted)
+    marked = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").withColumn("text_key", _text_key(F.col("text")))
+    once = marked.groupBy("doc_id", "text_key").agg(F.first("text").alias("text"))
+    kept = [f for f in members.schema if f.name not in ("doc_id", "text_key")]
+    names = [f.name for f in kept]
 
-    def sets(batches):
-        sent: set[int] = set()  # members of families that this task has sent; rows may repeat
+    def run(batches):
         for batch in batches:
             data, offsets = texts(column(batch, "text"))
-            ids, classes = column(batch, "id").to_pylist(), column(batch, "class").to_pylist()
             for i, j in slices(offsets):
                 found = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                real = []
-                for k, x in enumerate(found, i):
-                    if ids[k] not in sent and _class(x) == classes[k]:  # not another text of the same doc_id
-                        sent.add(ids[k])
-                        real.append(k)
-                own = batch.take(pa.array(real, pa.int64()))
-                yield pa.RecordBatch.from_arrays([*(column(own, x) for x in names), pa.array([found[k - i].astype("<u8").tobytes() for k in real], pa.binary())], [*names, "shingles"])
+                yield pa.RecordBatch.from_arrays([*(column(batch, c)[i:j] for c in names), pa.array([x.astype("<u8").tobytes() for x in found], pa.binary())], [*names, "shingles"])
+
+    joined = once.join(members.hint("merge"), ["doc_id", "text_key"]).select("text", *names)
+    return joined.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept) + ", shingles binary")
+
+
+def _confirmed(rows: DataFrame, percent: int, least: float) -> DataFrame:
+    """(a, b): links that connect what all links within each task connect, confirmed on full sets.
+
+    rows: id, label, signature, side, shingles and the task they are for, in all other columns: members of side 0 meet those
+    of side 1, and all of side 2 one another, unless their labels are equal. A task has two blocks of members at most.
+    """
 
     def run(batches):
         for batch in batches:
             out_a, out_b = [], []
-            for k in range(len(batch)):
-                one, two = column(batch, "one")[k].as_py(), column(batch, "two")[k].as_py()
-                same = two is None
-                rows = one if same else one + two
-                own = [np.frombuffer(x["shingles"], "<u8") for x in rows]
-                size, ids = np.array([len(x) for x in own]), np.array([x["id"] for x in rows])
-                marks = np.frombuffer(b"".join(x["mark"] for x in rows), np.uint64).reshape(len(rows), -1)
-                label = np.arange(len(rows))
-                for i in range(len(one)):
-                    first = i + 1 if same else len(one)
-                    there = np.arange(first, len(rows))
+            for rows in column(batch, "members"):
+                rows = rows.values
+                ids, label, side = (rows.field(c).to_numpy() for c in ("id", "label", "side"))
+                own = [np.frombuffer(x.as_buffer(), "<u8") for x in rows.field("shingles")]
+                size, label = np.array([len(x) for x in own]), label.copy()
+                marks = np.frombuffer(b"".join(rows.field("signature").to_pylist()), np.uint64).reshape(len(ids), -1)
+                for i in np.flatnonzero(side != 1).tolist():
+                    there = np.flatnonzero((side == 1) if side[i] == 0 else (np.arange(len(ids)) > i))
                     there = there[(label[there] != label[i]) & (100 * np.minimum(size[there], size[i]) >= percent * np.maximum(size[there], size[i]))]
                     there = there[_fast_estimate(marks[i], marks[there]) >= least]
                     for j in there.tolist():
@@ -279,9 +281,68 @@ def _linked(families: DataFrame, docs: DataFrame, percent: int, least: float) ->
                             label[label == label[j]] = label[i]
             yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
 
-    text = docs.select(docs["doc_id"].cast("long").alias("own_id"), "text").join(wanted, "own_id").select("text", "class", *names)
-    rows = text.mapInArrow(sets, "id long, family long, block int, n_blocks int, mark binary, shingles binary")
-    return _paired(rows, ["family"], "struct(id, mark, shingles)").mapInArrow(run, "a long, b long")
+    names = [c for c in rows.columns if c not in ("id", "label", "signature", "side", "shingles")]
+    tasks = rows.groupBy(*names).agg(F.array_sort(F.collect_list(F.struct("id", "label", "side", "signature", "shingles"))).alias("members"))
+    return tasks.select("members").mapInArrow(run, "a long, b long")
+
+
+def _needed(families: DataFrame, percent: int, least: float) -> DataFrame:
+    """Tasks for ``_confirmed``: of each pair of blocks the members in pairs that could be links and aren't connected yet, by signatures alone.
+
+    families: id, label, family, block, n_blocks, signature, n_shingles.
+    """
+
+    def run(batches):
+        names = ["family", "block", "other", "id", "label", "signature", "side"]
+        for batch in batches:
+            for k in range(len(batch)):
+                one, two = column(batch, "one")[k].values, column(batch, "two")[k].values
+                out = []
+                same = two is None
+                ids, label, size = (np.concatenate([x.field(c).to_numpy() for x in ((one,) if same else (one, two))]) for c in ("id", "label", "n_shingles"))
+                raw = [*one.field("signature").to_pylist(), *([] if same else two.field("signature").to_pylist())]
+                marks, wanted = np.frombuffer(b"".join(raw), np.uint64).reshape(len(ids), -1), np.zeros(len(ids), bool)
+                for i in range(len(one)):
+                    there = np.arange(i + 1 if same else len(one), len(ids))
+                    there = there[(label[there] != label[i]) & (100 * np.minimum(size[there], size[i]) >= percent * np.maximum(size[there], size[i]))]
+                    there = there[_fast_estimate(marks[i], marks[there]) >= least]
+                    if len(there):
+                        wanted[i] = wanted[there] = True
+                family, block, other = (column(batch, c)[k].as_py() for c in names[:3])
+                out = [(family, block, other, int(ids[i]), int(label[i]), raw[i], 2 if same else int(i >= len(one))) for i in np.flatnonzero(wanted)]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32()), strict=True)], names)
+
+    return _paired(families, ["family"], "struct(id, label, n_shingles, signature)").mapInArrow(run, "family long, block int, other int, id long, label long, signature binary, side int")
+
+
+def _linked(near: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, least: float) -> DataFrame:
+    """(id, component) of what links connect. near(a, b): pairs that join all that could be linked; classes: id, doc_id, text_key, signature, n_shingles.
+
+    Each class is first held against the least one that it is near to: one comparison a class settles families of near
+    copies. Only families that this leaves in parts are compared as a whole, and of them only what signatures leave open.
+    """
+    families = components(near).withColumnRenamed("component", "family")
+    families = families.join(classes.select("id", "doc_id", "text_key", "signature", "n_shingles"), "id")
+    heads = near.select(F.greatest("a", "b").alias("id"), F.least("a", "b").alias("head")).groupBy("id").agg(F.min("head").alias("head"))
+    families = written(families.join(heads, "id", "left"), "families")
+    parts = families.where("head is not null").groupBy("head").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("n_parts"))
+    members = families.join(parts, "head", "left").withColumn("part", F.pmod(F.xxhash64("id"), F.col("n_parts")).cast("int")).drop("n_parts", "family", "n_shingles")
+    members = members.join(parts.select(F.col("head").alias("id"), F.col("n_parts").alias("led")), "id", "left")
+    sets = written(_sets(members, docs), "sets")
+    task = ["head", "part", "id", F.col("id").alias("label"), "signature"]
+    ones = sets.where("head is not null").select(*task, F.lit(1).alias("side"), "shingles")
+    led = sets.where("led is not null").withColumn("head", F.col("id")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("led") - 1)))
+    first = components(_confirmed(ones.unionByName(led.select(*task, F.lit(0).alias("side"), "shingles")), percent, least))
+    labelled = families.join(first, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
+    labelled = written(labelled.select("id", "family", "label", "signature", "n_shingles"), "labelled")
+    stats = labelled.groupBy("family").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("n_blocks"))
+    open_ = labelled.join(stats.where("x <> y").select("family", "n_blocks"), "family").withColumn("block", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int"))
+    needed = _needed(open_, percent, least).join(sets.select("id", "shingles").hint("merge"), "id")
+    more = written(_confirmed(needed, percent, least), "confirmed")
+    if more.isEmpty():
+        return first
+    return components(more.unionByName(first.select(F.col("id").alias("a"), F.col("component").alias("b"))))
 
 
 def _grouped(docs: DataFrame, percent: int) -> DataFrame:
@@ -291,20 +352,16 @@ def _grouped(docs: DataFrame, percent: int) -> DataFrame:
     rows = written(found.withColumn("class", F.when(F.col("doc_id").isNotNull(), F.col("class"))), "sketches")
     # a class is named by one of its rows, of least doc_id; what a set gives is the same in all its rows
     same = [F.first(c).alias(c) for c in ("signature", "n_shingles", "bands")]
-    classes = rows.where("class is not null").groupBy("class").agg(F.min(F.struct("doc_id", "row")).alias("head"), *same)
-    classes = written(classes.select("class", F.col("head.row").alias("id"), F.col("head.doc_id").alias("doc_id"), "signature", "n_shingles", "bands"), "classes")
+    classes = rows.where("class is not null").groupBy("class").agg(F.min(F.struct("doc_id", "text_key", "row")).alias("head"), *same)
+    classes = written(classes.select("class", F.col("head.row").alias("id"), F.col("head.doc_id").alias("doc_id"), F.col("head.text_key").alias("text_key"), "signature", "n_shingles", "bands"), "classes")
     # bands are dealt once, without signatures: most hold one class only. Both sides of the join need both columns, so they share the shuffle
     members = classes.select("id", F.explode("bands").alias("band")).repartition("band")
     sizes = members.groupBy("band").agg(F.count("*").alias("size"), F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
     members = members.join(sizes.select("band", "size"), "band").withColumn("n_blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     members = members.join(classes.select("id", "signature"), "id")
     members = written(members.select("band", "id", "signature", "n_blocks", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int").alias("block")), "buckets")
-    families = components(_estimated(members, least)).withColumnRenamed("component", "family")
-    families = families.join(classes.drop("bands"), "id")
-    parts = families.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("n_blocks"))
-    families = families.join(parts, "family").select("id", "doc_id", "class", "family", "signature", "n_blocks", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int").alias("block"))
-    comps = components(_linked(written(families, "families"), docs, percent, least))
-    linked = classes.select("class", "id", "doc_id").join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    near = written(_estimated(members, least), "near")
+    linked = classes.select("class", "id", "doc_id").join(_linked(near, classes, docs, percent, least), "id", "left").withColumn("component", F.coalesce("component", "id"))
     ids = linked.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     linked = linked.join(ids, "component").select("class", "component", "component_id")
     named = rows.select("row", "doc_id", "text_key", "n_shingles", "class").join(linked, "class", "left").drop("class")
@@ -318,19 +375,23 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The documents, with all their columns, of which one row of each group stays."""
-    rows = written(_grouped(docs, percent).where("component is not null").select("doc_id", "text_key", "component"), "groups")
-    stays = rows.groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("head"))
-    keys = rows.join(stays, "component").groupBy("doc_id", "text_key").agg(F.count("*").alias("n"), F.bool_or(F.struct("doc_id", "text_key") == F.col("head")).alias("stays"))
-    keys = written(keys.where("not stays or n > 1").select(F.col("doc_id").alias("own_id"), "text_key", "stays"), "decisions")
-    own, text_key = fresh(docs, "id", "text_key")
-    marked = docs.withColumns({own: docs["doc_id"].cast("long"), text_key: _text_key(docs["text"])})
-    keys = keys.select(F.col("own_id").alias(own), F.col("text_key").alias(text_key), "stays")
-    small = keys.count() * ROW_BYTES <= BROADCAST_BYTES
-    by_key = lambda k: F.broadcast(k.select(own, text_key)) if small else k.select(own, text_key)
-    out = marked.join(by_key(keys), [own, text_key], "left_anti")
+    """The documents, with all their columns, of which one row of each group stays.
+
+    Rows go by doc_id, the digest of their text and a hash of their other columns: texts travel once, by a merge join
+    whatever the number of rows that go.
+    """
+    own, text_key, rest = fresh(docs, "id", "text_key", "rest")
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    marked = docs.withColumns({own: docs["doc_id"].cast("long"), text_key: _text_key(docs["text"]), rest: F.xxhash64(F.to_json(F.struct(*[docs[c] for c in others]))) if others else F.lit(0).cast("long")})
+    groups = _grouped(docs, percent).where("component is not null").select(F.col("doc_id").alias(own), F.col("text_key").alias(text_key), "component").distinct()
+    rows = marked.groupBy(own, text_key, rest).agg(F.count("*").alias("n")).join(groups, [own, text_key])
+    rows = written(rows, "groups")
+    stays = rows.groupBy("component").agg(F.min(F.struct(own, text_key, rest)).alias("head"))
+    keys = rows.join(stays, "component").select(own, text_key, rest, "n", (F.struct(own, text_key, rest) == F.col("head")).alias("stays"))
+    keys = written(keys.where("not stays or n > 1"), "decisions")
+    out = marked.join(keys.select(own, text_key, rest).hint("merge"), [own, text_key, rest], "left_anti")
     if not (again := keys.where("stays")).isEmpty():  # rows that repeat: one of each stays
-        out = out.unionByName(marked.join(by_key(again), [own, text_key], "left_semi").dropDuplicates([own, text_key]))
+        out = out.unionByName(marked.join(again.select(own, text_key, rest).hint("merge"), [own, text_key, rest], "left_semi").dropDuplicates([own, text_key, rest]))
     return out.select(*docs.columns)
 
 
