@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,13 +53,14 @@ def decision(k: Column) -> Column:
     return F.when(k >= 0.7, "proceed").when(k >= 0.5, "refine").otherwise("stop")
 
 
-def paper_verdict(rows: DataFrame, paper: str, label: str) -> DataFrame:
-    """One label a paper: the only one; inconclusive if both poles or a reversal are there, or it outnumbers the pole; '' for none."""
+def paper_verdict(rows: DataFrame, paper: str | list[str], label: str) -> DataFrame:
+    """One label a paper (or other key): the only one; inconclusive if both poles or a reversal are there, or it outnumbers the pole; '' for none."""
+    keys = [paper] if isinstance(paper, str) else paper
     x = F.when(F.col(label) != "", F.col(label))
-    g = rows.groupBy(paper).agg(F.count(x).alias("n"), F.count_distinct(x).alias("k"), F.min(x).alias("least"), F.count_if(x == "success").alias("s"), F.count_if(x == "failure").alias("f"), F.count_if(x == "reversal").alias("r"), F.count_if(x == "inconclusive").alias("i"))
+    g = rows.groupBy(*keys).agg(F.count(x).alias("n"), F.count_distinct(x).alias("k"), F.min(x).alias("least"), F.count_if(x == "success").alias("s"), F.count_if(x == "failure").alias("f"), F.count_if(x == "reversal").alias("r"), F.count_if(x == "inconclusive").alias("i"))
     polar = F.when(F.col("s") > 0, "success").otherwise("failure")
     v = F.when(F.col("n") == 0, "").when(F.col("k") == 1, F.col("least")).when(((F.col("s") > 0) & (F.col("f") > 0)) | (F.col("r") > 0), "inconclusive").when(F.col("n") - F.col("i") >= F.col("i"), polar).otherwise("inconclusive")
-    return g.select(paper, v.alias("verdict"))
+    return g.select(*keys, v.alias("verdict"))
 
 
 def breakdown(rows: DataFrame, dims: list[str], ok: str, paper: str) -> DataFrame:
@@ -104,6 +109,20 @@ def set_scores(gt: DataFrame, ext: DataFrame, paper: str, item: str) -> DataFram
     return counts.select(paper, n_gt, n_ext, tp, (tp / n_gt).alias("recall"), F.try_divide(tp.cast("double"), n_ext.cast("double")).alias("precision_lb"), (tp > 0).alias("hit"), ((tp == n_gt) & (tp == n_ext)).alias("exact"))
 
 
+def lenient(gt: DataFrame, ext: DataFrame, paper: str, item: str) -> DataFrame:
+    """paper, hit_lenient: papers with an identifier in common up to three characters cut off an end that leaves twelve.
+
+    Each identifier stands under itself and its cuts, so near ones meet by equality, not as pairs.
+    """
+    def cut(side: DataFrame) -> DataFrame:
+        n = F.length(item)
+        cuts = F.filter(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda k: F.struct(k.alias("cut"), F.left(F.col(item), n - k).alias("key"), (n - k).alias("left"))), lambda x: (x["cut"] == 0) | (x["left"] >= 12))
+        return side.select(paper, item).distinct().select(paper, F.explode(cuts).alias("x")).select(paper, "x.*")
+
+    g, e = cut(gt), cut(ext).withColumnRenamed("cut", "cut_e").drop("left")
+    return g.join(e, [paper, "key"]).where("cut = 0 or cut_e = 0").select(paper).distinct().withColumn("hit_lenient", F.lit(True))
+
+
 def set_summary(scores: DataFrame) -> DataFrame:
     return scores.agg(F.count("*").alias("n_papers"), F.try_divide(F.sum("tp").cast("double"), F.sum("n_gt").cast("double")).alias("micro_recall"), F.try_divide(F.sum("tp").cast("double"), F.sum("n_ext").cast("double")).alias("micro_precision_lb"), F.avg("recall").alias("macro_recall"), F.avg(F.col("hit").cast("double")).alias("hit_rate"), F.avg(F.col("exact").cast("double")).alias("exact_rate"))
 
@@ -129,3 +148,68 @@ def bootstrap(rows: DataFrame, cluster: str, value: str, replicates: int = 2000,
     lo, hi = ((0.025 * n).cast("int"), (0.975 * n).cast("int") - 1) if ends[0] == "floor" else ((0.025 * (n - 1)).cast("int"), (0.975 * (n - 1)).cast("int"))
     mean = per.agg((F.sum("s") / F.sum("n")).alias("mean"))
     return mean.join(F.broadcast(xs.where(n >= 100).select(F.get("x", lo).alias("lo"), F.get("x", hi).alias("hi"), n.alias("n_boot"))), F.lit(True), "left")
+
+
+def replicated(rows: DataFrame, cluster: str, counts: dict[str, Column], metrics: dict[str, Column], replicates: int = 2000, seed: int = 0, ends: str = "floor", derived: dict[str, Column] | None = None) -> DataFrame:
+    """metric, lo, hi, n_boot: 95 per cent intervals of metrics that aren't means, resampling clusters with replacement.
+
+    counts: aggregates of a cluster's rows, which add up over clusters; metrics: expressions of the summed counts (and of
+    columns ``derived`` from them). So each
+    cluster is one vector, a replicate weighs it by a Poisson(1) number from a hash of (seed, replicate, cluster), a task adds
+    up weights times vectors by matrix products, and what leaves it is one vector a replicate. A metric that is null or NaN in
+    a replicate isn't counted there; one with fewer than 100 replicates has no interval, nor has any with fewer than two clusters.
+    ends: 'floor' takes the sorted values at .025 n and .975 n - 1, 'inner' those at .025 and .975 of n - 1.
+    """
+    names = list(counts)
+    per = rows.groupBy(cluster).agg(*(F.coalesce(c.cast("double"), F.lit(0.0)).alias(n) for n, c in counts.items()))
+    per = per.select(F.xxhash64(F.lit(seed), F.col(cluster).cast("string")).alias("h"), F.array(*names).alias("v"))
+
+    def run(batches):
+        total, n = np.zeros((replicates, len(names))), 0
+        for batch in batches:
+            h, v = batch.column(0).to_numpy().view(np.uint64), batch.column(1).flatten().to_numpy().reshape(len(batch), -1)
+            for i in range(0, len(h), 512):
+                total += poisson_weights(h[i : i + 512], replicates) @ v[i : i + 512]
+            n += len(h)
+        yield pa.RecordBatch.from_arrays([pa.array(range(replicates), pa.int32()), pa.array(list(total), pa.list_(pa.float64())), pa.array([n] * replicates, pa.int64())], ["r", "v", "n"])
+
+    sums = per.mapInArrow(run, "r int, v array<double>, n long").groupBy("r").agg(F.sum("n").alias("_n"), *(F.sum(F.col("v")[i]).alias(c) for i, c in enumerate(names)))
+    draws = sums.where("_n > 1").withColumns(derived or {}).select(*(F.when(~F.isnan(m.cast("double")), m.cast("double")).alias(f"m{i}") for i, m in enumerate(metrics.values())))
+    sorted_ = draws.agg(*(F.sort_array(F.collect_list(c)).alias(c) for c in draws.columns))  # one number a replicate
+    one = sorted_.select(F.explode(F.array(*(F.struct(F.lit(c).alias("metric"), F.col(f"m{i}").alias("x")) for i, c in enumerate(metrics)))).alias("m")).select("m.*")
+    n = F.size("x")
+    lo, hi = ((0.025 * n).cast("int"), (0.975 * n).cast("int") - 1) if ends == "floor" else ((0.025 * (n - 1)).cast("int"), (0.975 * (n - 1)).cast("int"))
+    return one.where(n >= 100).select("metric", F.get("x", lo).alias("lo"), F.get("x", hi).alias("hi"), n.alias("n_boot"))
+
+
+def poisson_weights(hashes: np.ndarray, replicates: int) -> np.ndarray:
+    """[replicates, clusters] numbers of a Poisson distribution of mean 1, each from a mixed hash of replicate and cluster."""
+    x = hashes[None, :] ^ (np.arange(1, replicates + 1, dtype=np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15))
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    u = ((x ^ (x >> np.uint64(31))) >> np.uint64(11)) / float(1 << 53)
+    bounds, p, total = [], math.exp(-1), 0.0
+    for k in range(1, 12):
+        total += p
+        bounds.append(total)
+        p /= k
+    return np.searchsorted(bounds, u, side="right").astype(np.float64)
+
+
+def set_intervals(scores: DataFrame, paper: str, replicates: int = 2000, seed: int = 0) -> DataFrame:
+    """metric, lo, hi, n_boot of the five rates of ``set_summary``, by the inner index convention."""
+    total = {c: F.sum(F.col(c).cast("double")) for c in ("tp", "n_gt", "n_ext", "recall", "hit", "exact")} | {"papers": F.count("*")}
+    rate = lambda a, b: F.try_divide(F.col(a), F.nullif(F.col(b), F.lit(0.0)))
+    rates = {"micro_recall": rate("tp", "n_gt"), "micro_precision_lb": rate("tp", "n_ext"), "macro_recall": rate("recall", "papers"), "hit_rate": rate("hit", "papers"), "exact_rate": rate("exact", "papers")}
+    return replicated(scores, paper, total, rates, replicates, seed, "inner")
+
+
+def set_extras(scores: DataFrame, near: DataFrame, paper: str, without_doi: DataFrame | None = None) -> DataFrame:
+    """One row: hit_rate_lenient, hit_rate_when_extracted, extracted_none, ext_rows_without_doi. near: of ``lenient``; without_doi: paper, n."""
+    rows = scores.join(near, paper, "left")
+    rows = rows.join(without_doi.select(paper, F.col("n").alias("_n")), paper, "left") if without_doi is not None else rows.withColumn("_n", F.lit(0))
+    hit = F.col("hit").cast("double")
+    return rows.agg(
+        F.avg((F.col("hit") | F.coalesce("hit_lenient", F.lit(False))).cast("double")).alias("hit_rate_lenient"), F.avg(F.when(F.col("n_ext") > 0, hit)).alias("hit_rate_when_extracted"),
+        F.count_if(F.col("n_ext") == 0).alias("extracted_none"), F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("ext_rows_without_doi"),
+    )
