@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curata.functions.ids import doi_to_folder, folder_to_doi, normalize_doi
+from curata.functions.storage import written
 
 # States of a paper, highest first, and the ladder of full-text tiers.
 STATUSES = ["ingested", "extracted", "screened", "converted", "downloaded", "empty"]
@@ -127,11 +128,12 @@ def repair_plan(folders: DataFrame) -> DataFrame:
     """folder, target, plan of folders(folder, doi_file, doi_index): the ladder of DOI sources, then conflicts."""
     doi = F.coalesce(normalize_doi(F.col("doi_file")), normalize_doi(F.col("doi_index")), normalize_doi(folder_to_doi(F.regexp_replace("folder", r"\s*\(.*\)$", ""))))
     out = folders.withColumn("target", doi_to_folder(doi))
-    taken = Window.partitionBy("target")
+    none, out = out.where("target is null"), out.where("target is not null")
+    taken = out.groupBy(F.col("target").alias("_target")).agg(F.count("*").alias("_k"))  # combined before it travels
     have = folders.select(F.col("folder").alias("_have")).distinct()
-    out = out.withColumn("_k", F.count("*").over(taken)).join(have, F.col("target") == F.col("_have"), "left")
-    plan = F.when(F.col("target").isNull(), "unresolved").when(F.col("target") == F.col("folder"), "fine").when((F.col("_k") > 1) | F.col("_have").isNotNull(), "conflict").otherwise("rename")
-    return out.select("folder", "target", plan.alias("plan"))
+    out = out.join(taken, F.col("target") == F.col("_target")).join(have, F.col("target") == F.col("_have"), "left")
+    plan = F.when(F.col("target") == F.col("folder"), "fine").when((F.col("_k") > 1) | F.col("_have").isNotNull(), "conflict").otherwise("rename")
+    return out.select("folder", "target", plan.alias("plan")).unionByName(none.select("folder", "target", F.lit("unresolved").alias("plan")))
 
 
 def known_dois(tables: list[DataFrame]) -> DataFrame:
@@ -147,11 +149,51 @@ def known_dois(tables: list[DataFrame]) -> DataFrame:
     return unambiguous(found.withColumn("key", alnum_key(F.col("doi"))), "key", "doi")
 
 
-def prefix_probe(probes: DataFrame, keys: DataFrame) -> DataFrame:
-    """probe, key: the only key that a (truncated) probe is a prefix of. Equi-joined on the first 12 characters, which a probe must have."""
-    p = probes.where(F.length("probe") >= 12).withColumn("_h", F.left("probe", F.lit(12)))
-    found = p.join(keys.withColumn("_h", F.left("key", F.lit(12))), "_h").where(F.col("key").startswith(F.col("probe")))
-    return found.groupBy("probe").agg(F.count("*").alias("n"), F.min("key").alias("key")).where("n = 1").drop("n")
+def prefix_probe(probes: DataFrame, keys: DataFrame, least: int = 12) -> DataFrame:
+    """probe, key: the only key that a (truncated) probe of ``least`` characters at least is a prefix of.
+
+    In order, keys with a prefix follow it directly, so a probe needs the next two keys above it only. Probes and keys are
+    sorted together by range and each task reads its rows downwards, keeping the last two keys; those above a task's
+    rows come from the tasks after it, one row each. So neither a common prefix nor a short probe makes pairs.
+    """
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    spark = probes.sparkSession
+    rows = keys.where("key is not null").groupBy(F.col("key").alias("value")).agg(F.count("*").alias("n"))
+    rows = rows.unionByName(probes.where(F.length("probe") >= least).select(F.col("probe").alias("value"), F.lit(0).cast("long").alias("n")).distinct())
+    names = ["task", "probe", "first", "n", "second", "n_second"]
+    types = [pa.int32(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+
+    def scan(batches):
+        task, above = TaskContext.get().partitionId(), [(None, None), (None, None)]
+        rows = 0
+        for batch in batches:
+            out = []
+            for value, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if n:
+                    above = [(value, n), above[0]]
+                else:
+                    out.append((task, value, *above[0], *above[1]))
+            rows += len(batch)
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True) if out else [[]] * 6, types, strict=True)], names)
+        if rows:  # the two least keys of the task
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((task, None, *above[0], *above[1]), types, strict=True)], names)
+
+    # a probe comes after an equal key on the way down, which it is then a prefix of
+    ordered = rows.repartitionByRange("value").sortWithinPartitions(F.desc("value"), F.desc("n"))
+    found = written(ordered.select("value", "n").mapInArrow(scan, "task int, probe string, first string, n long, second string, n_second long"), "probes")
+    carried, above = [], [(None, None), (None, None)]
+    for r in found.where("probe is null").orderBy(F.desc("task")).collect():  # one row a task
+        carried.append((r["task"], *above[0], above[1][0]))
+        above = ([x for x in ((r["first"], r["n"]), (r["second"], r["n_second"])) if x[0] is not None] + above)[:2]
+    after = spark.createDataFrame(carried, "task int, up string, n_up long, up2 string")
+    all_ = found.where("probe is not null").join(F.broadcast(after), "task", "left")
+    none = F.col("first").isNull()
+    key, n = F.coalesce("first", "up"), F.when(none, F.col("n_up")).otherwise(F.col("n"))
+    second = F.when(none, F.col("up2")).otherwise(F.coalesce("second", "up"))
+    only = key.startswith(F.col("probe")) & (n == 1) & ~F.coalesce(second.startswith(F.col("probe")), F.lit(False))
+    return all_.where(only).select("probe", key.alias("key"))
 
 
 def fingerprint(files: DataFrame, digits: int = 4) -> DataFrame:

@@ -43,9 +43,18 @@ def errors(*checks: tuple[str, Column]) -> Column:
 
 
 def imported(rows: DataFrame, doi: Column, same: list[str], order: str) -> DataFrame:
-    """Adds reason: no DOI, a repeat of an earlier row, or NULL where the row is taken."""
-    w = Window.partitionBy(*same).orderBy(order)
-    return rows.withColumn("_n", F.row_number().over(w)).withColumn("reason", F.when(doi.isNull(), "not a DOI").when(F.col("_n") > 1, "duplicate")).drop("_n")
+    """Adds reason: no DOI, a repeat of an earlier row, or NULL where the row is taken. order: one value a row.
+
+    The first row of a key is found by an aggregate, so keys that many rows share, blank ones too, are combined before they travel.
+    """
+    keyed = rows.withColumn("_doi", doi)
+    none, some = keyed.where("_doi is null"), keyed.where("_doi is not null")
+    first = some.groupBy(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(same)]).agg(F.min(order).alias("_first"))
+    on = None
+    for i, c in enumerate(same):
+        on = F.col(c).eqNullSafe(F.col(f"_s{i}")) if on is None else on & F.col(c).eqNullSafe(F.col(f"_s{i}"))
+    taken = some.join(first, on).withColumn("reason", F.when(F.col(order) > F.col("_first"), "duplicate"))
+    return taken.select(*rows.columns, "reason").unionByName(none.withColumn("reason", F.lit("not a DOI")).select(*rows.columns, "reason"))
 
 
 def recovered(sheets: DataFrame, logs: DataFrame, key: str, pattern: str) -> DataFrame:
@@ -74,10 +83,12 @@ def sheet(rows: DataFrame, anchors: str, allowed: list[str]) -> DataFrame:
 
 
 def complete(labels: DataFrame, wanted: DataFrame, unit: str, row: str, valid: list[str]) -> DataFrame:
-    """unit, complete: the labels returned are for exactly the rows asked for, all valid."""
-    got = labels.groupBy(unit).agg(F.array_sort(F.collect_set(row)).alias("_got"), F.bool_and(F.col("label").isin(valid)).alias("_ok"))
-    ask = wanted.groupBy(unit).agg(F.array_sort(F.collect_set(row)).alias("_ask"))
-    return ask.join(got, unit, "left").select(unit, (F.coalesce(F.col("_got") == F.col("_ask"), F.lit(False)) & F.coalesce("_ok", F.lit(False))).alias("complete"))
+    """unit, complete: the labels returned are for exactly the rows asked for, all valid. Rows are joined, so no set is gathered."""
+    got = labels.groupBy(unit, row).agg(F.bool_and(F.coalesce(F.col("label").isin(valid), F.lit(False))).alias("_ok"))
+    ask = wanted.select(unit, row).distinct().withColumn("_ask", F.lit(True))
+    right = F.coalesce(F.col("_ask") & F.col("_ok"), F.lit(False))  # asked for, returned and valid
+    both = ask.join(got, [unit, row], "full").groupBy(unit).agg(F.bool_and(right).alias("complete"), F.bool_or(F.coalesce("_ask", F.lit(False))).alias("_asked"))
+    return both.where("_asked").select(unit, "complete")
 
 
 def transcribed(c: Column) -> Column:

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from curata.functions import ids
+from curata.functions.storage import new_folder
 from curata.operators import catalog as cat
 from curata.operators import extraction, funnel, resolve, routing
 from curata.plans import fixtures as fx
 from curata.plans.catalogue import query, table
+from curata.sources import versions
 
 docs = lambda spark, d: table(spark, d, "documents")
 
@@ -320,14 +322,34 @@ def known_doi_index(spark, d):
     return cat.known_dois([a, b])
 
 
-@query("prefix_probe", "WITH k AS (SELECT '10.1000--name-' || lpad(doc_id::VARCHAR, 6, '0') || '-end' AS key FROM documents) SELECT substr(key, 1, length(key) - 2) AS probe, key FROM k")
+@query("prefix_probe", """WITH k AS (SELECT '10.1000--name-' || lpad(doc_id::VARCHAR, 6, '0') || '-' || md5(text) AS key FROM documents), p AS (SELECT DISTINCT substr(key, 1, 12 + length(key) * 7 % 11 + hash) AS probe FROM (SELECT key, CASE substr(key, 30, 1) WHEN 'a' THEN 3 WHEN 'b' THEN 20 ELSE 6 END AS hash FROM k))
+SELECT probe, min(key) AS key FROM p JOIN k ON starts_with(key, probe) GROUP BY probe HAVING count(*) = 1""")
 def prefix_probe(spark, d):
-    keys = docs(spark, d).select(F.concat(F.lit("10.1000--name-"), F.lpad(F.col("doc_id").cast("string"), 6, "0"), F.lit("-end")).alias("key"))
-    # probes share their first 12 characters here, so the equi-join is by a longer stem
-    probes = keys.select(F.expr("left(key, length(key) - 2)").alias("probe"))
-    short = lambda c: F.expr(f"substr({c}, 9)")
-    found = cat.prefix_probe(probes.select(short("probe").alias("probe")), keys.select(short("key").alias("key")))
-    return found.select(F.concat(F.lit("10.1000-"), "probe").alias("probe"), F.concat(F.lit("10.1000-"), "key").alias("key"))
+    """Names cut at several lengths, all below one common prefix of fourteen characters: many probes are a prefix of several."""
+    keys = docs(spark, d).select(F.concat(F.lit("10.1000--name-"), F.lpad(F.col("doc_id").cast("string"), 6, "0"), F.lit("-"), F.md5("text")).alias("key"))
+    cut = 12 + F.length("key") * 7 % 11 + F.expr("case substr(key, 30, 1) when 'a' then 3 when 'b' then 20 else 6 end")
+    return cat.prefix_probe(keys.select(F.left("key", cut).alias("probe")), keys)
+
+
+@query("versioned_upsert", "SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'changed' ELSE o_orderstatus END AS status, round(o_totalprice, 2) AS price FROM orders UNION ALL SELECT -1 - o_orderkey, 'new', round(o_totalprice, 2) FROM orders WHERE o_orderkey % 11 = 0")
+def versioned_upsert(spark, d):
+    """Two versions of a snapshot of all orders: some changed, each of them twice, and some new."""
+    folder, o = new_folder(spark, "versions"), table(spark, d, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"), F.round("o_totalprice", 2).alias("price"))
+    versions.create(o, folder, "o_orderkey", 16)
+    changed = o.where("o_orderkey % 7 = 0").withColumn("status", F.explode(F.array(F.lit("between"), F.lit("changed")))).withColumn("seq", F.when(F.col("status") == "changed", 2).otherwise(1))
+    new = o.where("o_orderkey % 11 = 0").select((-1 - F.col("o_orderkey")).alias("o_orderkey"), F.lit("new").alias("status"), "price", F.lit(0).alias("seq"))
+    versions.upsert(changed.unionByName(new), folder, "o_orderkey", "seq")
+    return versions.read(spark, folder)
+
+
+@query("versioned_rebuild", "SELECT c_custkey, c_mktsegment, c_custkey % 5 <> 0 AS stays FROM customer")
+def versioned_rebuild(spark, d):
+    """Stale rows go in the second version of all customers, and are still in the first."""
+    folder, c = new_folder(spark, "versions"), table(spark, d, "customer").select("c_custkey", "c_mktsegment")
+    versions.create(c, folder, "c_custkey", 16)
+    versions.drop_stale(c.where("c_custkey % 5 <> 0"), folder, "c_custkey")
+    left = versions.read(spark, folder).select("c_custkey", F.lit(True).alias("stays"))
+    return versions.read(spark, folder, 0).join(left, "c_custkey", "left").withColumn("stays", F.coalesce("stays", F.lit(False)))
 
 
 @query("tree_fingerprint", "WITH x AS (SELECT left(md5('p' || page_id), 4) AS part, 'p' || page_id || ':' || md5(url) AS line FROM pages), y AS (SELECT part || ':' || sha256(string_agg(line, chr(10) ORDER BY line)) AS line FROM x GROUP BY part) SELECT left(sha256(string_agg(line, chr(10) ORDER BY line)), 16) AS fingerprint FROM y")

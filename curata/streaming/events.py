@@ -67,14 +67,32 @@ def appended(spark: SparkSession, schema, folder: str) -> DataFrame:
     return spark.read.schema(schema).option("basePath", folder).parquet(f"{folder}/batch=*")
 
 
-def put_unseen(batch: DataFrame, number: int, keys: list[str], folder: str) -> None:
-    """Puts a batch's new rows where they replace those of an earlier attempt at it, which don't count as known."""
+BUCKETS = 64  # of the index of keys, beside the table: a batch reads those that its own keys fall into
+
+
+def put_unseen(batch: DataFrame, number: int, keys: list[str], folder: str, buckets: int = BUCKETS) -> None:
+    """Puts a batch's new rows where they replace those of an earlier attempt at it, which don't count as known.
+
+    What the table knows is kept by key: each batch writes the keys of the rows it put, in buckets of their hashes, and a
+    later one looks its own keys up in the buckets they fall into, whatever columns and rows the table has.
+    """
     spark = batch.sparkSession
-    pairs = lambda df: df.select("seq", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).cast("string").alias("key")) for k in keys])).alias("x")).select("seq", "x.*").where("key is not null and key <> ''")
+
+    def pairs(df):
+        one = df.select("seq", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).cast("string").alias("key")) for k in keys])).alias("x"))
+        return one.select("seq", "x.*").where("key is not null and key <> ''").withColumn("bucket", F.pmod(F.xxhash64("kind", "key"), F.lit(buckets)).cast("int"))
+
     mine = pairs(batch)
     first = mine.groupBy("kind", "key").agg(F.min("seq").alias("head"))
     bad = mine.join(first, ["kind", "key"]).where("seq > head").select("seq")
-    if number:  # every batch is written, an empty one too
-        before = spark.read.schema(T.StructType([*batch.schema.fields, T.StructField("batch", T.LongType())])).parquet(folder).where(F.col("batch") < number)
-        bad = bad.union(mine.join(pairs(before).select("kind", "key").distinct(), ["kind", "key"], "left_semi").select("seq"))
+    if number:
+        bad = bad.union(mine.join(known_keys(spark, folder, number, [r["bucket"] for r in mine.select("bucket").distinct().collect()]), ["kind", "key"], "left_semi").select("seq"))
     batch.join(bad.distinct(), "seq", "left_anti").select(*batch.columns).write.mode("overwrite").parquet(f"{folder}/batch={number}")
+    put = spark.read.schema(batch.schema).parquet(f"{folder}/batch={number}")
+    pairs(put).select("kind", "key", "bucket").distinct().repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}-keys/batch={number}")
+
+
+def known_keys(spark: SparkSession, folder: str, number: int, buckets: list[int]) -> DataFrame:
+    """kind, key of the rows put by batches before that number, of these buckets (one value a bucket) alone."""
+    index = spark.read.schema("kind string, key string, batch long, bucket int").option("basePath", f"{folder}-keys").parquet(f"{folder}-keys")
+    return index.where((F.col("batch") < number) & F.col("bucket").isin(buckets)).select("kind", "key")
