@@ -321,6 +321,36 @@ def filled_template(template: str, values: dict[str, Column]) -> Column:
     return F.concat(*parts)
 
 
+# Lines that open and close a block of a template.
+MODE_OPEN, MODE_CLOSE = r"^\s*<!--\s*mode:([a-z_]+)\s*-->\s*$", r"^\s*<!--\s*/mode\s*-->\s*$"
+
+
+def mode_blocks(template: Column, tags: list[str]) -> Column:
+    """struct(text, error): the template without its marker lines and without blocks of other modes than tags.
+
+    A fold over its lines, with the block that is open as its state; error (and no text) where a block opens within
+    another, closes without one, or doesn't close. With the tag core, commas before a closing brace on a line of its own go.
+    """
+    lines = F.split(template, "(?<=\n)")
+    text = F.lit("").cast("string")
+    start = F.struct(text.alias("open"), text.alias("text"), F.lit(None).cast("string").alias("error"))
+
+    def step(s, line):
+        mode = F.regexp_extract(line, MODE_OPEN, 1)
+        closes = line.rlike(MODE_CLOSE)
+        error = F.when((mode != "") & (s["open"] != ""), F.concat(F.lit("mode:"), mode, F.lit(" opens inside mode:"), s["open"])).when(closes & (s["open"] == ""), "a block closes that is not open")
+        kept = (mode == "") & ~closes & ((s["open"] == "") | s["open"].isin(tags))
+        opened = F.when(mode != "", mode).when(closes, "").otherwise(s["open"])
+        return F.struct(opened.alias("open"), F.concat(s["text"], F.when(kept, line).otherwise("")).alias("text"), F.coalesce(s["error"], error).alias("error"))
+
+    def finish(s):
+        error = F.coalesce(s["error"], F.when(s["open"] != "", F.concat(F.lit("mode:"), s["open"], F.lit(" is not closed"))))
+        whole = F.regexp_replace(s["text"], r",([ \t]*\n[ \t]*\})", "$1") if "core" in tags else s["text"]
+        return F.struct(F.when(error.isNull(), whole).alias("text"), error.alias("error"))
+
+    return F.aggregate(lines, start, step, finish)
+
+
 def source_bucket(validated_person: Column, source: Column, ai_version: Column) -> Column:
     person, origin = F.lower(F.coalesce(validated_person, F.lit(""))), F.lower(F.coalesce(source, F.lit("")))
     return (

@@ -14,11 +14,6 @@ from curata.operators.extraction import provenance_problems
 from curata.operators.sampling import order_of, stratified
 from curata.sources import readers
 
-# Where labels of a person come from.
-PROVENANCE_BY_PERSON = {"FReD_API_team": "external:fred_api", "Dan Elton": "human:dan_elton", "forrt.org team: LK": "human:forrt_lk", "forrt.org team: CD": "human:forrt_cd"}
-FROM_API = "external:fred_api"
-
-
 @dataclass
 class Spec:
     """A set of labels: its CSV, its negatives' CSV, and what is true of all its rows."""
@@ -146,29 +141,28 @@ def export(decisions: DataFrame, kind: str) -> tuple[DataFrame, DataFrame, DataF
     return e.select(F.concat("folder", F.lit("#"), "e.effect_id").alias("row_id"), "folder", "replication_doi", "provenance", url.alias("original_url"), F.coalesce("e.result", F.lit("")).alias("result")), negatives, skipped
 
 
-def provenance_of(person: Column) -> Column:
-    return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in PROVENANCE_BY_PERSON.items() for x in kv]), person), F.lit("unknown"))
-
-
 def _same(c: str) -> Column:
     return F.coalesce(normalize_doi(F.col(c)), F.lower(F.coalesce(c, F.lit(""))))
 
 
-def legacy_split(rows: DataFrame, earlier: DataFrame) -> DataFrame:
+def legacy_split(rows: DataFrame, earlier: DataFrame, people: DataFrame, external: str = "external") -> DataFrame:
     """seq, provenance, part, fix_note, result_before, needs_adjudication of each of rows(seq, original_url, replication_url,
     description, result, validated_person), by an earlier version of the table.
 
-    part is self_replication or duplicate (which go), external or human. A label is a flip if it isn't that of the only
+    people(person, provenance) says where a person's labels come from, unknown of all others. part is self_replication or
+    duplicate (which go), external - provenances that begin so - or human. A label is a flip if it isn't that of the only
     earlier row of the pair, which must be the only one of the pair now, too.
     """
     own = rows.withColumns({"_o": _same("original_url"), "_p": _same("replication_url"), "_d": F.lower(F.trim(F.coalesce("description", F.lit(""))))})
     counts = own.groupBy("_o", "_p").agg(F.count("*").alias("_n"))
     first = own.where((F.col("_o") == "") | (F.col("_o") != F.col("_p"))).groupBy("_o", "_p", "_d").agg(F.min("seq").alias("_first"))
     before = earlier.select(_same("original_url").alias("_o"), _same("replication_url").alias("_p"), F.lower(F.trim(F.coalesce("result", F.lit("")))).alias("_r")).groupBy("_o", "_p").agg(F.count("*").alias("_m"), F.min("_r").alias("_r"))
+    known = people.groupBy(F.col("person").alias("validated_person")).agg(F.min("provenance").alias("_provenance"))
+    own = own.withColumn("validated_person", F.coalesce("validated_person", F.lit(""))).join(known, "validated_person", "left")
     j = own.join(counts, ["_o", "_p"]).join(first, ["_o", "_p", "_d"], "left").join(before, ["_o", "_p"], "left")
     self_ = (F.col("_o") != "") & (F.col("_o") == F.col("_p"))
-    provenance = provenance_of(F.coalesce("validated_person", F.lit("")))
-    part = F.when(self_, "self_replication").when(F.col("seq") > F.col("_first"), "duplicate").when(provenance == FROM_API, "external").otherwise("human")
+    provenance = F.coalesce("_provenance", F.lit("unknown"))
+    part = F.when(self_, "self_replication").when(F.col("seq") > F.col("_first"), "duplicate").when(provenance.startswith(external), "external").otherwise("human")
     single = ~part.isin("self_replication", "duplicate") & F.coalesce((F.col("_m") == 1) & (F.col("_n") == 1), F.lit(False))
     now = F.lower(F.trim(F.coalesce("result", F.lit(""))))
     flip = single & (F.col("_r") != "") & (now != "") & (F.col("_r") != now)

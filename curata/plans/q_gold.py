@@ -172,11 +172,11 @@ def reversal_collapse(spark, d):
     return docs(spark, d).select("doc_id", text.collapsed_result(F.when(i % 4 == 0, "Success ").otherwise(" Reversal"), i % 2 == 0).alias("result"))
 
 
-_OLD = """x AS (SELECT doc_id, doc_id // 2 AS pair, doc_id % 13 = 12 AS self, CASE doc_id % 3 WHEN 0 THEN 'external:fred_api' WHEN 1 THEN 'human:dan_elton' ELSE 'unknown' END AS provenance, doc_id // 2 % 5 AS k, doc_id % 2 AS h FROM documents),
+_OLD = """x AS (SELECT doc_id, doc_id // 2 AS pair, doc_id % 13 = 12 AS self, CASE doc_id % 3 WHEN 0 THEN 'external:service' WHEN 1 THEN 'human:one' ELSE 'unknown' END AS provenance, doc_id // 2 % 5 AS k, doc_id % 2 AS h FROM documents),
  y AS (SELECT *, count(*) OVER (PARTITION BY pair, self, CASE WHEN self THEN doc_id END) AS n, row_number() OVER (PARTITION BY pair, self, CASE WHEN k = 0 THEN 0 ELSE h END ORDER BY doc_id) AS r FROM x)"""
 
 
-@query("legacy_split", f"""WITH {_OLD} SELECT doc_id AS seq, provenance, CASE WHEN self THEN 'self_replication' WHEN r > 1 THEN 'duplicate' WHEN provenance = 'external:fred_api' THEN 'external' ELSE 'human' END AS part,
+@query("legacy_split", f"""WITH {_OLD} SELECT doc_id AS seq, provenance, CASE WHEN self THEN 'self_replication' WHEN r > 1 THEN 'duplicate' WHEN provenance = 'external:service' THEN 'external' ELSE 'human' END AS part,
  CASE WHEN NOT self AND NOT r > 1 AND n > 1 THEN 'several effects of one pair' ELSE '' END AS fix_note, CASE WHEN NOT self AND n = 1 THEN CASE WHEN doc_id % 7 = 0 THEN 'failure' ELSE 'success' END ELSE '' END AS result_before, CASE WHEN NOT self AND n = 1 AND doc_id % 7 = 0 THEN 'yes' ELSE '' END AS needs_adjudication FROM y""")
 def legacy_split(spark, d):
     """Pairs of documents as rows of one pair of studies, some of them exact repeats, some of a study with itself."""
@@ -184,10 +184,11 @@ def legacy_split(spark, d):
     self_ = i % 13 == 12
     doi = lambda kind: F.concat(F.lit(f"10.1000/{kind}"), _s(pair))
     own = F.concat(F.lit("10.1000/s"), _s(i))
-    person = F.element_at(F.array(*map(F.lit, ["FReD_API_team", "Dan Elton", "someone"])), (i % 3 + 1).cast("int"))
+    person = F.element_at(F.array(*map(F.lit, ["service", "person one", "someone"])), (i % 3 + 1).cast("int"))
     rows = docs(spark, d).select(i.alias("seq"), F.when(self_, own).otherwise(doi("o")).alias("original_url"), F.when(self_, F.concat(F.lit("https://doi.org/"), own)).otherwise(doi("r")).alias("replication_url"), F.when(pair % 5 == 0, " Same").otherwise(F.concat(F.lit("d"), _s(i % 2))).alias("description"), F.lit("Success").alias("result"), person.alias("validated_person"))
     earlier = rows.select("original_url", "replication_url", F.when(F.col("seq") % 7 == 0, "failure").otherwise(" success").alias("result"))
-    return gold.legacy_split(rows, earlier)
+    people = rows.select(F.col("validated_person").alias("person")).distinct().withColumn("provenance", F.when(F.col("person") == "service", "external:service").when(F.col("person") == "person one", "human:one")).where("provenance is not null")
+    return gold.legacy_split(rows, earlier, people)
 
 
 @query("best_candidates", "WITH x AS (SELECT conv_id AS p, turn AS n, count(*) OVER (PARTITION BY conv_id) AS k FROM conversations) SELECT p AS paper, n AS ext, k AS n_candidates, n AS gt, 3 AS score, 1.0::DOUBLE AS title, 1.0::DOUBLE AS authors, TRUE AS same_year, 'same research group; same year; weak topical overlap: ' || md5(p || '.' || n) AS note FROM x")
@@ -349,6 +350,10 @@ _XML = '<?xml version="1.0"?>'
 
 @query("workbook_cells", "SELECT page_id AS book, r AS row, c AS pos, CASE WHEN r = 0 THEN (['Title', 'DOI', 'n'])[c + 1] ELSE (['A & B ' || page_id, '10.1000/x' || r, (page_id + r)::VARCHAR])[c + 1] END AS cell FROM pages, (SELECT unnest([0, 1, 3]) AS r), (SELECT unnest([0, 1, 2]) AS c)")
 def workbook_cells(spark, d):
+    return readers.workbook_cells(_workbooks(spark, d)).select(F.col("path").cast("long").alias("book"), "row", "pos", "cell")
+
+
+def _workbooks(spark, d):
     """A workbook a page: shared, inline and plain cells, a row left out, and a second sheet that isn't read."""
     import io
     import zipfile
@@ -370,7 +375,7 @@ def workbook_cells(spark, d):
 
     made = F.pandas_udf(lambda s: pd.Series([book(n) for n in s]), "binary")
     files = table(spark, d, "pages").select(_s("page_id").alias("path"), made("page_id").alias("content"))
-    return readers.workbook_cells(files).select(F.col("path").cast("long").alias("book"), "row", "pos", "cell")
+    return files
 
 
 @query("filled_templates", "SELECT page_id, '{page} ' || page_id || ' at ' || md5(url) || '.' AS text FROM pages")
@@ -381,3 +386,13 @@ def filled_templates(spark, d):
 @query("group_order", "SELECT source AS root, row_number() OVER (ORDER BY min(doc_id)) - 1 AS position FROM documents GROUP BY 1")
 def group_order(spark, d):
     return resolve.in_order(docs(spark, d).select(F.col("doc_id").alias("seq"), F.col("source").alias("root")))
+
+
+_ROWS = "SELECT page_id AS book, r AS row, map(['Title', 'DOI', 'n'], ['A & B ' || page_id, '10.1000/x' || r, (page_id + r)::VARCHAR]) AS m FROM pages, (SELECT unnest([1, 3]) AS r)"
+
+
+@query("workbook_rows", f"SELECT book, row, m['Title'] AS title, m['DOI'] AS doi, m['n'] AS n FROM ({_ROWS})")
+def workbook_rows(spark, d):
+    """The same workbooks as tables: cells by the names in their first row."""
+    rows = readers.workbook_rows(_workbooks(spark, d))
+    return rows.select(F.col("path").cast("long").alias("book"), "row", F.col("cells")["Title"].alias("title"), F.col("cells")["DOI"].alias("doi"), F.col("cells")["n"].alias("n"))

@@ -388,3 +388,20 @@ def folded_names(spark, d):
 def table_splice(spark, d):
     md = F.concat(F.lit("intro\n| a | b |\n| 1 | "), F.col("page_id").cast("string"), F.lit(" |\nend"))
     return table(spark, d, "pages").select("page_id", text.splice_tables(md, F.when(F.col("page_id") % 2 == 0, '["<table/>"]').otherwise("[]")).alias("text"))
+
+
+_TEMPLATE = "regexp_replace(text, '([^\n]{40})', '\\1' || chr(10), 'g')"
+
+
+@query("mode_blocks", f"""WITH t AS (SELECT doc_id, {_TEMPLATE} AS b FROM documents)
+SELECT doc_id, md5(CASE doc_id % 5 WHEN 0 THEN b || chr(10) || b WHEN 1 THEN b || chr(10) || 'end' WHEN 2 THEN b END) AS digest, CASE doc_id % 5 WHEN 2 THEN NULL WHEN 3 THEN 'mode:core opens inside mode:full' WHEN 4 THEN CASE WHEN doc_id % 2 = 0 THEN 'mode:full is not closed' ELSE 'a block closes that is not open' END END AS error FROM t""")
+def mode_blocks(spark, d):
+    """Whole texts, cut into lines, within blocks that stay, go, or are put wrongly."""
+    body, i = F.regexp_replace("text", "([^\n]{40})", "$1\n"), F.col("doc_id")
+    opened, core, closed = "<!-- mode:full -->\n", "<!-- mode:core -->\n", " <!-- /mode -->\n"
+    template = (
+        F.when(i % 5 == 0, F.concat(body, F.lit("\n" + opened), body, F.lit("\n" + closed))).when(i % 5 == 1, F.concat(body, F.lit("\n" + core), body, F.lit("\n" + closed + "end"))).when(i % 5 == 2, body)
+        .when(i % 5 == 3, F.concat(F.lit(opened), body, F.lit("\n" + core + closed))).when(i % 2 == 0, F.concat(F.lit(opened), body)).otherwise(F.concat(body, F.lit("\n" + closed)))
+    )
+    found = docs(spark, d).withColumn("x", text.mode_blocks(template, ["full"]))
+    return found.select("doc_id", F.md5(F.when(i % 5 == 0, F.expr("left(x.text, length(x.text) - 1)")).otherwise(F.col("x.text"))).alias("digest"), "x.error")

@@ -29,9 +29,10 @@ def workbooks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def workbook_cells(files: DataFrame) -> DataFrame:
-    """path, row, pos, cell of workbooks(path, content): the first sheet's cells that aren't empty, rows and columns from 0.
+    """path, row, pos, cell of workbooks(path, content): cells of the sheet that is open, if not empty, rows and columns from 0.
 
-    A file that isn't a workbook has none, a damaged one those before the damage. Sheets are parsed as a stream, so a task holds one file and its strings.
+    The sheet is the one that the workbook's own list names as the active, else the first in it. A file that isn't a
+    workbook has no cells, a damaged one those before the damage. Sheets are parsed as a stream, so a task holds one file and its strings.
     """
     def run(batches):
         import pyarrow as pa
@@ -52,25 +53,61 @@ def workbook_cells(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInArrow(run, "path string, row long, pos int, cell string")
 
 
+def workbook_rows(files: DataFrame) -> DataFrame:
+    """path, row, cells (map of header -> trimmed text) of workbooks(path, content): each sheet as a table.
+
+    The first row is the header; rows whose cells are all blank are none; of columns with one header the last counts; a
+    cell that isn't there is empty, one without a header is left out.
+    """
+    cells = workbook_cells(files)
+    header = cells.where("row = 0").groupBy("path").agg(F.array_sort(F.collect_list(F.struct("pos", "cell"))).alias("header"))  # one row of a sheet
+    rows = cells.where("row > 0 and trim(cell) <> ''").groupBy("path", "row").agg(F.map_from_entries(F.collect_list(F.struct("pos", F.trim("cell").alias("cell")))).alias("at"))
+    last = F.filter("header", lambda h, i: ~F.exists(F.slice("header", i + 2, F.size("header")), lambda x: x["cell"] == h["cell"]))
+    named = F.map_from_entries(F.transform(last, lambda h: F.struct(h["cell"].alias("k"), F.coalesce(F.try_element_at("at", h["pos"]), F.lit("")).alias("v"))))
+    return rows.join(header, "path").select("path", "row", named.alias("cells"))
+
+
+def _open_sheet(book) -> str | None:
+    """The part that holds a workbook's active sheet, by its own list; without one, the sheet of the least number."""
+    import re
+    from xml.etree import ElementTree
+
+    name = lambda e: e.tag.rpartition("}")[2]
+    parts = book.namelist()
+    if "xl/workbook.xml" in parts and "xl/_rels/workbook.xml.rels" in parts:
+        own = list(ElementTree.fromstring(book.read("xl/workbook.xml")).iter())
+        listed = [next(v for k, v in e.items() if k.rpartition("}")[2] == "id") for e in own if name(e) == "sheet" and any(k.endswith("}id") for k in e.keys())]
+        active = int(next((e.get("activeTab", "0") for e in own if name(e) == "workbookView"), "0"))
+        where = {e.get("Id"): e.get("Target", "") for e in ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels")).iter() if name(e) == "Relationship"}
+        if listed:
+            target = where.get(listed[active if active < len(listed) else 0], "")
+            target = target.lstrip("/") if target.startswith("/") else f"xl/{target}"
+            if target in parts:
+                return target
+    sheets = sorted((n for n in parts if re.fullmatch(r"xl/worksheets/sheet\d+\.xml", n)), key=lambda n: int(re.sub(r"\D", "", n)))
+    return sheets[0] if sheets else None
+
+
 def _sheet(content: bytes):
-    """(row, column, text) of the cells of a workbook's first sheet."""
+    """(row, column, text) of the cells of a workbook's open sheet, up to where it is damaged."""
     import io
     import re
     import zipfile
+    import zlib
     from xml.etree import ElementTree
 
     name = lambda e: e.tag.rpartition("}")[2]
     text = lambda e: "".join(t.text or "" for t in e.iter() if name(t) == "t")
     try:
         book = zipfile.ZipFile(io.BytesIO(content))
-        sheets = sorted((n for n in book.namelist() if re.fullmatch(r"xl/worksheets/sheet\d+\.xml", n)), key=lambda n: int(re.sub(r"\D", "", n)))
+        sheet = _open_sheet(book)
         strings, row, pos = [], -1, -1
         if "xl/sharedStrings.xml" in book.namelist():
             for _, e in ElementTree.iterparse(book.open("xl/sharedStrings.xml")):
                 if name(e) == "si":
                     strings.append(text(e))
                     e.clear()
-        for event, e in ElementTree.iterparse(book.open(sheets[0]), events=("start", "end")) if sheets else ():
+        for event, e in ElementTree.iterparse(book.open(sheet), events=("start", "end")) if sheet else ():
             if event == "start" and name(e) == "row":
                 row, pos = int(e.get("r", row + 2)) - 1, -1
             elif event == "end" and name(e) == "c":
@@ -82,8 +119,8 @@ def _sheet(content: bytes):
                     yield row, pos, value
             elif event == "end" and name(e) == "row":
                 e.clear()
-    except (zipfile.BadZipFile, ElementTree.ParseError):
-        return
+    except (zipfile.BadZipFile, ElementTree.ParseError, IndexError, KeyError, ValueError, EOFError, zlib.error, NotImplementedError, RuntimeError, OSError, StopIteration):
+        return  # what these say of a part that is cut off, names what isn't there, or is packed or locked in a way unknown
 
 
 def json_lines(spark: SparkSession, path: str, schema) -> DataFrame:
