@@ -70,3 +70,30 @@ def frame(rows: DataFrame, strata: list[tuple[str, Column, int]], key: str, seed
         rest = rest.join(got.select(key), key, "left_anti")
         out = got if out is None else out.unionByName(got)
     return out
+
+
+def quota_frame(members: DataFrame, quotas: DataFrame, key: str, seed: str, excluded: DataFrame | None = None) -> DataFrame:
+    """key, stratum, cell: a sampling frame of strata with cells and quotas, told as data, in one plan whatever their number.
+
+    members(key, stratum, cell, tier): what each key could stand for; several strata are allowed. quotas(stratum, seq, cell, n,
+    total, instead): n rows of a cell in hash order (null: all), rows of a lower tier first - or, with instead, rows of
+    the lowest tier there is alone; then rows of any cell of the stratum, lower tiers first, up to its total (null: none). Strata draw from
+    all of their members, and a key that several draw stands in the first by seq. excluded(key) is never drawn.
+    """
+    rows = members if excluded is None else members.join(excluded.select(key).distinct(), key, "left_anti")
+    most = quotas.agg(F.max(F.greatest(F.coalesce("n", F.lit(0)), F.coalesce("total", F.lit(0)))).alias("m"), F.count_if(F.col("n").isNull()).alias("open")).first()
+    q = F.broadcast(quotas.select("stratum", "seq", "cell", "n", "total", F.coalesce("instead", F.lit(False)).alias("instead")))  # one row a cell
+    own = rows.select(key, "stratum", "cell", F.coalesce("tier", F.lit(0)).alias("tier")).join(q, ["stratum", "cell"])
+    own = own.withColumn("_h", order_of(seed, F.concat_ws(":", "stratum", F.col(key).cast("string"))))
+    lowest = own.groupBy("stratum", "cell").agg(F.min("tier").alias("_lowest"))
+    # a row that more of its cell precede than any quota asks for can't be drawn, so each task keeps few of a cell
+    first = own.withColumn("_r", F.row_number().over(Window.partitionBy("stratum", "cell").orderBy("tier", "_h", key)))
+    first = first if most["open"] else first.where(F.col("_r") <= int(most["m"] or 0))
+    first = first.join(F.broadcast(lowest), ["stratum", "cell"])  # one row a cell
+    drawn = (F.col("n").isNull() | (F.col("_r") <= F.col("n"))) & (~F.col("instead") | (F.col("tier") == F.col("_lowest")))
+    first = first.withColumn("_late", F.when(drawn, 0).otherwise(1))
+    rank = F.row_number().over(Window.partitionBy("stratum").orderBy("_late", "tier", "_h", key))
+    named = first.where("_late = 0").select(key, "seq", "stratum", "cell")
+    more = first.where("total is not null").withColumn("_t", rank).where((F.col("_late") == 1) & (F.col("_t") <= F.col("total"))).select(key, "seq", "stratum", "cell")
+    taken = named.unionByName(more).groupBy(key).agg(F.min(F.struct("seq", "stratum", "cell")).alias("x"))
+    return taken.select(key, "x.stratum", "x.cell")

@@ -388,3 +388,21 @@ def snapshot_export(spark, d):
 @query("unit_hashes", "SELECT doc_id, ('0x' || substr(sha256('u:' || doc_id), 1, 8))::BIGINT / 4294967296.0 AS u FROM documents")
 def unit_hashes(spark, d):
     return docs(spark, d).select("doc_id", unit_hash(F.lit("u"), F.col("doc_id").cast("string")).alias("u"))
+
+
+_STRATA = "(VALUES ('lang', 1, 'de', 6, NULL::INT, FALSE), ('lang', 1, 'en', 4, NULL, TRUE), ('lang', 1, 'fr', 5, NULL, FALSE), ('size', 2, '0', 3, 14, FALSE), ('size', 2, '1', 3, 14, FALSE), ('size', 2, '2', 3, 14, FALSE), ('labelled', 3, '0', NULL, NULL, FALSE)) q(stratum, seq, cell, n, total, instead)"
+
+
+@query("quota_frame", f"""WITH q AS (SELECT * FROM {_STRATA}), m AS (SELECT doc_id, 'lang' AS stratum, lang AS cell, (n_chars % 2)::INT AS tier FROM documents UNION ALL SELECT doc_id, 'size', (length(text) // 700 % 3)::VARCHAR, 0 FROM documents UNION ALL SELECT doc_id, 'labelled', (quality + 2 * (doc_id % 3))::VARCHAR, 0 FROM labels),
+o AS (SELECT m.*, seq, n, total, instead, sha256('quota:' || stratum || ':' || doc_id) AS h FROM m JOIN q USING (stratum, cell) WHERE doc_id % 10 <> 3),
+r AS (SELECT *, row_number() OVER (PARTITION BY stratum, cell ORDER BY tier, h, doc_id) AS r, min(tier) OVER (PARTITION BY stratum, cell) AS low FROM o),
+d AS (SELECT *, CASE WHEN (n IS NULL OR r <= n) AND (NOT instead OR tier = low) THEN 0 ELSE 1 END AS late FROM r), t AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY late, tier, h, doc_id) AS t FROM d),
+p AS (SELECT * FROM t WHERE late = 0 OR t <= total) SELECT doc_id, arg_min(stratum, seq) AS stratum, arg_min(cell, seq) AS cell FROM p GROUP BY doc_id""")
+def quota_frame(spark, d):
+    """Cells by language with preferred rows, by length with a total, and all of one kind of labels; a tenth of the ids is excluded."""
+    t = docs(spark, d)
+    size, labels = F.expr("length(text) div 700") % 3, table(spark, d, "labels")
+    members = t.select("doc_id", F.lit("lang").alias("stratum"), F.col("lang").alias("cell"), (F.col("n_chars") % 2).cast("int").alias("tier")).unionByName(t.select("doc_id", F.lit("size").alias("stratum"), size.cast("string").alias("cell"), F.lit(0).alias("tier")))
+    members = members.unionByName(labels.select("doc_id", F.lit("labelled").alias("stratum"), (F.col("quality") + 2 * (F.col("doc_id") % 3)).cast("string").alias("cell"), F.lit(0).alias("tier")))
+    quotas = spark.createDataFrame([("lang", 1, "de", 6, None, False), ("lang", 1, "en", 4, None, True), ("lang", 1, "fr", 5, None, False), *(("size", 2, str(k), 3, 14, False) for k in range(3)), ("labelled", 3, "0", None, None, False)], "stratum string, seq int, cell string, n int, total int, instead boolean")
+    return sampling.quota_frame(members, quotas, "doc_id", "quota", t.where("doc_id % 10 = 3").select("doc_id"))
