@@ -245,6 +245,14 @@ def search_openalex(spark, d):
     return readers.recorded(_pages(spark, d, item, "results"), "openalex")
 
 
+@query("search_openalex_broad", _sql("openalex_broad", title="CASE WHEN doc_id % 3 = 0 THEN '' ELSE text END", authors="''", journal="''", year="CASE WHEN doc_id % 2 = 0 THEN '' ELSE '1999' END"))
+def search_openalex_broad(spark, d):
+    """Works of a broad search: fields that are absent, or of null objects, are empty."""
+    none = F.lit(None).cast("struct<source: struct<display_name: string>>")
+    item = F.struct(_DOI().alias("doi"), F.when(F.col("doc_id") % 3 > 0, F.col("text")).alias("title"), none.alias("primary_location"), F.when(F.col("doc_id") % 2 == 1, 1999).alias("publication_year"))
+    return readers.recorded(_pages(spark, d, item, "results"), "openalex_broad")
+
+
 @query("search_europepmc", _sql("europepmc", pmid="CASE WHEN doc_id % 2 = 0 THEN doc_id::VARCHAR ELSE '' END"))
 def search_europepmc(spark, d):
     item = F.struct(F.when(F.col("doc_id") % 2 == 0, _s("doc_id")).alias("pmid"), _DOI().alias("doi"), F.col("text").alias("title"), F.concat(_A(), F.lit("; B")).alias("authorString"), F.lit("J").alias("journalTitle"), F.lit(2001).alias("pubYear"))

@@ -152,9 +152,10 @@ _TOK = lambda c: rf"list_filter(list_distinct(regexp_extract_all(regexp_replace(
 
 @query("dice_pairs", f"WITH x AS (SELECT d.doc_id, {_TOK('d.text')} AS a, {_TOK('e.text')} AS b FROM documents d JOIN documents e ON e.doc_id = d.doc_id + 1) SELECT doc_id, round(CASE WHEN len(a) > 0 AND len(b) > 0 THEN 2.0 * len(list_intersect(a, b)) / (len(a) + len(b)) ELSE 0 END, 9) AS dice FROM x")
 def dice_pairs(spark, d):
-    a = docs(spark, d).select("doc_id", F.col("text").alias("a"))
-    b = docs(spark, d).select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("b"))
-    return a.join(b, "doc_id").select("doc_id", F.round(text.claim_dice(F.col("a"), F.col("b")), 9).alias("dice"))
+    # the regular expressions run once a text, and words are what is shuffled
+    parts = docs(spark, d).select("doc_id", text.claim_parts(F.col("text")).alias("a"))
+    b = parts.select((F.col("doc_id") - 1).alias("doc_id"), F.col("a").alias("b"))
+    return parts.join(b, "doc_id").select("doc_id", F.round(text.dice_of_parts(F.col("a"), F.col("b")), 9).alias("dice"))
 
 
 _LINES = "list_filter(list_transform(str_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> '' AND NOT regexp_matches(x, '^[#>|<]'))"
