@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curata.functions.ids import doi_to_folder, normalize_doi, split_of
+from curata.functions.storage import written
 from curata.functions.text import last_names, norm, overlap, string_ratio, year_match
 from curata.functions.validate import TYPE_COLLAPSE
 from curata.operators.extraction import provenance_problems
@@ -214,3 +215,34 @@ def pilot(rows: DataFrame, usable: DataFrame, n_multi: int, n_single: int, seed:
     ranked = spare.withColumn("_r", F.row_number().over(Window.orderBy("_h", "row_id")))  # n_multi + n_single rows at most
     more = ranked.join(F.broadcast(lost), (F.col("_r") <= n_multi + n_single - F.col("_k")) & (F.col("_p") > F.col("_k"))).select("row_id", "multi")
     return kept.unionByName(more)
+
+
+def enhanced(labels: DataFrame, found: DataFrame, fields: list[str]) -> DataFrame:
+    """paper, gt, ext, change, n_filled and fields of every label, and of what a finder adds to it.
+
+    labels: paper, gt, g_doi, g_title, g_authors, g_year and (g_) fields; found: paper, ext, and the same as e_. A label takes
+    the first found entry of its paper, by ext, that agrees in two of title (ratio 0.75), authors and year; several may
+    take one. Its blank fields are filled from that. Entries whose title is like no label's of the paper (0.8) are
+    added, once for each label of the paper that took another entry. change is kept (the paper has no entries, or
+    nothing was blank), filled, added or review (entries, but none agrees).
+    """
+    from curata.functions.text import authors_match, letters, letters_could_reach
+    from curata.operators.matching import pairs_in_block
+
+    like = pairs_in_block(labels, found, "paper")
+    near = letters_could_reach(F.col("g_letters"), F.col("e_letters"), 0.75)
+    score = (string_ratio(*(F.when(near, F.col(c)).otherwise("") for c in ("g_title", "e_title"))) >= 0.75).cast("int") + authors_match(F.col("g_authors"), F.col("e_authors")).cast("int") + year_match(F.col("g_year"), F.col("e_year")).cast("int")
+    took = like.where(score >= 2).groupBy("paper", "gt").agg(F.min("ext").alias("ext"))
+    took = written(took, "taken")
+    titles = labels.select("paper", "g_title", letters("g_title").alias("_g")).join(found.select("paper", "ext", "e_title", letters("e_title").alias("_e")), "paper").where(letters_could_reach(F.col("_g"), F.col("_e"), 0.8))
+    known = titles.where(string_ratio("g_title", "e_title") >= 0.8).select("paper", "ext").distinct()
+    new = found.join(known, ["paper", "ext"], "left_anti")
+    blank = lambda c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) == ""
+    own = labels.join(took, ["paper", "gt"], "left").join(found.select("paper", "ext", *(f"e_{f}" for f in fields)), ["paper", "ext"], "left")
+    fill = {f: blank(f"g_{f}") & ~blank(f"e_{f}") for f in fields}
+    n = sum((F.coalesce(x, F.lit(False)).cast("int") for x in fill.values()), F.lit(0))
+    there = found.select("paper").distinct().withColumn("_there", F.lit(True))
+    change = F.when(F.col("ext").isNull() & F.col("_there"), "review").when(n > 0, "filled").otherwise("kept")
+    rows = own.join(there, "paper", "left").select("paper", "gt", "ext", change.alias("change"), n.alias("n_filled"), *(F.when(fill[f], F.col(f"e_{f}")).otherwise(F.col(f"g_{f}")).alias(f) for f in fields))
+    added = took.select("paper", "gt", F.col("ext").alias("_own")).join(new, "paper").where(F.col("ext") != F.col("_own"))
+    return rows.unionByName(added.select("paper", "gt", "ext", F.lit("added").alias("change"), F.lit(0).alias("n_filled"), *(F.col(f"e_{f}").alias(f) for f in fields)))

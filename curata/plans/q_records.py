@@ -331,25 +331,25 @@ def prefix_probe(spark, d):
     return cat.prefix_probe(keys.select(F.left("key", cut).alias("probe")), keys)
 
 
-@query("versioned_upsert", "SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'changed' ELSE o_orderstatus END AS status, round(o_totalprice, 2) AS price FROM orders UNION ALL SELECT -1 - o_orderkey, 'new', round(o_totalprice, 2) FROM orders WHERE o_orderkey % 11 = 0")
+@query("versioned_upsert", "SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'changed' ELSE lang END AS status, md5(text) AS digest FROM documents UNION ALL SELECT -1 - doc_id, 'new', md5(text) FROM documents WHERE doc_id % 11 = 0")
 def versioned_upsert(spark, d):
-    """Two versions of a snapshot of all orders: some changed, each of them twice, and some new."""
-    folder, o = new_folder(spark, "versions"), table(spark, d, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"), F.round("o_totalprice", 2).alias("price"))
-    versions.create(o, folder, "o_orderkey", 16)
-    changed = o.where("o_orderkey % 7 = 0").withColumn("status", F.explode(F.array(F.lit("between"), F.lit("changed")))).withColumn("seq", F.when(F.col("status") == "changed", 2).otherwise(1))
-    new = o.where("o_orderkey % 11 = 0").select((-1 - F.col("o_orderkey")).alias("o_orderkey"), F.lit("new").alias("status"), "price", F.lit(0).alias("seq"))
-    versions.upsert(changed.unionByName(new), folder, "o_orderkey", "seq")
+    """Two versions of a snapshot of all documents: some changed, each of them twice, and some new."""
+    folder, o = new_folder(spark, "versions"), docs(spark, d).select("doc_id", F.col("lang").alias("status"), F.md5("text").alias("digest"))
+    versions.create(o, folder, "doc_id", 16)
+    changed = o.where("doc_id % 7 = 0").withColumn("status", F.explode(F.array(F.lit("between"), F.lit("changed")))).withColumn("seq", F.when(F.col("status") == "changed", 2).otherwise(1))
+    new = o.where("doc_id % 11 = 0").select((-1 - F.col("doc_id")).alias("doc_id"), F.lit("new").alias("status"), "digest", F.lit(0).alias("seq"))
+    versions.upsert(changed.unionByName(new), folder, "doc_id", "seq")
     return versions.read(spark, folder)
 
 
-@query("versioned_rebuild", "SELECT c_custkey, c_mktsegment, c_custkey % 5 <> 0 AS stays FROM customer")
+@query("versioned_rebuild", "SELECT doc_id, md5(text) AS digest, doc_id % 5 <> 0 AS stays FROM documents")
 def versioned_rebuild(spark, d):
-    """Stale rows go in the second version of all customers, and are still in the first."""
-    folder, c = new_folder(spark, "versions"), table(spark, d, "customer").select("c_custkey", "c_mktsegment")
-    versions.create(c, folder, "c_custkey", 16)
-    versions.drop_stale(c.where("c_custkey % 5 <> 0"), folder, "c_custkey")
-    left = versions.read(spark, folder).select("c_custkey", F.lit(True).alias("stays"))
-    return versions.read(spark, folder, 0).join(left, "c_custkey", "left").withColumn("stays", F.coalesce("stays", F.lit(False)))
+    """Stale rows go in the second version of all documents, and are still in the first."""
+    folder, c = new_folder(spark, "versions"), docs(spark, d).select("doc_id", F.md5("text").alias("digest"))
+    versions.create(c, folder, "doc_id", 16)
+    versions.drop_stale(c.where("doc_id % 5 <> 0"), folder, "doc_id")
+    left = versions.read(spark, folder).select("doc_id", F.lit(True).alias("stays"))
+    return versions.read(spark, folder, 0).join(left, "doc_id", "left").withColumn("stays", F.coalesce("stays", F.lit(False)))
 
 
 @query("tree_fingerprint", "WITH x AS (SELECT left(md5('p' || page_id), 4) AS part, 'p' || page_id || ':' || md5(url) AS line FROM pages), y AS (SELECT part || ':' || sha256(string_agg(line, chr(10) ORDER BY line)) AS line FROM x GROUP BY part) SELECT left(sha256(string_agg(line, chr(10) ORDER BY line)), 16) AS fingerprint FROM y")

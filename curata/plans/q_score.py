@@ -160,3 +160,31 @@ def set_intervals(spark, d):
     """Intervals of the five rates of set scores; tests hold them against plain Python with the same weights."""
     g, e, _ = _sets(spark, d)
     return metrics.set_intervals(metrics.set_scores(g, e, "paper", "item"), "paper")
+
+
+@query("enhanced_labels")
+def enhanced_labels(spark, d):
+    """Labels of papers of four with what entries fill and add; tests hold it against plain Python."""
+    from curata.operators import gold
+
+    gt, ext, *_ = _entries(spark, d)
+    return gold.enhanced(gt, ext, ["doi", "journal", "original_es", "replication_n"])
+
+
+_REPORT = "s AS (SELECT paper, m % 4 = 0 AS lost, m % 4 = 1 AS spare, g_result, ext FROM r)"
+
+
+@query("report_tables", f"WITH {_SQL}, {_REPORT} SELECT 'matched' AS name, count_if(NOT lost AND NOT spare) AS n FROM s UNION ALL SELECT 'disagreements', count_if(NOT lost AND NOT spare AND g_result <> '' AND g_result <> ext) FROM s UNION ALL SELECT 'unmatched', count_if(lost) FROM s UNION ALL SELECT 'extra', count_if(spare) FROM s UNION ALL SELECT 'per_paper', count(DISTINCT paper) FROM s")
+def report_tables(spark, d):
+    """Rows of the five tables of a scoring run, as observed while they are written."""
+    from curata.functions.storage import new_folder
+
+    gt, ext, aliases, matches, papers = _entries(spark, d)
+    kind = gt.select("paper", "gt", (F.length("g_description") % 4).alias("k"))
+    matched = matches.join(kind.where("k > 1"), ["paper", "gt"], "left_semi")
+    records = scoring.scored(matched, gt, ext, aliases, papers)
+    none = F.lit(None).cast("long")
+    outcomes = matched.select("paper", F.lit("match").alias("outcome"), "gt", "ext").unionByName(kind.where("k = 0").select("paper", F.lit("gt_unmatched").alias("outcome"), "gt", none.alias("ext")))
+    outcomes = outcomes.unionByName(kind.where("k = 1").select("paper", F.lit("ext_unmatched").alias("outcome"), none.alias("gt"), F.col("gt").alias("ext")))
+    found = scoring.write_reports(scoring.reports(outcomes, records, gt, ext), new_folder(spark, "reports"))
+    return spark.createDataFrame(sorted(found.items()), "name string, n long")
