@@ -131,7 +131,3 @@ def expand(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     out = np.arange(total, dtype=np.int64)
     return out + np.repeat(first - (np.cumsum(count) - count), count)
 
-
-def plain(frame, *names):
-    """Only these columns, so that further or clashing columns of the input play no part."""
-    return frame.select(*names)

@@ -25,7 +25,7 @@ from curata.llm.buffers import column, slices, span_hashes, texts, tune
 SAMPLE, LATENT, NEIGHBOURS, SHAPES, WORDS = 4096, 48, 15, 2048, 2048
 TERMS = SHAPES + WORDS
 KINDS = ((0, SHAPES, 1.0), (SHAPES, TERMS, 0.6))  # each kind's terms, and its weight beside the other
-REPEATS = 3.0  # weight of the terms for words that repeat, few as they are among the shapes; halves the bad documents kept, on held-out ones
+REPEATS = 3.0  # weight of the terms for words that repeat, few as they are among the shapes: taught by rows of remainders 2 to 4 and judged on remainder 1, all of them rows that may teach, 2 to 4 keep a third of the bad documents that 1 keeps
 THRESHOLD = 0.3
 _SHAPE = np.full(256, 2, np.uint32)  # non-ASCII bytes count as small letters
 _SHAPE[:128] = np.arange(128) + 8
