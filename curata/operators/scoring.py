@@ -24,6 +24,11 @@ def _statistic(name: str, kind: str) -> Column:
     return F.struct(t["gt_has"].alias("gt_has"), t["ext_has"].alias("ext_has"), both.alias("both"), mismatch.alias("type_mismatch"), *(t[f"tier{i}"].alias(f"tier{i}") for i in (1, 2, 3)))
 
 
+def _cut(name: str, n: int) -> Column:
+    """What a record keeps of a text, cut before it is joined."""
+    return F.left(F.coalesce(name, F.lit("")), F.lit(n))
+
+
 def scored(matches: DataFrame, gt: DataFrame, ext: DataFrame, aliases: DataFrame, papers: DataFrame) -> DataFrame:
     """One record a match: labels of both sides, what agrees, and the statistics nested.
 
@@ -37,8 +42,8 @@ def scored(matches: DataFrame, gt: DataFrame, ext: DataFrame, aliases: DataFrame
     """
     gt, ext = matching.canonical(gt, "g_doi", aliases, "g_canon"), matching.canonical(ext, "e_doi", aliases, "e_canon")
     fold = F.create_map(*[F.lit(x) for kv in TYPE_COLLAPSE.items() for x in kv])
-    gt = gt.withColumns({"g_result": norm(F.col("g_result")), "g_type": F.coalesce(F.element_at(fold, norm(F.col("g_type"))), norm(F.col("g_type"))), "g_doi": F.coalesce("g_doi", F.lit("")), "g_canon": F.coalesce("g_canon", F.lit(""))})
-    ext = ext.withColumns({"e_result": norm(F.col("e_result")), "e_type": norm(F.col("e_type")), "e_doi": F.coalesce("e_doi", F.lit("")), "e_canon": F.coalesce("e_canon", F.lit(""))})
+    gt = gt.withColumns({"g_result": norm(F.col("g_result")), "g_type": F.coalesce(F.element_at(fold, norm(F.col("g_type"))), norm(F.col("g_type"))), "g_doi": F.coalesce("g_doi", F.lit("")), "g_canon": F.coalesce("g_canon", F.lit("")), "g_description": _cut("g_description", 200)})
+    ext = ext.withColumns({"e_result": norm(F.col("e_result")), "e_type": norm(F.col("e_type")), "e_doi": F.coalesce("e_doi", F.lit("")), "e_canon": F.coalesce("e_canon", F.lit("")), "e_description": _cut("e_description", 200), "e_explanation": _cut("e_explanation", 400)})
     named = ext.where("e_canon <> ''")
     count = lambda rows, *keys, name: rows.groupBy(*keys).agg(F.count("*").alias(name))
     same = metrics.paper_verdict(named, ["paper", "e_canon"], "e_result").join(count(named, "paper", "e_canon", name="_same_n"), ["paper", "e_canon"]).select("paper", F.col("e_canon").alias("g_canon"), F.col("verdict").alias("_same"), "_same_n")
@@ -63,7 +68,7 @@ def scored(matches: DataFrame, gt: DataFrame, ext: DataFrame, aliases: DataFrame
     record = {
         "gt_result": c("g_result"), "ext_result_raw": c("e_result"), "collapse_applied": applied, "ext_result": F.when(applied, "failure").otherwise(c("e_result")),
         "gt_type": c("g_type"), "ext_type": ext_type, "doi_gt": c("g_doi"), "doi_ext": c("e_doi"),
-        "gt_description": F.left(F.coalesce("g_description", F.lit("")), F.lit(200)), "ext_description": F.left(F.coalesce("e_description", F.lit("")), F.lit(200)), "ext_explanation": F.left(F.coalesce("e_explanation", F.lit("")), F.lit(400)),
+        "gt_description": c("g_description"), "ext_description": c("e_description"), "ext_explanation": c("e_explanation"),
         "doi_scored": c("g_doi") != "", "doi_ok": (c("g_doi") != "") & (c("g_canon") == c("e_canon")), "doi_missing_ext": (c("g_doi") != "") & (c("e_doi") == ""),
         "bib_scored": F.coalesce("g_title", F.lit("")) != "", "title_ok": like("e_title", "g_title", 0.75), "journal_ok": like("e_journal", "g_journal", 0.75),
         "authors_ok": F.coalesce(authors_match(c("e_authors"), c("g_authors")), F.lit(False)), "year_ok": year_match(c("e_year"), c("g_year")),

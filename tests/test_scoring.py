@@ -188,7 +188,7 @@ def test_records(spark):
     g = [("a", 0, {"result": "Success ", "type": "direct or close", "doi": "10.1/x", "title": "On sleep", "authors": "Smith, J", "year": "1999", "journal": "J", "original_n": "40", "original_es": "0.5", "original_es_type": "d", "replication_p_value": "0.03", "replication_p_value_type": "="}),
          ("a", 1, {"result": "failure", "type": "direct", "doi": "10.1/pre", "replication_es": "0.3"}), ("b", 0, {"result": "success", "doi": ""})]
     e = [("a", 0, {"result": "reversal", "type": "close", "doi": "10.1/x", "title": "on sleep", "authors": "SMITH, John", "year": "1999.0", "journal": "other things", "citation": "As Smith (1999) says", "original_n": "41", "original_es": "0.52", "original_es_type": "r", "replication_p_value": "0.04", "replication_p_value_type": "<"}),
-         ("a", 1, {"result": "failure", "type": "close experiment", "doi": "10.1/y", "replication_es": "0.31"}), ("a", 2, {"result": "success", "doi": "10.1/y"}), ("b", 0, {"result": "success"})]
+         ("a", 1, {"result": "failure", "type": "close experiment", "doi": "10.1/y", "replication_es": "0.305"}), ("a", 2, {"result": "success", "doi": "10.1/y"}), ("b", 0, {"result": "success"})]
     gs, gr = side("g", "gt", g)
     es, er = side("e", "ext", e)
     gt = spark.createDataFrame([(*r, f"r{i}", "src", "dev", "psych", "x", "paper" if r[0] == "b" else "effect", "", False, i == 2, "p") for i, r in enumerate(gr)], gs + ", row_id string, source string, split string, discipline_group string, year_bucket string, granularity string, gt_ambiguity string, effects_complete boolean, has_reversal_class boolean, provenance string")
