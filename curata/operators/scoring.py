@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curata.functions.storage import written
 from curata.functions.text import authors_match, citation_mentions, norm, string_ratio, year_match
 from curata.functions.validate import RESULTS, TYPE_COLLAPSE, TYPES
 from curata.operators import matching, metrics
@@ -199,13 +200,18 @@ def counts() -> dict[str, Column]:
     return out
 
 
+def _kept(records: DataFrame) -> DataFrame:
+    """The records without their texts, written: hundreds of counts then read columns, not what the columns are made of."""
+    return written(records.drop("gt_description", "ext_description", "ext_explanation"), "records")
+
+
 def summary(records: DataFrame, entry: DataFrame | None = None) -> DataFrame:
     """One row of all blocks, each a struct with its own denominators, from one aggregation over the records.
 
     entry: one row of tp, fp, fn over all papers.
     """
     c, share = F.col, lambda n: _rate(F.col(f"{n}_yes"), F.col(f"{n}_n"))
-    row = records.agg(*(x.alias(n) for n, x in counts().items()))
+    row = _kept(records).agg(*(x.alias(n) for n, x in counts().items()))
     row = row.withColumns({n: x for confusion in (*(b for b, _ in RESULT_BLOCKS.values()), TYPE_BLOCK) for n, x in confusion.margins().items()})
     blocks = {name: confusion.block(classes) for name, (confusion, classes) in RESULT_BLOCKS.items()}
     blocks["replication_type"] = F.struct(c("n_typed").alias("n"), share("type_ok").alias("accuracy_4class"), TYPE_BLOCK.n().cast("long").alias("n_4class"), share("type_adjacent").alias("adjacent_accuracy"), TYPE_BLOCK.kappa().alias("kappa_4class"), share("type_two").alias("accuracy_2class_direct_or_close"), c("n_two").alias("n_2class"))
@@ -241,7 +247,7 @@ def intervals(records: DataFrame, paper: str = "paper", replicates: int = 2000,
         "result_3class.accuracy": r3.accuracy(), "result_3class.cohen_kappa": r3.kappa(), "result_3class.macro_f1": r3.macro_f1(THREE), "result_3class.inconclusive_recall": r3.recall("inconclusive"),
         "result_4class.accuracy": r4.accuracy(), "result_4class.reversal_recall": r4.recall("reversal"), "replication_type.accuracy_4class": share("type_ok"), "original_doi.accuracy": share("doi_ok"),
     }
-    return metrics.replicated(records, paper, {c: every[c] for c in needed}, eight, replicates, seed, derived=r3.margins() | r4.margins())
+    return metrics.replicated(_kept(records), paper, {c: every[c] for c in needed}, eight, replicates, seed, derived=r3.margins() | r4.margins())
 
 
 def reports(outcomes: DataFrame, records: DataFrame, gt: DataFrame, ext: DataFrame) -> dict[str, DataFrame]:
