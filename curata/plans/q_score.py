@@ -16,6 +16,11 @@ def _pick(values, k):
     return F.get(F.array(*map(F.lit, values)), k.cast("int"))
 
 
+def _capitals(c):
+    """In capitals, but for letters whose capitals are others in lower case again, such as the German sharp s."""
+    return F.translate(c, "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+
+
 def _entries(spark, d):
     """(gt, ext, aliases, matches, papers). w: blanks of the text, m: its length; they decide every field."""
     rows = table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "source")
@@ -34,7 +39,7 @@ def _entries(spark, d):
     other = F.when(m % 7 == 0, "").when(m % 7 == 1, F.concat(F.lit("10.2000/"), key)).when(m % 7 == 2, F.concat(F.lit("10.3000/"), key)).otherwise(F.concat(F.lit("10.1000/"), key))
     ext = rows.select(
         "paper", n.alias("ext"), F.col("text").alias("e_explanation"), F.when(m % 6 == 5, "Odd").otherwise(F.concat(F.lit(" "), F.upper(_pick(_RESULTS, F.when(m % 6 < 3, w % 5).otherwise(m % 5))))).alias("e_result"), _pick(["direct", "Close", "conceptual", "close extension"], m % 4).alias("e_type"), other.alias("e_doi"),
-        F.when(m % 3 == 0, F.upper(F.left("text", F.lit(60)))).otherwise("#" * 40).alias("e_title"), _pick([f"{x}, B" for x in _NAMES], m % 3).alias("e_authors"), s(1990 + m % 3).alias("e_year"), F.when(m % 2 == 0, "JOURNAL ").otherwise("#####").alias("e_journal"), F.col("text").alias("e_description"),
+        F.when(m % 3 == 0, _capitals(F.left("text", F.lit(60)))).otherwise("#" * 40).alias("e_title"), _pick([f"{x}, B" for x in _NAMES], m % 3).alias("e_authors"), s(1990 + m % 3).alias("e_year"), F.when(m % 2 == 0, "JOURNAL ").otherwise("#####").alias("e_journal"), F.col("text").alias("e_description"),
         F.when(m % 2 == 0, F.concat(F.lit("As "), _pick(_NAMES, m % 3), F.lit(" ("), s(1990 + m % 3), F.lit(") says"))).otherwise(" ").alias("e_citation"),
         s(w + m % 3 - 1).alias("e_original_n"), s((w % 100) / 100 + (m % 4) * 0.03).alias("e_original_es"), F.when(m % 5 == 0, "R").otherwise("d").alias("e_original_es_type"), s((m % 10) / 100).alias("e_original_p_value"), F.when(m % 2 == 0, "=").otherwise("<").alias("e_original_p_value_type"), *(F.lit(None).cast("string").alias(f"e_replication_{x}") for x in ("n", "es", "es_type", "p_value", "p_value_type")),
     )
