@@ -413,9 +413,24 @@ def _string_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([ratio(clean(x), clean(y)) for x, y in zip(a, b, strict=True)], dtype=float)
 
 
+def _string_ratios(a: pd.Series, b: pd.Series) -> pd.Series:
+    """string_ratio of the texts of two arrays at equal places."""
+    import itertools
+
+    import numpy as np
+
+    flat = _string_ratio(*(list(itertools.chain.from_iterable(x)) for x in (a, b)))
+    return pd.Series(np.split(flat.to_numpy(), np.cumsum([len(x) for x in a])[:-1])) if len(a) else pd.Series(dtype=object)
+
+
+def ratio_length(c) -> Column:
+    """The length of what string_ratio compares of a text."""
+    return F.length(F.lower(_stripped(_column(c))))
+
+
 def could_reach(a: Column, b: Column, threshold: float) -> Column:
     """The ratio's upper bound by the lengths of what it compares: native, so it can stand before the UDF."""
-    la, lb = (F.length(F.lower(_stripped(x))) for x in (_column(a), _column(b)))
+    la, lb = ratio_length(a), ratio_length(b)
     return 2 * F.least(la, lb) / F.greatest(la + lb, F.lit(1)) >= threshold
 
 
@@ -527,5 +542,6 @@ def _inverted(s: pd.Series) -> pd.Series:
 inverted = _udf("map<string, array<int>>")(_inverted)
 fold = _udf("string")(_fold)
 string_ratio = _udf("double")(_string_ratio)
+string_ratios = _udf("array<double>")(_string_ratios)
 parsed_reply = _udf("string")(_parsed_reply)
 splice_tables = _udf("string")(_splice_tables)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curata.functions.storage import written
-from curata.functions.text import authors_match, could_be_alike, could_reach, effect_similarity, last_names, letters, letters_could_reach, string_ratio, year_match
+from curata.functions.text import authors_match, could_be_alike, could_reach, effect_similarity, last_names, letters, letters_could_reach, overlap, ratio_length, string_ratio, string_ratios, year_match
 from curata.operators.components import components
 
 INF = 9.0
@@ -131,6 +131,10 @@ def _titles_could_reach(pairs: DataFrame, least: float) -> Column:
     return bound & letters_could_reach(F.col("g_letters"), F.col("e_letters"), least) if {"g_letters", "e_letters"} <= {*pairs.columns} else bound
 
 
+def _cost(same: Column, fuzzy: Column, ratio: Column, score: Column) -> Column:
+    return F.when(same, 0.05 * (1 - ratio)).when(fuzzy, 0.5 + 0.1 * (3 - score)).otherwise(INF)
+
+
 def pair_costs(pairs: DataFrame) -> DataFrame:
     """Adds cost and method. pairs: paper, gt, ext, and of both sides (g_ and e_) doi (canonical), description, title, authors, year.
 
@@ -146,8 +150,7 @@ def pair_costs(pairs: DataFrame) -> DataFrame:
     out = out.withColumn("_ratio", string_ratio(F.when(need, a).otherwise(""), F.when(need, b).otherwise("")))
     score = (F.col("_ratio") >= 0.75).cast("int") + authors_match(F.col("g_authors"), F.col("e_authors")).cast("int") + year_match(F.col("g_year"), F.col("e_year")).cast("int")
     fuzzy = (F.col("_hits") == 0) & (score >= 2)
-    cost = F.when(F.col("_same"), 0.05 * (1 - F.col("_ratio"))).when(fuzzy, 0.5 + 0.1 * (3 - score)).otherwise(INF)
-    return out.withColumn("cost", cost).withColumn("method", F.when(F.col("_same"), "doi").when(fuzzy, "fuzzy")).drop("_same", "_hits", "_ratio", "g_letters", "e_letters")
+    return out.withColumn("cost", _cost(F.col("_same"), fuzzy, F.col("_ratio"), score)).withColumn("method", F.when(F.col("_same"), "doi").when(fuzzy, "fuzzy")).drop("_same", "_hits", "_ratio", "g_letters", "e_letters")
 
 
 def _papers(batches):
@@ -197,17 +200,22 @@ def _by_paper(rows: DataFrame, one, value: str, large: int) -> DataFrame:
     rows = _in_parts(written(rows.select("paper", "gt", "ext", value), "pairs"), large)
 
     def run(batches):
-        out: list[tuple] = []
-        for (paper, _), columns in _papers(batches):
-            out += [(paper, int(g), int(e), float(v)) for g, e, v in one(columns)]
-            if len(out) > 10_000:
-                yield pd.DataFrame(out, columns=["paper", "gt", "ext", value])
-                out = []
-        yield pd.DataFrame(out, columns=["paper", "gt", "ext", value]) if out else pd.DataFrame({"paper": pd.Series(dtype=object), "gt": pd.Series(dtype="int64"), "ext": pd.Series(dtype="int64"), value: pd.Series(dtype="float64")})
+        yield from _solved(((paper, columns) for (paper, _), columns in _papers(batches)), one, value)
 
     return rows.select(F.col("paper").cast("string").alias("paper"), "part", "gt", "ext", value).repartition("paper", "part").sortWithinPartitions("paper", "part").mapInPandas(run, f"paper string, gt long, ext long, {value} double")
 
 
+def _solved(papers, one, value: str):
+    """Frames of what one() makes of each (paper, rows)."""
+    out: list[tuple] = []
+    for paper, columns in papers:
+        out += [(paper, int(g), int(e), float(v)) for g, e, v in one(columns)]
+        if len(out) > 10_000:
+            yield pd.DataFrame(out, columns=["paper", "gt", "ext", value])
+            out = []
+    yield pd.DataFrame(out, columns=["paper", "gt", "ext", value]) if out else pd.DataFrame({"paper": pd.Series(dtype=object), "gt": pd.Series(dtype="int64"), "ext": pd.Series(dtype="int64"), value: pd.Series(dtype="float64")})
+
+
 def _assigned(rows: dict) -> list[tuple]:
     return [(rows["gt"][k], rows["ext"][k], round(float(rows["cost"][k]), 4)) for k in sparse_assignment(rows["gt"], rows["ext"], rows["cost"])]
 
@@ -233,6 +241,72 @@ def greedy(scores: DataFrame, least: float = 0.5, large: int = LARGE) -> DataFra
     return _by_paper(scores.where(F.col("score") >= least), _greedily, "score", large)
 
 
+GATHERED = 8_000  # bytes of a side of a paper - its texts, and 100 an entry - up to which its entries make one row
+
+
+def _gathered(side: DataFrame, p: str, key: str, most: int) -> DataFrame:
+    """paper, its entries as an array p, and whether they fit: an array beyond ``most`` stays empty. One shuffle, by paper;
+    none for entries that lie by paper already."""
+    text = lambda c: F.coalesce(F.col(f"{p}_{c}").cast("string"), F.lit(""))
+    size = 100 + sum(F.octet_length(text(c)).cast("long") for c in ("doi", "description", "title", "authors"))
+    year = F.trim(F.replace(text("year"), F.lit(".0"), F.lit("")))
+    entry = F.struct(F.col(key).cast("long").alias("id"), text("doi").alias("doi"), text("description").alias("description"), text("title").alias("title"), ratio_length(text("title")).alias("length"), last_names(F.col(f"{p}_authors")).alias("names"), year.alias("year"))
+    rows = side.withColumn(f"{p}_fits", F.sum(size).over(Window.partitionBy("paper")) <= most)
+    return rows.groupBy("paper").agg(F.collect_list(F.when(F.col(f"{p}_fits"), entry)).alias(p), F.bool_and(f"{p}_fits").alias(f"{p}_fits"))
+
+
+def _pairs_of(g: Column) -> Column:
+    """The pairs of a label of a gathered paper that may match, as ``pair_costs`` has them: its DOI's, or else those of its year
+    or authors. votes: which of these agree, -1 for a DOI's; a and b: the texts whose ratio decides, if any does."""
+    same = F.filter("e", lambda e: (g["doi"] != "") & (g["doi"] == e["doi"]))
+    ids = lambda e: (g["id"].alias("gt"), e["id"].alias("ext"))
+
+    def fuzzy(e):
+        votes = (overlap(g["names"], e["names"]) >= 0.7).cast("int") + ((g["year"] != "") & (g["year"] == e["year"])).cast("int")
+        near = 2 * F.least(g["length"], e["length"]) / F.greatest(g["length"] + e["length"], F.lit(1)) >= 0.75
+        return F.struct(*ids(e), votes.alias("votes"), F.when(near, g["title"]).otherwise("").alias("a"), F.when(near, e["title"]).otherwise("").alias("b"))
+
+    by_doi = F.transform(same, lambda e: F.struct(*ids(e), F.lit(-1).alias("votes"), g["description"].alias("a"), e["description"].alias("b")))
+    return F.when(F.size(same) > 0, by_doi).otherwise(F.filter(F.transform("e", fuzzy), lambda x: (x["votes"] == 2) | ((x["votes"] == 1) & (x["a"] != ""))))
+
+
+def _by_gathered_paper(gt: DataFrame, ext: DataFrame, one, value: str, of_cost, keep, rest, most: int) -> DataFrame:
+    """one() of the costs of every paper's pairs, where the entries of a paper travel once and its pairs never: a paper is a
+    row from its entries to its assignment. Papers that don't fit a row are listed by the same pass, and go by rest(gt, ext)."""
+    papers = _gathered(gt, "g", "gt", most).join(_gathered(ext, "e", "ext", most), "paper")
+    papers = papers.select(F.col("paper").cast("string").alias("paper"), (F.col("g_fits") & F.col("e_fits")).alias("fits"), F.flatten(F.transform("g", _pairs_of)).alias("pairs"))
+    of_pairs = lambda c: F.transform("pairs", lambda x: x[c])
+    papers = papers.withColumn("ratios", string_ratios(of_pairs("a"), of_pairs("b")))
+
+    def priced(x, ratio):
+        score = x["votes"] + (ratio >= 0.75).cast("int")
+        return F.struct(x["gt"].alias("gt"), x["ext"].alias("ext"), of_cost(_cost(x["votes"] < 0, score >= 2, ratio, score)).alias(value))
+
+    papers = papers.select("paper", "fits", F.filter(F.zip_with("pairs", "ratios", priced), lambda x: keep(x[value])).alias("pairs"))
+    papers = papers.select("paper", "fits", *(of_pairs(c).alias(c) for c in ("gt", "ext", value)))
+
+    def run(batches):
+        for pdf in batches:
+            large = pdf.loc[~pdf["fits"].astype(bool), "paper"].tolist()
+            if large:
+                yield pd.DataFrame({"paper": large, "gt": pd.array([None] * len(large), "Int64"), "ext": pd.array([None] * len(large), "Int64"), value: pd.array([None] * len(large), "Float64")})
+            rows = zip(pdf["paper"], pdf["gt"], pdf["ext"], pdf[value], strict=True)
+            yield from _solved(((paper, {"gt": g, "ext": e, value: v}) for paper, g, e, v in rows if len(g)), one, value)
+
+    out = written(papers.mapInPandas(run, f"paper string, gt long, ext long, {value} double"), "assigned")
+    found, large = out.where("gt is not null"), out.where("gt is null").select(F.col("paper").alias("_paper"))
+    if large.isEmpty():
+        return found
+    own = lambda side: side.join(large, F.col("paper").cast("string") == F.col("_paper"), "left_semi")
+    return found.unionByName(rest(own(gt), own(ext)))
+
+
+def assign_entries(gt: DataFrame, ext: DataFrame, large: int = LARGE, most: int = GATHERED) -> DataFrame:
+    """``assign`` of the ``pair_costs`` of entries: paper, gt, ext, cost."""
+    whole = lambda g, e: assign(pair_costs(pairs_in_block(g, e, "paper")), large)
+    return _by_gathered_paper(gt, ext, _assigned, "cost", lambda c: c, lambda c: c < INF, whole, most)
+
+
 def canonical(rows: DataFrame, doi: str, aliases: DataFrame, to: str) -> DataFrame:
     """Adds ``to``: the canonical DOI by aliases(seq, alias, canonical, kind), one hop at most."""
     hop = aliases.groupBy(F.col("alias").alias("_a")).agg(F.max_by("canonical", "seq").alias("_c"))
