@@ -307,6 +307,13 @@ def assign_entries(gt: DataFrame, ext: DataFrame, large: int = LARGE, most: int
     return _by_gathered_paper(gt, ext, _assigned, "cost", lambda c: c, lambda c: c < INF, whole, most)
 
 
+def greedy_entries(gt: DataFrame, ext: DataFrame, least: float = 0.5, large: int = LARGE, most: int = GATHERED) -> DataFrame:
+    """``greedy`` over entries, by how far their ``pair_costs`` stay below INF: paper, gt, ext, score."""
+    score = lambda c: 1 - c / INF
+    whole = lambda g, e: greedy(pair_costs(pairs_in_block(g, e, "paper")).withColumn("score", score(F.col("cost"))), least, large)
+    return _by_gathered_paper(gt, ext, _greedily, "score", score, lambda s: s >= least, whole, most)
+
+
 def canonical(rows: DataFrame, doi: str, aliases: DataFrame, to: str) -> DataFrame:
     """Adds ``to``: the canonical DOI by aliases(seq, alias, canonical, kind), one hop at most."""
     hop = aliases.groupBy(F.col("alias").alias("_a")).agg(F.max_by("canonical", "seq").alias("_c"))

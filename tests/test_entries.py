@@ -31,9 +31,11 @@ def test_papers_as_rows_give_what_pairs_give(spark, most):
     rows = lambda x: sorted(tuple(r) for r in x.collect())
     want = rows(matching.assign(costs))
     assert rows(matching.assign_entries(gt, ext, most=most)) == want and len(want) > 50
+    want = rows(matching.greedy(costs.withColumn("score", 1 - costs.cost / matching.INF), 0.92))
+    assert rows(matching.greedy_entries(gt, ext, 0.92, most=most)) == want and len(want) > 50
 
 
-@pytest.mark.parametrize("name", ["fuzzy_assign"])
+@pytest.mark.parametrize("name", ["fuzzy_assign", "greedy_align"])
 def test_entries_travel_once(spark, name, monkeypatch):
     """One exchange a side, by paper: pairs and their texts aren't shuffled."""
     plans = []
